@@ -18,6 +18,12 @@ numbers from a global range-partitioned sort instead:
    of the same group in earlier partitions.
 4. That table is broadcast back (its size bound is structural, see 3).
 
+The tagged rows feed both the small table and the join back, so they are
+persisted (memory, spilling to disk) and read twice instead of recomputing
+the whole upstream plan per branch.  A lost block is recomputed from the
+same shuffle with the same range bounds and the same total order, so the
+numbers it gets are the same.
+
 Everything is built from DataFrame operators; ranks are exact.  From the
 rank and the group size come ntile buckets, exact medians and rank
 weighted sums (MKI) with no per-group window.
@@ -27,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,10 +57,11 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
         spread = df.repartitionByRange(num_partitions, *keys)
     else:
         spread = df.repartitionByRange(*keys)
-    tagged = (spread.sortWithinPartitions(*keys)
+    tagged = ((spread.sortWithinPartitions(*keys)
               .withColumn("_rk_part", F.spark_partition_id())
               .withColumn("_rk_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_rk_part").cast("long"), _POS_BITS)))
+              .persist(StorageLevel.MEMORY_AND_DISK))
 
     # One row per (partition, group): bounded by partitions + groups.
     per_part = tagged.groupBy("_rk_part", *group_cols).agg(

@@ -28,7 +28,8 @@ def curve_long(deciles: DataFrame, key_cols: tuple[str, ...] = ("township_name",
     long = src.unpivot([*key_cols, "price_decile"], list(CURVE_STAGES.values()), "stage", "sale_ratio")
     r = F.col("sale_ratio")
     return long.select(*key_cols, "price_decile", "stage", "sale_ratio",
-                       F.round(r, 2).alias("label"),
+                       # via a decimal so the 2-digit label is half-up on the printed value
+                       F.round(r.cast("decimal(20,6)"), 2).cast("double").alias("label"),
                        r.between(F.lit(BAND_LOW), F.lit(BAND_HIGH)).alias("in_band"))
 
 

@@ -33,7 +33,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     On a cluster ``master`` is left to spark-submit.  The Spark UI is kept
     off: the jobs are batch jobs and open no port of their own.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for key, value in DEFAULTS.items():
