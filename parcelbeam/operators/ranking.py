@@ -42,9 +42,11 @@ _POS_BITS = 33
 
 def group_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
                      rank_col: str = "rank", size_col: str = "group_size",
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None,
+                     count_of: str | None = None, count_col: str | None = None) -> DataFrame:
     """Add ``rank_col`` (1-based row number inside each group, by ``order_cols``)
-    and ``size_col`` (rows in the group).
+    and ``size_col`` (rows in the group).  With ``count_of``/``count_col`` also
+    the number of non-NULL ``count_of`` values in the group.
 
     ``order_cols`` must end in a tie-breaker that is unique inside a group so
     the numbering is deterministic (and therefore stable under task retries).
@@ -64,15 +66,18 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
               .persist(StorageLevel.MEMORY_AND_DISK))
 
     # One row per (partition, group): bounded by partitions + groups.
-    per_part = tagged.groupBy("_rk_part", *group_cols).agg(
-        F.min("_rk_pos").alias("_rk_first"), F.count(F.lit(1)).alias("_rk_cnt"))
+    part_aggs = [F.min("_rk_pos").alias("_rk_first"), F.count(F.lit(1)).alias("_rk_cnt")]
+    if count_of:
+        part_aggs.append(F.count(count_of).alias("_rk_nn"))
+    per_part = tagged.groupBy("_rk_part", *group_cols).agg(*part_aggs)
     w_before = (Window.partitionBy(*group_cols).orderBy("_rk_part")
                 .rowsBetween(Window.unboundedPreceding, -1))
     w_all = Window.partitionBy(*group_cols)
+    extra = [F.sum("_rk_nn").over(w_all).alias(count_col)] if count_of else []
     offsets = per_part.select(
         "_rk_part", *group_cols, "_rk_first",
         F.coalesce(F.sum("_rk_cnt").over(w_before), F.lit(0)).alias("_rk_before"),
-        F.sum("_rk_cnt").over(w_all).alias(size_col))
+        F.sum("_rk_cnt").over(w_all).alias(size_col), *extra)
 
     joined = tagged.join(F.broadcast(offsets), on=["_rk_part", *group_cols], how="inner")
     return (joined

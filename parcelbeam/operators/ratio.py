@@ -72,48 +72,52 @@ def stage_long(df: DataFrame, keep: Sequence[str], stages: Mapping[str, str] = S
 
 
 def median_stats(long: DataFrame, group_cols: Sequence[str], value: str = "ratio",
-                 tiebreak: str = "pin", strict: bool = True) -> DataFrame:
+                 tiebreak: str = "pin", strict: bool = True, price: str | None = None) -> DataFrame:
     """Exact median and COD of ``value`` per group, plus row counts.
 
-    Returns ``group_cols + [n_rows, n_values, median, cod]``.  With ``strict``
-    both are NULL when the group has a NULL value (R's default ``median``).
+    Returns ``group_cols + [n_rows, n_values, median, cod]`` (and, with
+    ``price``, ``min_price``, ``max_price``).  NULL values sort last, so the
+    non-NULL values hold ranks 1..n_values.  With ``strict`` median and COD
+    are NULL when the group has a NULL value (R's default ``median``).
     """
     group_cols = list(group_cols)
-    present = long.filter(F.col(value).isNotNull())
-    missing = long.filter(F.col(value).isNull()).select(*group_cols, value)
-    ranked = group_row_number(present, group_cols, [value, tiebreak], "_v_rank", "_v_size")
-    both = ranked.select(*group_cols, value, "_v_rank", "_v_size").unionByName(
-        missing, allowMissingColumns=True)
     v = F.col(value)
-    agg = both.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(v).alias("n_values"),
-        F.avg(F.when(middle_positions("_v_rank", "_v_size"), v)).alias("_median"),
-        F.coalesce(F.sum(F.when(upper_half("_v_rank", "_v_size"), v)), F.lit(0.0)).alias("_hi"),
-        F.coalesce(F.sum(F.when(lower_half("_v_rank", "_v_size"), v)), F.lit(0.0)).alias("_lo"),
-    )
+    ranked = group_row_number(long, group_cols, [v.asc_nulls_last(), F.col(tiebreak)], "_v_rank", "n_rows",
+                              count_of=value, count_col="n_values")
+    aggs = [
+        F.first("n_rows").alias("n_rows"),
+        F.first("n_values").alias("n_values"),
+        F.avg(F.when(middle_positions("_v_rank", "n_values"), v)).alias("_median"),
+        F.coalesce(F.sum(F.when(upper_half("_v_rank", "n_values") & v.isNotNull(), v)), F.lit(0.0)).alias("_hi"),
+        F.coalesce(F.sum(F.when(lower_half("_v_rank", "n_values"), v)), F.lit(0.0)).alias("_lo"),
+    ]
+    if price:
+        aggs += [F.min(price).alias("min_price"), F.max(price).alias("max_price")]
+    agg = ranked.groupBy(*group_cols).agg(*aggs)
     usable = (F.col("n_values") == F.col("n_rows")) if strict else F.lit(True)
     mad = F.try_divide(F.col("_hi") - F.col("_lo"), F.col("n_values").cast("double"))
     cod = F.try_divide(F.lit(100.0) * mad, F.col("_median"))
+    extra = ["min_price", "max_price"] if price else []
     return agg.select(
         *group_cols, "n_rows", "n_values",
         F.when(usable, F.col("_median")).alias("median"),
-        F.when(usable, cod).alias("cod"))
+        F.when(usable, cod).alias("cod"), *extra)
 
 
 def vertical_equity(long: DataFrame, medians: DataFrame, group_cols: Sequence[str],
                     price: str = "sale_price", rank_col: str = "price_rank") -> DataFrame:
-    """PRD, PRB and MKI per group (strict).  ``medians`` is ``median_stats`` output;
-    it has one row per group, so joining it back is a broadcast bounded by the
-    number of groups (stages x townships)."""
+    """PRD, PRB and MKI per group (strict), carrying the ``median_stats`` columns
+    through.  ``medians`` has one row per group, so joining it back is a
+    broadcast bounded by the number of groups (stages x townships)."""
     group_cols = list(group_cols)
-    m_tab = medians.select(*group_cols, F.col("median").alias("_m"), "n_rows", "n_values")
+    carried = [c for c in medians.columns if c not in group_cols]
+    m_tab = medians.withColumn("_m", F.col("median"))
     j = long.join(F.broadcast(m_tab), on=group_cols, how="inner")
     a, p, r, m, i = F.col("assessed"), F.col(price).cast("double"), F.col("ratio"), F.col("_m"), F.col(rank_col)
     y = F.try_divide(r - m, m)
     x = F.log2(F.lit(0.5) * (F.try_divide(a, m) + p))
     agg = j.groupBy(*group_cols).agg(
-        F.first("n_rows").alias("n_rows"), F.first("n_values").alias("n_values"),
+        *[F.first(c).alias(c) for c in carried],
         F.count(F.lit(1)).alias("_n"),
         F.avg(r).alias("_mean_r"), F.sum(a).alias("_sa"), F.sum(p).alias("_sp"),
         F.regr_slope(y, x).alias("_prb"),
@@ -127,7 +131,7 @@ def vertical_equity(long: DataFrame, medians: DataFrame, group_cols: Sequence[st
     prd = F.try_divide(F.col("_mean_r"), F.try_divide(F.col("_sa"), F.col("_sp")))
     mki = F.try_divide(gini(F.col("_ia"), F.col("_sa")), gini(F.col("_ip"), F.col("_sp")))
     return agg.select(
-        *group_cols,
+        *group_cols, *carried,
         F.when(usable, prd).alias("prd"),
         F.when(usable, F.col("_prb")).alias("prb"),
         F.when(usable, mki).alias("mki"))
@@ -135,32 +139,28 @@ def vertical_equity(long: DataFrame, medians: DataFrame, group_cols: Sequence[st
 
 def _wide(stats: DataFrame, key_cols: Sequence[str], measures: Sequence[str],
           stages: Sequence[str]) -> DataFrame:
-    """(key, stage, measures) -> key + '<stage>_<measure>' columns, rounded."""
+    """(key, stage, measures) -> key + '<stage>_<measure>' columns (rounded), plus
+    the stage-independent price range and number of sales."""
     cols = []
     for s in stages:
         for mname in measures:
             label = "ratio" if mname == "median" else mname
             cols.append(F.round(F.max(F.when(F.col("stage") == s, F.col(mname))), ROUND_DIGITS)
                         .alias(f"{s}_{label}"))
+    cols += [price_range(F.min("min_price"), F.max("max_price")).alias("price_range"),
+             F.max("n_rows").alias("number_of_sales")]
     return stats.groupBy(*key_cols).agg(*cols)
 
 
-def _price_summary(priced: DataFrame, key_cols: Sequence[str], price: str) -> DataFrame:
-    return priced.groupBy(*key_cols).agg(
-        price_range(F.min(price), F.max(price)).alias("price_range"),
-        F.count(F.lit(1)).alias("number_of_sales"))
-
-
 def ratio_deciles(deciled: DataFrame, group_cols: Sequence[str] = ("township_name",),
                   stages: Mapping[str, str] = STAGES, price: str = "sale_price") -> DataFrame:
     """Per (group, price decile): strict median ratio and COD per stage, price
     range label and number of sales (A10, A2, A4, A8, A9)."""
     keys = [*group_cols, "price_decile"]
     priced = deciled.filter(F.col(price).isNotNull())
-    long = stage_long(priced, [*keys, "pin"], stages)
-    stats = median_stats(long, ["stage", *keys])
-    wide = _wide(stats, keys, ["median", "cod"], list(stages))
-    out = wide.join(_price_summary(priced, keys, price), on=keys, how="inner")
+    long = stage_long(priced, [*keys, "pin", price], stages)
+    stats = median_stats(long, ["stage", *keys], price=price)
+    out = _wide(stats, keys, ["median", "cod"], list(stages))
     order = [*keys] + [f"{s}_{m}" for s in stages for m in ("ratio", "cod")] + ["price_range", "number_of_sales"]
     return out.select(*order)
 
@@ -172,11 +172,9 @@ def town_stats(deciled: DataFrame, group_cols: Sequence[str] = ("township_name",
     keys = list(group_cols)
     priced = deciled.filter(F.col(price).isNotNull())
     long = stage_long(priced, [*keys, "pin", price, "price_rank"], stages)
-    med = median_stats(long, ["stage", *keys])
-    equity = vertical_equity(long, med, ["stage", *keys], price=price)
-    stats = med.join(equity, on=["stage", *keys], how="inner")
-    wide = _wide(stats, keys, ["median", "cod", "prd", "prb", "mki"], list(stages))
-    out = wide.join(_price_summary(priced, keys, price), on=keys, how="inner")
+    med = median_stats(long, ["stage", *keys], price=price)
+    stats = vertical_equity(long, med, ["stage", *keys], price=price)
+    out = _wide(stats, keys, ["median", "cod", "prd", "prb", "mki"], list(stages))
     order = keys + [f"{s}_{m}" for s in stages for m in ("ratio", "cod", "prd", "prb", "mki")] + [
         "price_range", "number_of_sales"]
     return out.select(*order)

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,9 +159,14 @@ def ratio_parcels(desk_review: DataFrame, universe: DataFrame, models: DataFrame
 
 def all_parcels(parcels: DataFrame) -> DataFrame:
     """Per parcel of each township: price decile and both sale ratios (P15, W3,
-    F16).  Parcels without a township fall out, as in the per-township loop (D9)."""
+    F16).  Parcels without a township fall out, as in the per-township loop (D9).
+
+    The study frame is read by the range sampling and the shuffle of the price
+    rank and by every table built on it, so it is persisted once (one row per
+    reviewed parcel) instead of re-running the joins above it for each."""
     scoped = parcels.filter(F.col("township_name").isNotNull())
-    return R.add_price_deciles(R.add_ratios(scoped))
+    study = R.add_ratios(scoped).persist(StorageLevel.MEMORY_AND_DISK)
+    return R.add_price_deciles(study)
 
 
 def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFrame, assessments: DataFrame,
