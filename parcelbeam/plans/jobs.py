@@ -30,7 +30,7 @@ from parcelbeam.operators.attach import (
     final_model_values, keep_flagged_groups, most_recent_parcels, newest_per_key)
 from parcelbeam.operators.change import DEFAULT_FACTOR, REQUEST_KEY, value_change
 from parcelbeam.operators.reshape import curve_axis, curve_long, neighborhood_map_frame
-from parcelbeam.operators.rollup import attach_group_size, join_strings
+from parcelbeam.operators.rollup import building_unit_counts, join_strings
 
 # Correction columns left blank for the field team, in order.
 CORRECTION_COLUMNS = ("new_building_sf", "new_unit_sf", "new_bedrooms", "new_full_baths", "new_half_baths")
@@ -71,32 +71,49 @@ def permit_documents(permits: DataFrame, min_year: str) -> DataFrame:
                         "permits", count_col="n_permits")
 
 
+def scoped_universe(universe: DataFrame, flagged: DataFrame | None = None,
+                    triads: Sequence[str] | None = None) -> DataFrame:
+    """Universe rows of the triads asked for (all when None) whose building has a
+    flagged unit."""
+    uni = universe if triads is None else universe.filter(F.col("triad_name").isin(list(triads)))
+    return keep_flagged_groups(uni, flagged) if flagged is not None else uni
+
+
 def review_units(universe: DataFrame, chars: DataFrame, status: DataFrame, addresses: DataFrame,
                  flagged: DataFrame | None = None, triads: Sequence[str] | None = None) -> DataFrame:
     """Units with characteristics, status and address, newest year per unit (J2,
     J4, J6, D4).  When ``flagged`` is given, only buildings with a flagged unit
-    are kept -- before any join (J7 moved down)."""
-    uni = universe if triads is None else universe.filter(F.col("triad_name").isin(list(triads)))
-    if flagged is not None:
-        uni = keep_flagged_groups(uni, flagged)
-    units = uni.join(chars, on=["pin", "year"], how="inner")
-    units = newest_per_key(units, "pin", [F.col("year").desc()])
-    return (units.join(status, on=["pin", "year"], how="left")
-            .join(addresses, on=["pin", "year"], how="left"))
+    are kept -- before any join (J7 moved down).
+
+    The three (pin, year) joins run first, under one hash partitioning on
+    (pin, year); the newest-year pick then re-keys by pin once, and every
+    later per-parcel join reuses that partitioning."""
+    uni = scoped_universe(universe, flagged, triads)
+    units = (uni.join(chars, on=["pin", "year"], how="inner")
+             .join(status, on=["pin", "year"], how="left")
+             .join(addresses, on=["pin", "year"], how="left"))
+    return newest_per_key(units, "pin", [F.col("year").desc()])
 
 
 def unit_review_rows(universe: DataFrame, chars: DataFrame, permits: DataFrame, status: DataFrame,
                      sales: DataFrame, addresses: DataFrame, qc: DataFrame, min_year: str,
                      triads: Sequence[str] | None = None, map_url: str = DEFAULT_MAP_URL) -> DataFrame:
-    """Review rows in the reference's column names (snake case), before the
-    sheet formatting."""
+    """Review rows in the reference's column names (snake case) with the QC flag
+    attached (J8; duplicate flags for a unit repeat it, D12), before the sheet
+    formatting."""
     flagged = flagged_units(qc)
     units = review_units(universe, chars, status, addresses, flagged, triads)
     units = (units.join(permit_documents(permits, min_year), "pin", "left")
-             .join(sale_documents(sales, min_year), "pin", "left"))
-    units = attach_group_size(units, F.col("pin10"), "total_number_of_units_in_building")
+             .join(sale_documents(sales, min_year), "pin", "left")
+             .join(flagged, "pin", "left"))
+    # Units per building from the light (pin, year) key join only, not from the
+    # wide joined rows: the count needs no status, address or documents.
+    unit_keys = scoped_universe(universe, flagged, triads).select("pin", "year").join(
+        chars.select("pin", "year"), ["pin", "year"], "inner")
+    units = units.join(building_unit_counts(unit_keys), "pin10", "left")
     address = alnum_words(address_line("prop_address_full", "prop_address_city_name", "prop_address_zipcode_1"))
     rows = units.select(
+        "qc_flag",
         map_link("lon", "lat", "pin10", map_url).alias("pin10"),
         "pin", "lon", "lat",
         search_link(address).alias("address"),
@@ -122,12 +139,8 @@ def unit_review_job(universe: DataFrame, chars: DataFrame, permits: DataFrame, s
     and Triad stay as the partition columns; rows of a NULL township are
     dropped, as splitting by township drops them (R4, D11)."""
     rows = unit_review_rows(universe, chars, permits, status, sales, addresses, qc, min_year, triads, map_url)
-    sheet = rename_all(rows, title_case_acronyms)
-    qc_cols = flagged_units(qc).select(F.col("pin").alias("PIN"), F.col("qc_flag").alias("QC Flag"))
-    order = [*sheet.columns, "QC Flag"]
-    sheet = sheet.join(qc_cols, on="PIN", how="left")  # J8: duplicate flags repeat the unit (D12)
-    sheet = sheet.select(*[F.col(f"`{c}`") for c in order])
-    sheet = sheet.withColumn("PIN", pretty_pin("PIN", full_length=True))
+    sheet = rename_all(rows.withColumnRenamed("qc_flag", "QC_Flag"), title_case_acronyms)
+    sheet = sheet.withColumnRenamed("Qc Flag", "QC Flag").withColumn("PIN", pretty_pin("PIN", full_length=True))
     sheet = relocate(sheet, first=["QC Flag"], after={"Neighborhood Code": ["Permits", "Sales"]})
     sheet = sheet.filter(F.col("Township").isNotNull()).drop("Lon", "Lat")
     cols = [c for c in sheet.columns if c not in ("Township", "Triad")] + ["Triad", "Township"]
