@@ -27,6 +27,15 @@ numbers it gets are the same.
 Everything is built from DataFrame operators; ranks are exact.  From the
 rank and the group size come ntile buckets, exact medians and rank
 weighted sums (MKI) with no per-group window.
+
+Size check.  When every group is small, the range machinery costs more
+than it saves: a plain ``row_number`` window (one shuffle, groups spread
+over tasks by hash) is cheaper.  ``group_row_number`` therefore first counts
+the rows of the largest group (one partial aggregate, one number back) and
+uses the window only when that group fits in a task
+(``parcelbeam.rank.windowMaxGroupRows``, default 2,000,000 rows); beyond
+the bound -- the hot-township case -- it always takes the range path.
+Both paths give the same numbers.
 """
 
 from __future__ import annotations
@@ -38,16 +47,59 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _POS_BITS = 33
+WINDOW_MAX_GROUP_ROWS_CONF = "parcelbeam.rank.windowMaxGroupRows"
+DEFAULT_WINDOW_MAX_GROUP_ROWS = 2_000_000
+
+
+def window_limit(df: DataFrame) -> int:
+    """Largest group (rows) that may be ranked by a single-task window."""
+    value = df.sparkSession.conf.get(WINDOW_MAX_GROUP_ROWS_CONF, None)
+    return int(value) if value is not None else DEFAULT_WINDOW_MAX_GROUP_ROWS
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Rows in the largest group: a partial (map-side) count, one number to the driver."""
+    row = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
+    return int(row["m"] or 0) if row else 0
 
 
 def group_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
                      rank_col: str = "rank", size_col: str = "group_size",
                      num_partitions: int | None = None,
-                     count_of: str | None = None, count_col: str | None = None) -> DataFrame:
+                     count_of: str | None = None, count_col: str | None = None,
+                     window_max_group_rows: int | None = None) -> DataFrame:
     """Add ``rank_col`` (1-based row number inside each group, by ``order_cols``)
     and ``size_col`` (rows in the group).  With ``count_of``/``count_col`` also
     the number of non-NULL ``count_of`` values in the group.
 
+    ``window_max_group_rows`` overrides the size bound for the window path;
+    0 forces the range path.  The input should be cheap to read twice (it is
+    read by the size check and by the rank), e.g. persisted.
+    """
+    limit = window_limit(df) if window_max_group_rows is None else window_max_group_rows
+    if limit > 0 and largest_group(df, group_cols) <= limit:
+        return window_row_number(df, group_cols, order_cols, rank_col, size_col, count_of, count_col)
+    return range_row_number(df, group_cols, order_cols, rank_col, size_col, num_partitions, count_of, count_col)
+
+
+def window_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
+                      rank_col: str = "rank", size_col: str = "group_size",
+                      count_of: str | None = None, count_col: str | None = None) -> DataFrame:
+    """Window form, for groups known to fit in one task."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    whole = Window.partitionBy(*group_cols)
+    cols = {rank_col: F.row_number().over(whole.orderBy(*order)), size_col: F.count(F.lit(1)).over(whole)}
+    if count_of:
+        cols[count_col] = F.count(count_of).over(whole)
+    return df.withColumns(cols).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def range_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
+                     rank_col: str = "rank", size_col: str = "group_size",
+                     num_partitions: int | None = None,
+                     count_of: str | None = None, count_col: str | None = None) -> DataFrame:
+    """Range-partitioned form, for groups of any size (see module notes).
+
     ``order_cols`` must end in a tie-breaker that is unique inside a group so
     the numbering is deterministic (and therefore stable under task retries).
     Rows are returned in no particular partitioning.
@@ -82,7 +134,8 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
     joined = tagged.join(F.broadcast(offsets), on=["_rk_part", *group_cols], how="inner")
     return (joined
             .withColumn(rank_col, (F.col("_rk_before") + F.col("_rk_pos") - F.col("_rk_first") + 1))
-            .drop("_rk_part", "_rk_pos", "_rk_first", "_rk_before"))
+            .drop("_rk_part", "_rk_pos", "_rk_first", "_rk_before")
+            .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def ntile_from_rank(rank: Column | str, size: Column | str, buckets: int) -> Column:

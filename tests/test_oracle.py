@@ -44,3 +44,23 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "model_ratio" in df.columns
+
+
+RATIO_QUERIES = ["ratio_town_stats", "ratio_deciles", "neighborhood_medians_long", "strict_vs_lenient_median"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
+@pytest.mark.parametrize("name", RATIO_QUERIES)
+def test_range_rank_path_matches_oracle(spark, con, name):
+    """The same queries with the size check forced onto the range-partitioned rank."""
+    import __spark_entry__ as E
+    from parcelbeam.operators.ranking import WINDOW_MAX_GROUP_ROWS_CONF
+    spark.conf.set(WINDOW_MAX_GROUP_ROWS_CONF, "0")
+    try:
+        df = E.queries()[name](spark, SF)
+        s_rows = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.unset(WINDOW_MAX_GROUP_ROWS_CONF)
+    res = con.execute(E.oracle_sql()[name])
+    o_cols = [d[0] for d in res.description]
+    assert s_rows == rows_of(o_cols, res.fetchall())
