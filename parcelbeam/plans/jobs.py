@@ -16,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +30,7 @@ from parcelbeam.operators.attach import (
 from parcelbeam.operators.change import DEFAULT_FACTOR, REQUEST_KEY, value_change
 from parcelbeam.operators.reshape import curve_axis, curve_long, neighborhood_map_frame
 from parcelbeam.operators.rollup import building_unit_counts, join_strings
+from parcelbeam.session import stable
 
 # Correction columns left blank for the field team, in order.
 CORRECTION_COLUMNS = ("new_building_sf", "new_unit_sf", "new_bedrooms", "new_full_baths", "new_half_baths")
@@ -174,12 +174,12 @@ def all_parcels(parcels: DataFrame) -> DataFrame:
     """Per parcel of each township: price decile and both sale ratios (P15, W3,
     F16).  Parcels without a township fall out, as in the per-township loop (D9).
 
-    The study frame is read by the range sampling and the shuffle of the price
-    rank and by every table built on it, so it is persisted once (one row per
-    reviewed parcel) instead of re-running the joins above it for each."""
+    The study frame (one row per reviewed parcel) is read by the size check,
+    the price rank and every table built on it, so it is materialised once in
+    the shared checkpoint folder instead of re-running the joins above it --
+    also after an executor is lost."""
     scoped = parcels.filter(F.col("township_name").isNotNull())
-    study = R.add_ratios(scoped).persist(StorageLevel.MEMORY_AND_DISK)
-    return R.add_price_deciles(study)
+    return R.add_price_deciles(stable(R.add_ratios(scoped)))
 
 
 def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFrame, assessments: DataFrame,

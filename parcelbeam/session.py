@@ -10,7 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -27,16 +28,20 @@ DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "parcelbeam") -> SparkSession:
+                  app_name: str = "parcelbeam", driver_memory: str | None = None) -> SparkSession:
     """Local or cluster session with the job defaults.
 
-    On a cluster ``master`` is left to spark-submit.  The Spark UI is kept
-    off: the jobs are batch jobs and open no port of their own.
+    On a cluster ``master`` and memory are left to spark-submit.  In local mode
+    the driver JVM is the only executor, so its heap is the knob that matters
+    (``driver_memory``, default 8g for ``local[...]`` masters).  The Spark UI
+    is kept off: the jobs are batch jobs and open no port of their own.
     """
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", driver_memory or "8g")
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -60,3 +65,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             prefix="parcelbeam-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame that several outputs read: reliable
+    ``checkpoint()`` into the shared ``spark.checkpoint.dir`` (persisted first
+    so it is computed once).  After an executor loss its blocks are re-read
+    from the shared folder instead of re-running the joins above it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
