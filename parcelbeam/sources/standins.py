@@ -36,8 +36,19 @@ QC_COMMENTS = ("Unit SF looks low", "Bedroom count mismatch", "Check parking")
 NBSP, IDEOGRAPHIC_SPACE = "\u00a0", "\u3000"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver table as a lazy scan.  Each (session, file) is opened once:
+    opening a Parquet dataset reads its footers to learn the schema (a Spark
+    job of its own), and a stand-in view is built from the same table many
+    times.  The test tables are read-only, so the schema cannot go stale."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _mod(c: str, n: int) -> Column:
