@@ -7,7 +7,6 @@ arithmetic) and are applied only when the caller has not set them.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark import StorageLevel
@@ -56,13 +55,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator sets it to shared storage and it is only read
-    here.  Only when it is unset (local tests) is a scratch folder created.
+    here; unset on a cluster is an error.  Only for a local master (tests,
+    local runs) is a scratch folder created when it is unset.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        configured = os.environ.get("PARCELBEAM_CHECKPOINT_DIR") or tempfile.mkdtemp(
-            prefix="parcelbeam-ckpt-")
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: point it at a folder every executor "
+                             "can reach (HDFS, object store); a machine-local folder cannot hold checkpoints")
+        configured = tempfile.mkdtemp(prefix="parcelbeam-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
