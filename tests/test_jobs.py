@@ -77,3 +77,39 @@ def test_range_rules(spark):
     df = spark.createDataFrame([("1", "16"), ("2", "15"), ("3", "3.5"), ("4", ""), ("5", None)], "pin string, new_bedrooms string")
     got = {r["pin"]: r["reason"] for r in range_violations(df, "pin", {"new_bedrooms": (0, 15)}).collect()}
     assert got == {"1": "out of range", "3": "not whole"}
+
+
+SHEET_COLUMNS = [
+    "QC Flag", "PIN10", "PIN", "Address", "Unit", "Total Number Of Units In Building", "Building SF",
+    "New Building SF", "Unit SF", "New Unit SF", "Bedrooms", "New Bedrooms", "Full Baths", "New Full Baths",
+    "Half Baths", "New Half Baths", "Neighborhood Code", "Permits", "Sales", "Parking PIN", "Is Parking Space",
+    "Parking Space Flag Reason", "Is Common Area", "Triad", "Township"]
+
+
+def _review_inputs(spark, sf="/root/testdata/sf0.001"):
+    from parcelbeam.sources import standins as S
+    return [S.pin_universe(spark, sf), S.pin_condo_char(spark, sf), S.pin_permit(spark, sf), S.pin_status(spark, sf),
+            S.pin_sale(spark, sf), S.pin_address(spark, sf), S.qc_flags(spark, sf)]
+
+
+def test_review_sheet_column_order(spark):
+    sheet = jobs.unit_review_job(*_review_inputs(spark), "1999")
+    assert sheet.columns == SHEET_COLUMNS
+    # one row per unit (no QC duplicates in the stand-in sheet), correction columns blank
+    assert sheet.count() == sheet.select("PIN").distinct().count()
+    assert sheet.filter(F.col("New Bedrooms").isNotNull()).count() == 0
+
+
+def test_extra_permit_leaves_sales_unchanged(spark):
+    """Metamorphic: a unit's sales string does not depend on how many permits it has."""
+    inputs = _review_inputs(spark)
+    base = {r["PIN"]: r["Sales"] for r in jobs.unit_review_job(*inputs, "1999").collect()}
+    permits = inputs[2]
+    extra = permits.limit(0).unionByName(
+        permits.select("pin").distinct().select(
+            "pin", F.lit("2000").alias("assessment_year"), F.concat(F.lit("X"), F.col("pin")).alias("permit_number"),
+            F.lit("2000-01-01 00:00:00").alias("date_issued"), F.lit("extra").alias("work_description")))
+    inputs[2] = permits.unionByName(extra)
+    more = jobs.unit_review_job(*inputs, "1999").collect()
+    assert {r["PIN"]: r["Sales"] for r in more} == base
+    assert len(more) == len(base)
