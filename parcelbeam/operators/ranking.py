@@ -67,17 +67,25 @@ def group_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
                      rank_col: str = "rank", size_col: str = "group_size",
                      num_partitions: int | None = None,
                      count_of: str | None = None, count_col: str | None = None,
-                     window_max_group_rows: int | None = None) -> DataFrame:
+                     window_max_group_rows: int | None = None,
+                     known_max_group_rows: int | None = None) -> DataFrame:
     """Add ``rank_col`` (1-based row number inside each group, by ``order_cols``)
     and ``size_col`` (rows in the group).  With ``count_of``/``count_col`` also
     the number of non-NULL ``count_of`` values in the group.
 
     ``window_max_group_rows`` overrides the size bound for the window path;
-    0 forces the range path.  The input should be cheap to read twice (it is
-    read by the size check and by the rank), e.g. persisted.
+    0 forces the range path.  ``known_max_group_rows`` is an upper bound on
+    the group size the caller already measured (e.g. on a coarser grouping of
+    the same rows); without it the input is counted here, so it should be
+    cheap to read twice (persisted or checkpointed).
     """
     limit = window_limit(df) if window_max_group_rows is None else window_max_group_rows
-    if limit > 0 and largest_group(df, group_cols) <= limit:
+    if limit <= 0:
+        use_window = False
+    else:
+        largest = known_max_group_rows if known_max_group_rows is not None else largest_group(df, group_cols)
+        use_window = largest <= limit
+    if use_window:
         return window_row_number(df, group_cols, order_cols, rank_col, size_col, count_of, count_col)
     return range_row_number(df, group_cols, order_cols, rank_col, size_col, num_partitions, count_of, count_col)
 

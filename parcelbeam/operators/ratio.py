@@ -52,12 +52,13 @@ def add_ratios(df: DataFrame, stages: Mapping[str, str] = STAGES, price: str = "
 def add_price_deciles(df: DataFrame, group_cols: Sequence[str] = ("township_name",),
                       price: str = "sale_price", tiebreak: str = "pin", buckets: int = 10,
                       decile_col: str = "price_decile", rank_col: str = "price_rank",
-                      size_col: str = "number_of_sales") -> DataFrame:
+                      size_col: str = "number_of_sales", max_group_rows: int | None = None) -> DataFrame:
     """NTILE(buckets) of price inside each group; rows without a price keep NULL
     and are not counted (W3).  Also keeps the price rank used by MKI (W4)."""
     priced = df.filter(F.col(price).isNotNull())
     unpriced = df.filter(F.col(price).isNull())
-    ranked = group_row_number(priced, group_cols, [price, tiebreak], rank_col, size_col)
+    ranked = group_row_number(priced, group_cols, [price, tiebreak], rank_col, size_col,
+                              known_max_group_rows=max_group_rows)
     ranked = ranked.withColumn(decile_col, ntile_from_rank(rank_col, size_col, buckets))
     return ranked.unionByName(unpriced, allowMissingColumns=True)
 
@@ -72,7 +73,8 @@ def stage_long(df: DataFrame, keep: Sequence[str], stages: Mapping[str, str] = S
 
 
 def median_stats(long: DataFrame, group_cols: Sequence[str], value: str = "ratio",
-                 tiebreak: str = "pin", strict: bool = True, price: str | None = None) -> DataFrame:
+                 tiebreak: str = "pin", strict: bool = True, price: str | None = None,
+                 max_group_rows: int | None = None) -> DataFrame:
     """Exact median and COD of ``value`` per group, plus row counts.
 
     Returns ``group_cols + [n_rows, n_values, median, cod]`` (and, with
@@ -83,7 +85,7 @@ def median_stats(long: DataFrame, group_cols: Sequence[str], value: str = "ratio
     group_cols = list(group_cols)
     v = F.col(value)
     ranked = group_row_number(long, group_cols, [v.asc_nulls_last(), F.col(tiebreak)], "_v_rank", "n_rows",
-                              count_of=value, count_col="n_values")
+                              count_of=value, count_col="n_values", known_max_group_rows=max_group_rows)
     aggs = [
         F.first("n_rows").alias("n_rows"),
         F.first("n_values").alias("n_values"),
@@ -153,26 +155,28 @@ def _wide(stats: DataFrame, key_cols: Sequence[str], measures: Sequence[str],
 
 
 def ratio_deciles(deciled: DataFrame, group_cols: Sequence[str] = ("township_name",),
-                  stages: Mapping[str, str] = STAGES, price: str = "sale_price") -> DataFrame:
+                  stages: Mapping[str, str] = STAGES, price: str = "sale_price",
+                  max_group_rows: int | None = None) -> DataFrame:
     """Per (group, price decile): strict median ratio and COD per stage, price
     range label and number of sales (A10, A2, A4, A8, A9)."""
     keys = [*group_cols, "price_decile"]
     priced = deciled.filter(F.col(price).isNotNull())
     long = stage_long(priced, [*keys, "pin", price], stages)
-    stats = median_stats(long, ["stage", *keys], price=price)
+    stats = median_stats(long, ["stage", *keys], price=price, max_group_rows=max_group_rows)
     out = _wide(stats, keys, ["median", "cod"], list(stages))
     order = [*keys] + [f"{s}_{m}" for s in stages for m in ("ratio", "cod")] + ["price_range", "number_of_sales"]
     return out.select(*order)
 
 
 def town_stats(deciled: DataFrame, group_cols: Sequence[str] = ("township_name",),
-               stages: Mapping[str, str] = STAGES, price: str = "sale_price") -> DataFrame:
+               stages: Mapping[str, str] = STAGES, price: str = "sale_price",
+               max_group_rows: int | None = None) -> DataFrame:
     """Per group: strict median ratio, COD, PRD, PRB, MKI per stage, price range
     and number of sales (A11, A2, A4-A9)."""
     keys = list(group_cols)
     priced = deciled.filter(F.col(price).isNotNull())
     long = stage_long(priced, [*keys, "pin", price, "price_rank"], stages)
-    med = median_stats(long, ["stage", *keys], price=price)
+    med = median_stats(long, ["stage", *keys], price=price, max_group_rows=max_group_rows)
     stats = vertical_equity(long, med, ["stage", *keys], price=price)
     out = _wide(stats, keys, ["median", "cod", "prd", "prb", "mki"], list(stages))
     order = keys + [f"{s}_{m}" for s in stages for m in ("ratio", "cod", "prd", "prb", "mki")] + [
@@ -181,13 +185,13 @@ def town_stats(deciled: DataFrame, group_cols: Sequence[str] = ("township_name",
 
 
 def neighborhood_medians(parcels: DataFrame, group_cols: Sequence[str] = ("township_name", "neighborhood_number"),
-                         stages: Mapping[str, str] = STAGES) -> DataFrame:
+                         stages: Mapping[str, str] = STAGES, max_group_rows: int | None = None) -> DataFrame:
     """Lenient (NULL-skipping) median ratio per neighborhood and stage, over all
     parcels of the township, sold or not (A3, A12).  Long form with stage label
     and order (R3, R8)."""
     keys = list(group_cols)
     long = stage_long(parcels, [*keys, "pin"], stages)
-    stats = median_stats(long, ["stage", *keys], strict=False)
+    stats = median_stats(long, ["stage", *keys], strict=False, max_group_rows=max_group_rows)
     label = F.create_map(*[x for s in stages for x in (F.lit(s), F.lit(STAGE_LABELS.get(s, s)))])
     order = F.create_map(*[x for s in stages for x in (F.lit(s), F.lit(STAGE_ORDER.get(s, 99)))])
     return stats.select(
@@ -196,13 +200,15 @@ def neighborhood_medians(parcels: DataFrame, group_cols: Sequence[str] = ("towns
 
 
 def strict_and_lenient(parcels: DataFrame, group_cols: Sequence[str] = ("township_name",),
-                       stages: Mapping[str, str] = STAGES, price: str = "sale_price") -> DataFrame:
+                       stages: Mapping[str, str] = STAGES, price: str = "sale_price",
+                       max_group_rows: int | None = None) -> DataFrame:
     """Both median rules side by side per group and stage (D6): strict over the
     sold parcels (as in the tables), lenient over all parcels (as in the map)."""
     keys = list(group_cols)
     long_all = stage_long(parcels, [*keys, "pin", price], stages)
-    strict = median_stats(long_all.filter(F.col(price).isNotNull()), ["stage", *keys], strict=True)
-    lenient = median_stats(long_all, ["stage", *keys], strict=False)
+    strict = median_stats(long_all.filter(F.col(price).isNotNull()), ["stage", *keys], strict=True,
+                          max_group_rows=max_group_rows)
+    lenient = median_stats(long_all, ["stage", *keys], strict=False, max_group_rows=max_group_rows)
     # Every group with a sale also has parcels, so the lenient side is complete.
     return lenient.select("stage", *keys, F.round("median", ROUND_DIGITS).alias("lenient_median"),
                           F.col("n_rows").alias("n_parcels"), F.col("n_values").alias("n_ratios")).join(

@@ -28,6 +28,7 @@ from parcelbeam.operators import ratio as R
 from parcelbeam.operators.attach import (
     final_model_values, keep_flagged_groups, most_recent_parcels, newest_per_key)
 from parcelbeam.operators.change import DEFAULT_FACTOR, REQUEST_KEY, value_change
+from parcelbeam.operators.ranking import largest_group
 from parcelbeam.operators.reshape import curve_axis, curve_long, neighborhood_map_frame
 from parcelbeam.operators.rollup import building_unit_counts, join_strings
 from parcelbeam.session import stable
@@ -170,16 +171,25 @@ def ratio_parcels(desk_review: DataFrame, universe: DataFrame, models: DataFrame
     return desk_review.join(parcels, "pin", "left")
 
 
-def all_parcels(parcels: DataFrame) -> DataFrame:
+def ratio_study_frame(parcels: DataFrame) -> tuple[DataFrame, int]:
     """Per parcel of each township: price decile and both sale ratios (P15, W3,
-    F16).  Parcels without a township fall out, as in the per-township loop (D9).
+    F16), plus the row count of the largest township.  Parcels without a
+    township fall out, as in the per-township loop (D9).
 
     The study frame (one row per reviewed parcel) is read by the size check,
     the price rank and every table built on it, so it is materialised once in
     the shared checkpoint folder instead of re-running the joins above it --
-    also after an executor is lost."""
+    also after an executor is lost.  Every later grouping (stage x township,
+    decile, neighborhood) is part of one township, so the one count bounds
+    them all and no later rank has to count again."""
     scoped = parcels.filter(F.col("township_name").isNotNull())
-    return R.add_price_deciles(stable(R.add_ratios(scoped)))
+    study = stable(R.add_ratios(scoped))
+    bound = largest_group(study, ["township_name"])
+    return R.add_price_deciles(study, max_group_rows=bound), bound
+
+
+def all_parcels(parcels: DataFrame) -> DataFrame:
+    return ratio_study_frame(parcels)[0]
 
 
 def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFrame, assessments: DataFrame,
@@ -187,14 +197,14 @@ def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFra
                     universe_years: Sequence[str]) -> dict[str, DataFrame]:
     """All outputs of the ratio study, keyed like the sinks."""
     parcels = ratio_parcels(desk_review, universe, models, assessments, model_year, model_type, universe_years)
-    deciled = all_parcels(parcels)
-    deciles = R.ratio_deciles(deciled)
+    deciled, bound = ratio_study_frame(parcels)
+    deciles = R.ratio_deciles(deciled, max_group_rows=bound)
     curve = curve_long(deciles)
-    nbhd = R.neighborhood_medians(deciled)
+    nbhd = R.neighborhood_medians(deciled, max_group_rows=bound)
     out = {
         "all_parcels": rename_all(deciled.drop("price_rank", "number_of_sales", "year"), title_case),
         "ratio_deciles": deciles,
-        "town_stats": R.town_stats(deciled),
+        "town_stats": R.town_stats(deciled, max_group_rows=bound),
         "curve": curve,
         "curve_axis": curve_axis(curve),
         "neighborhood_medians": nbhd,

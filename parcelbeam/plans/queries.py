@@ -47,16 +47,18 @@ def _ratio_parcels(spark: SparkSession, d: str) -> DataFrame:
         S.final_model(spark, d), S.assessment_pin(spark, d), S.MODEL_YEAR, S.MODEL_TYPE, UNIVERSE_YEARS)
 
 
-def _deciled(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.all_parcels(_ratio_parcels(spark, d))
+def _study(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
+    return jobs.ratio_study_frame(_ratio_parcels(spark, d))
 
 
 def ratio_town_stats(spark: SparkSession, d: str) -> DataFrame:
-    return R.town_stats(_deciled(spark, d))
+    deciled, bound = _study(spark, d)
+    return R.town_stats(deciled, max_group_rows=bound)
 
 
 def ratio_deciles(spark: SparkSession, d: str) -> DataFrame:
-    return R.ratio_deciles(_deciled(spark, d))
+    deciled, bound = _study(spark, d)
+    return R.ratio_deciles(deciled, max_group_rows=bound)
 
 
 def ratio_all_parcels(spark: SparkSession, d: str) -> DataFrame:
@@ -75,7 +77,8 @@ def ratio_curve_axis(spark: SparkSession, d: str) -> DataFrame:
 
 
 def neighborhood_medians_long(spark: SparkSession, d: str) -> DataFrame:
-    return R.neighborhood_medians(_deciled(spark, d))
+    deciled, bound = _study(spark, d)
+    return R.neighborhood_medians(deciled, max_group_rows=bound)
 
 
 def neighborhood_map_frame_q(spark: SparkSession, d: str) -> DataFrame:
@@ -84,7 +87,8 @@ def neighborhood_map_frame_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def strict_vs_lenient_median(spark: SparkSession, d: str) -> DataFrame:
-    return R.strict_and_lenient(_deciled(spark, d))
+    deciled, bound = _study(spark, d)
+    return R.strict_and_lenient(deciled, max_group_rows=bound)
 
 
 def newest_row_per_key(spark: SparkSession, d: str) -> DataFrame:
