@@ -33,10 +33,6 @@ from parcelbeam.operators.reshape import curve_axis, curve_long, neighborhood_ma
 from parcelbeam.operators.rollup import building_unit_counts, join_strings
 from parcelbeam.session import stable
 
-# Correction columns left blank for the field team, in order.
-CORRECTION_COLUMNS = ("new_building_sf", "new_unit_sf", "new_bedrooms", "new_full_baths", "new_half_baths")
-
-
 # --------------------------------------------------------------------------
 # Job 1: value-change check
 # --------------------------------------------------------------------------

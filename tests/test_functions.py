@@ -1,8 +1,6 @@
 """Scalar helpers: id cleaning, display formats, strings (FIXTURES section 4)."""
 
-from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from parcelbeam.functions import keys as K
 from parcelbeam.functions import names as N

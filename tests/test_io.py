@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from parcelbeam.sources.ingest import dedupe_headers, read_columns
 from parcelbeam.sources.sinks import output_name, write_partitioned

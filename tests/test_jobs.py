@@ -1,7 +1,6 @@
 """Job-level rules: value change edges, roll-ups without fan-out, attach rules,
 range rules (FIXTURES section 4)."""
 
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
