@@ -97,16 +97,22 @@ def unit_review_rows(universe: DataFrame, chars: DataFrame, permits: DataFrame,
                      triads: Sequence[str] | None = None, map_url: str = DEFAULT_MAP_URL) -> DataFrame:
     """Review rows in the reference's column names (snake case) with the QC flag
     attached (J8; duplicate flags for a unit repeat it, D12), before the sheet
-    formatting."""
+    formatting.
+
+    Sales and permits are the largest inputs and only the reviewed units'
+    rows matter, so both are cut to those units by a left-semi join before
+    they are rolled up (the key set is broadcast when it is small)."""
     flagged = flagged_units(qc)
+    unit_keys = scoped_universe(universe, flagged, triads).select("pin", "year").join(
+        chars.select("pin", "year"), ["pin", "year"], "inner")
+    unit_pins = unit_keys.select("pin").distinct()
     units = review_units(universe, chars, status, addresses, flagged, triads)
-    units = (units.join(permit_documents(permits, min_year), "pin", "left")
-             .join(sale_documents(sales, min_year), "pin", "left")
+    units = (units
+             .join(permit_documents(permits.join(unit_pins, "pin", "left_semi"), min_year), "pin", "left")
+             .join(sale_documents(sales.join(unit_pins, "pin", "left_semi"), min_year), "pin", "left")
              .join(flagged, "pin", "left"))
     # Units per building from the light (pin, year) key join only, not from the
     # wide joined rows: the count needs no status, address or documents.
-    unit_keys = scoped_universe(universe, flagged, triads).select("pin", "year").join(
-        chars.select("pin", "year"), ["pin", "year"], "inner")
     units = units.join(building_unit_counts(unit_keys), "pin10", "left")
     address = alnum_words(address_line("prop_address_full", "prop_address_city_name", "prop_address_zipcode_1"))
     rows = units.select(
@@ -158,12 +164,13 @@ def desk_review_values(sheets: DataFrame, pin_col: str = "PIN", value_col: str =
 def ratio_parcels(desk_review: DataFrame, universe: DataFrame, models: DataFrame, assessments: DataFrame,
                   model_year: str, model_type: str, universe_years: Sequence[str]) -> DataFrame:
     """Desk-review parcels with township, neighborhood, model value and study sale
-    (J9-J12, W1).  The universe is cut to the reviewed parcels by a semi-join
-    before the newest-year pick, so the window only sees requested parcels."""
+    (J9-J12, W1).  The universe and the model values are both cut to the
+    reviewed parcels by semi-joins first, so the newest-year window and the
+    joins only see requested parcels (the key set is broadcast when small)."""
     reviewed = desk_review.select("pin").distinct()
     scoped = universe.join(reviewed, "pin", "left_semi")
-    parcels = most_recent_parcels(scoped, universe_years).join(
-        final_model_values(models, assessments, model_year, model_type), "pin", "left")
+    values = final_model_values(models, assessments, model_year, model_type).join(reviewed, "pin", "left_semi")
+    parcels = most_recent_parcels(scoped, universe_years).join(values, "pin", "left")
     return desk_review.join(parcels, "pin", "left")
 
 
