@@ -25,18 +25,30 @@ def output_name(prefix: str, year: int, suffix: str = "") -> str:
     return "_".join(parts)
 
 
+# Tasks one partition value may be spread over when there is no sort key.
+SPREAD = 16
+
+
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       sort_cols: list[str] | None = None, fmt: str = "parquet") -> str:
     """Overwrite the partitions present in ``df`` (dynamic overwrite) and leave the
     others; rows whose partition key is NULL are not written (a NULL township
-    has no tab).  Each output partition is clustered by a shuffle on its keys
-    and sorted inside by ``sort_cols``."""
+    has no tab).
+
+    No partition value is written by a single task: with ``sort_cols`` the rows
+    are range-partitioned on (partition keys, sort keys), so a township holding
+    a third of the rows spreads over many tasks, each writing one contiguous,
+    sorted slice; without, each value is spread over up to ``SPREAD`` tasks by
+    a deterministic hash of the row (stable under task retries)."""
     keep = df
     for c in partition_cols:
         keep = keep.filter(F.col(f"`{c}`").isNotNull())
-    keep = keep.repartition(*[F.col(f"`{c}`") for c in partition_cols])
+    keys = [F.col(f"`{c}`") for c in partition_cols + (sort_cols or [])]
     if sort_cols:
-        keep = keep.sortWithinPartitions(*[F.col(f"`{c}`") for c in partition_cols + sort_cols])
+        keep = keep.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    else:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in keep.columns]), F.lit(SPREAD))
+        keep = keep.repartition(*keys, salt)
     (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).format(fmt).save(path))
     return path
@@ -47,9 +59,11 @@ def write_review_sheets(sheet: DataFrame, path: str) -> str:
     return write_partitioned(sheet, path, ["Triad", "Township"], ["PIN"])
 
 
-def write_value_change(df: DataFrame, path: str) -> str:
-    """Value-change output: one folder per request file, same file name."""
-    return write_partitioned(df, path, ["source_file"])
+def write_value_change(df: DataFrame, path: str, key_col: str = "Permanent Index Number") -> str:
+    """Value-change output: one folder per request file, same file name, rows
+    by request id when the id column is present."""
+    sort = [key_col] if key_col in df.columns else None
+    return write_partitioned(df, path, ["source_file"], sort)
 
 
 def write_ratio_study(outputs: dict[str, DataFrame], root: str) -> dict[str, str]:
