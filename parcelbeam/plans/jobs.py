@@ -198,7 +198,9 @@ def all_parcels(parcels: DataFrame) -> DataFrame:
 def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFrame, assessments: DataFrame,
                     polygons: DataFrame | None, model_year: str, model_type: str,
                     universe_years: Sequence[str]) -> dict[str, DataFrame]:
-    """All outputs of the ratio study, keyed like the sinks."""
+    """All outputs of the ratio study, keyed like the sinks.  ``unmatched`` lists
+    the reviewed parcels that match no parcel of the universe years: they have
+    no township and fall out of every township table (D9 audit)."""
     parcels = ratio_parcels(desk_review, universe, models, assessments, model_year, model_type, universe_years)
     deciled, bound = ratio_study_frame(parcels)
     deciles = R.ratio_deciles(deciled, max_group_rows=bound)
@@ -211,6 +213,7 @@ def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFra
         "curve": curve,
         "curve_axis": curve_axis(curve),
         "neighborhood_medians": nbhd,
+        "unmatched": parcels.filter(F.col("township_name").isNull()).select("pin", "desk_review_value"),
     }
     if polygons is not None:
         out["neighborhood_map"] = neighborhood_map_frame(nbhd, polygons)

@@ -70,6 +70,10 @@ def write_ratio_study(outputs: dict[str, DataFrame], root: str) -> dict[str, str
     """Each ratio-study table partitioned by township (blanks as underscores)."""
     written = {}
     for name, df in outputs.items():
+        if name == "unmatched":  # no township: one plain dataset
+            written[name] = os.path.join(root, name)
+            df.write.mode("overwrite").parquet(written[name])
+            continue
         town = "Township Name" if "Township Name" in df.columns else "township_name"
         keyed = df.withColumn("township_file", file_label(F.col(f"`{town}`")))
         written[name] = write_partitioned(keyed, os.path.join(root, name), ["township_file"])

@@ -68,6 +68,7 @@ def test_ratio_study_cli(spark, tmpdir_path):
         args += [f"--{n}", p]
     written = cli.main(args, spark)
     assert set(written) >= {"all_parcels", "ratio_deciles", "town_stats", "curve", "curve_axis", "neighborhood_medians"}
+    assert spark.read.parquet(written["unmatched"]).count() == 0
     towns = spark.read.parquet(written["town_stats"])
     assert towns.count() == 25
     assert towns.select("township_file").distinct().count() == 25

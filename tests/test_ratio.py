@@ -106,3 +106,23 @@ def test_deciles_and_curve(spark):
     axis = curve_axis(curve).collect()
     assert axis[0]["y_min"] == pytest.approx(0.7) and axis[0]["y_max"] == pytest.approx(1.3)
     assert [r["axis_break"] for r in axis] == pytest.approx([0.7 + 0.1 * i for i in range(7)])
+
+
+def test_unmatched_desk_review_is_reported(spark):
+    from parcelbeam.plans import jobs
+    universe = spark.createDataFrame(
+        [("01", "2025", "T", "N-1"), ("02", "2024", "T", "N-1")],
+        "pin string, year string, township_name string, nbhd_code string")
+    models = spark.createDataFrame([("r", "2025", "res", ["1"])],
+                                   "run_id string, year string, type string, township_code_coverage array<string>")
+    assessments = spark.createDataFrame(
+        [("r", "1", "01", 90.0, 100.0, None, "D1"), ("r", "1", "02", 80.0, None, None, None)],
+        "run_id string, township_code string, meta_pin string, pred_pin_final_fmv_round double, "
+        "sale_ratio_study_price double, sale_ratio_study_date date, sale_ratio_study_document_num string")
+    desk = spark.createDataFrame([("01", 95.0), ("0-2", 85.0), ("99", 1.0)], "pin string, desk_review_value double")
+    desk = desk.withColumn("pin", F.regexp_replace("pin", "-", ""))
+    out = jobs.ratio_study_job(desk, universe, models, assessments, None, "2025", "res", ["2024", "2025"])
+    assert [r["pin"] for r in out["unmatched"].collect()] == ["99"]
+    assert out["all_parcels"].count() == 2
+    town = out["town_stats"].collect()[0]
+    assert town["number_of_sales"] == 1 and town["model_ratio"] == pytest.approx(0.9)
