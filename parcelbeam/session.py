@@ -23,6 +23,8 @@ DEFAULTS = {
     # fall back to a shuffle join beyond it.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Remove a checkpoint's files once the frame that wrote it is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
