@@ -206,10 +206,14 @@ def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFra
     deciles = R.ratio_deciles(deciled, max_group_rows=bound)
     curve = curve_long(deciles)
     nbhd = R.neighborhood_medians(deciled, max_group_rows=bound)
+    parcel_cols = ["township_name", "pin", "desk_review_value", "neighborhood_number", "model_value",
+                   "sale_price", "sale_date", "sale_document_number", "price_decile",
+                   "model_sale_ratio", "desk_review_sale_ratio"]
     out = {
-        "all_parcels": rename_all(deciled.drop("price_rank", "number_of_sales", "year"), title_case),
-        "ratio_deciles": deciles,
-        "town_stats": R.town_stats(deciled, max_group_rows=bound),
+        # Sheets as delivered: title-cased headers ("Model Cod", "Number Of Sales").
+        "all_parcels": rename_all(deciled.select(*parcel_cols), title_case),
+        "ratio_deciles": rename_all(deciles, title_case),
+        "town_stats": rename_all(R.town_stats(deciled, max_group_rows=bound), title_case),
         "curve": curve,
         "curve_axis": curve_axis(curve),
         "neighborhood_medians": nbhd,

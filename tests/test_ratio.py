@@ -125,4 +125,4 @@ def test_unmatched_desk_review_is_reported(spark):
     assert [r["pin"] for r in out["unmatched"].collect()] == ["99"]
     assert out["all_parcels"].count() == 2
     town = out["town_stats"].collect()[0]
-    assert town["number_of_sales"] == 1 and town["model_ratio"] == pytest.approx(0.9)
+    assert town["Number Of Sales"] == 1 and town["Model Ratio"] == pytest.approx(0.9)
