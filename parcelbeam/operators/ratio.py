@@ -54,13 +54,21 @@ def add_price_deciles(df: DataFrame, group_cols: Sequence[str] = ("township_name
                       decile_col: str = "price_decile", rank_col: str = "price_rank",
                       size_col: str = "number_of_sales", max_group_rows: int | None = None) -> DataFrame:
     """NTILE(buckets) of price inside each group; rows without a price keep NULL
-    and are not counted (W3).  Also keeps the price rank used by MKI (W4)."""
-    priced = df.filter(F.col(price).isNotNull())
-    unpriced = df.filter(F.col(price).isNull())
-    ranked = group_row_number(priced, group_cols, [price, tiebreak], rank_col, size_col,
+    and are not counted (W3).  Also keeps the price rank used by MKI (W4).
+
+    All rows are ranked in one pass with NULL prices sorted last, so the priced
+    rows hold ranks 1..n and the group size is the count of prices -- no
+    split-and-union, which keeps the rank's partitioning for the per-township
+    steps after it."""
+    ranked = group_row_number(df, group_cols, [F.col(price).asc_nulls_last(), F.col(tiebreak)],
+                              "_price_pos", "_group_rows", count_of=price, count_col="_priced",
                               known_max_group_rows=max_group_rows)
-    ranked = ranked.withColumn(decile_col, ntile_from_rank(rank_col, size_col, buckets))
-    return ranked.unionByName(unpriced, allowMissingColumns=True)
+    priced = F.col(price).isNotNull()
+    return (ranked
+            .withColumn(rank_col, F.when(priced, F.col("_price_pos")))
+            .withColumn(size_col, F.when(priced, F.col("_priced")))
+            .withColumn(decile_col, ntile_from_rank(rank_col, size_col, buckets))
+            .drop("_price_pos", "_group_rows", "_priced"))
 
 
 def stage_long(df: DataFrame, keep: Sequence[str], stages: Mapping[str, str] = STAGES) -> DataFrame:
