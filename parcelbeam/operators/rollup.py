@@ -33,17 +33,6 @@ def join_strings(df: DataFrame, key: Sequence[str] | str, entry: Column, out_col
     return df.groupBy(*keys).agg(*aggs)
 
 
-def attach_group_size(df: DataFrame, group_expr: Column, out_col: str,
-                      distinct_of: str | None = None) -> DataFrame:
-    """Rows per group (or distinct ``distinct_of`` values per group), attached to
-    every row (W2/W5) by an aggregate and a join back: the aggregate combines
-    map-side, which a whole-partition window cannot."""
-    keyed = df.withColumn("_grp", group_expr)
-    measure = F.countDistinct(distinct_of) if distinct_of else F.count(F.lit(1))
-    sizes = keyed.groupBy("_grp").agg(measure.alias(out_col))
-    return keyed.join(sizes, on="_grp", how="inner").drop("_grp")
-
-
 def building_unit_counts(units: DataFrame, key_col: str = "pin") -> DataFrame:
     """Distinct units per building (D1 decision)."""
     return (units.select(pin10(F.col(key_col)).alias("pin10"), key_col)

@@ -3,7 +3,7 @@
 import os
 
 
-from parcelbeam.sources.ingest import dedupe_headers, read_columns
+from parcelbeam.sources.ingest import dedupe_headers, output_path_for, read_columns
 from parcelbeam.sources.sinks import output_name, write_partitioned
 from parcelbeam.streaming.intake import start_value_change_intake
 
@@ -54,3 +54,9 @@ def test_streaming_intake_processes_each_file_once(spark, tmpdir_path):
     back = spark.read.parquet(out)
     got = {r["source_file"]: r["Large Increase"] for r in back.collect()}
     assert got == {"req1.csv": True, "req2.csv": None}
+
+
+def test_output_path_keeps_file_name():
+    # only the folder changes, even when the file name contains "input" (D13)
+    assert output_path_for("/share/ahsap/input/input_list.csv", "/share/ahsap/input", "/share/ahsap/output") == \
+        "/share/ahsap/output/input_list.csv"
