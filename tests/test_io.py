@@ -58,5 +58,5 @@ def test_streaming_intake_processes_each_file_once(spark, tmpdir_path):
 
 def test_output_path_keeps_file_name():
     # only the folder changes, even when the file name contains "input" (D13)
-    assert output_path_for("/share/ahsap/input/input_list.csv", "/share/ahsap/input", "/share/ahsap/output") == \
-        "/share/ahsap/output/input_list.csv"
+    assert output_path_for("/share/requests/input/input_list.csv", "/share/requests/input", "/share/requests/output") == \
+        "/share/requests/output/input_list.csv"
