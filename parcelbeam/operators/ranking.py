@@ -139,11 +139,12 @@ def range_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
         F.coalesce(F.sum("_rk_cnt").over(w_before), F.lit(0)).alias("_rk_before"),
         F.sum("_rk_cnt").over(w_all).alias(size_col), *extra)
 
+    # Only the tagged rows are kept: the ranked rows are a map-side broadcast
+    # join over them, cheap to recompute, so the data is not cached twice.
     joined = tagged.join(F.broadcast(offsets), on=["_rk_part", *group_cols], how="inner")
     return (joined
             .withColumn(rank_col, (F.col("_rk_before") + F.col("_rk_pos") - F.col("_rk_first") + 1))
-            .drop("_rk_part", "_rk_pos", "_rk_first", "_rk_before")
-            .persist(StorageLevel.MEMORY_AND_DISK))
+            .drop("_rk_part", "_rk_pos", "_rk_first", "_rk_before"))
 
 
 def ntile_from_rank(rank: Column | str, size: Column | str, buckets: int) -> Column:
