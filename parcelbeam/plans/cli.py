@@ -53,7 +53,7 @@ def run_unit_review(spark: SparkSession, a: argparse.Namespace) -> str:
         load_table(spark, a.universe), load_table(spark, a.chars), load_table(spark, a.permits),
         load_table(spark, a.status), load_table(spark, a.sales), load_table(spark, a.addresses),
         load_sheets(spark, a.qc), a.min_year, a.triad or None, a.map_url)
-    return sinks.write_review_sheets(sheet, a.out)
+    return sinks.write_review_sheets(sheet, a.out, a.year)
 
 
 def run_ratio_study(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
@@ -83,6 +83,7 @@ def parser() -> argparse.ArgumentParser:
     u.add_argument("--min-year", required=True)
     u.add_argument("--triad", action="append", default=[])
     u.add_argument("--map-url", default=jobs.DEFAULT_MAP_URL)
+    u.add_argument("--year", type=int, help="year in the workbook name (default: current year)")
 
     r = sub.add_parser("ratio-study")
     for name in ("desk-review", "universe", "models", "assessments", "out"):

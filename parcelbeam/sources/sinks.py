@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.text import file_label
@@ -54,9 +54,18 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
     return path
 
 
-def write_review_sheets(sheet: DataFrame, path: str) -> str:
-    """Unit review sheet: one folder per triad and township, rows by PIN."""
-    return write_partitioned(sheet, path, ["Triad", "Township"], ["PIN"])
+def workbook_name(triad: Column, year: int | None = None, suffix: str = "condo_review") -> Column:
+    """'<triad, lower case, blanks as _>_<suffix>_<year>' as a column; the year
+    defaults to the current one (S13, F20)."""
+    yr = F.lit(str(year)) if year is not None else F.year(F.current_date()).cast("string")
+    return F.concat(F.lower(file_label(triad)), F.lit(f"_{suffix}_"), yr)
+
+
+def write_review_sheets(sheet: DataFrame, path: str, year: int | None = None) -> str:
+    """Unit review sheets: one folder per workbook (triad + year) and township
+    tab, rows by PIN -- every triad in one write (S11, S13)."""
+    named = sheet.withColumn("workbook", workbook_name(F.col("Triad"), year))
+    return write_partitioned(named, path, ["workbook", "Township"], ["PIN"])
 
 
 def write_value_change(df: DataFrame, path: str, key_col: str = "Permanent Index Number") -> str:

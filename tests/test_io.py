@@ -60,3 +60,14 @@ def test_output_path_keeps_file_name():
     # only the folder changes, even when the file name contains "input" (D13)
     assert output_path_for("/share/requests/input/input_list.csv", "/share/requests/input", "/share/requests/output") == \
         "/share/requests/output/input_list.csv"
+
+
+def test_review_workbook_names(spark, tmpdir_path):
+    from parcelbeam.sources.sinks import write_review_sheets
+    sheet = spark.createDataFrame([("MIDDLE EAST", "NATION 4", "01-02-003-004-0005", 1)],
+                                  "Triad string, Township string, PIN string, v int")
+    out = os.path.join(tmpdir_path, "sheets")
+    write_review_sheets(sheet, out, year=2025)
+    assert os.path.isdir(os.path.join(out, "workbook=middle_east_condo_review_2025", "Township=NATION 4"))
+    back = spark.read.parquet(out)
+    assert back.select("Triad").first()[0] == "MIDDLE EAST"
