@@ -11,11 +11,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.keys import pin10
 
+MAX_BROADCAST_ROWS_CONF = "parcelbeam.broadcast.maxRows"
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
+               max_rows: int | None = None) -> DataFrame:
+    """Join a derived table that is usually small (medians per group, rank
+    offsets) onto ``big``.  It is broadcast only after it has been counted --
+    the count is the proof of its size -- and only up to ``max_rows``
+    (``parcelbeam.broadcast.maxRows``, default 1,000,000); beyond that the
+    join is a shuffle join, with AQE's skew splitting.  ``small`` is
+    persisted first so the count and the join read one materialisation."""
+    if max_rows is None:
+        conf = big.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, None)
+        max_rows = int(conf) if conf is not None else DEFAULT_MAX_BROADCAST_ROWS
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    side = F.broadcast(small) if small.count() <= max_rows else small
+    return big.join(side, on=on, how=how)
+
 
 def newest_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[Column],
                    rank_col: str | None = None) -> DataFrame:

@@ -16,7 +16,8 @@ numbers from a global range-partitioned sort instead:
    ``partitions + groups`` rows -- gives each group's first position and
    row count per partition; a running sum over partitions gives the rows
    of the same group in earlier partitions.
-4. That table is broadcast back (its size bound is structural, see 3).
+4. That table is joined back -- broadcast after it has been counted (it
+   has partitions + groups rows; see ``attach.join_small``).
 
 The tagged rows feed both the small table and the join back, so they are
 persisted (memory, spilling to disk) and read twice instead of recomputing
@@ -46,6 +47,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelbeam.operators.attach import join_small
+
 _POS_BITS = 33
 WINDOW_MAX_GROUP_ROWS_CONF = "parcelbeam.rank.windowMaxGroupRows"
 DEFAULT_WINDOW_MAX_GROUP_ROWS = 2_000_000
@@ -141,7 +144,8 @@ def range_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
 
     # Only the tagged rows are kept: the ranked rows are a map-side broadcast
     # join over them, cheap to recompute, so the data is not cached twice.
-    joined = tagged.join(F.broadcast(offsets), on=["_rk_part", *group_cols], how="inner")
+    # One row per (partition, group); broadcast after a size check (see join_small).
+    joined = join_small(tagged, offsets, ["_rk_part", *group_cols])
     return (joined
             .withColumn(rank_col, (F.col("_rk_before") + F.col("_rk_pos") - F.col("_rk_first") + 1))
             .drop("_rk_part", "_rk_pos", "_rk_first", "_rk_before"))

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.text import price_range
+from parcelbeam.operators.attach import join_small
 from parcelbeam.operators.ranking import (
     group_row_number, lower_half, middle_positions, ntile_from_rank, upper_half)
 
@@ -117,12 +118,12 @@ def median_stats(long: DataFrame, group_cols: Sequence[str], value: str = "ratio
 def vertical_equity(long: DataFrame, medians: DataFrame, group_cols: Sequence[str],
                     price: str = "sale_price", rank_col: str = "price_rank") -> DataFrame:
     """PRD, PRB and MKI per group (strict), carrying the ``median_stats`` columns
-    through.  ``medians`` has one row per group, so joining it back is a
-    broadcast bounded by the number of groups (stages x townships)."""
+    through.  ``medians`` has one row per group (stages x townships): it is
+    joined back by ``join_small``, broadcast after a size check."""
     group_cols = list(group_cols)
     carried = [c for c in medians.columns if c not in group_cols]
     m_tab = medians.withColumn("_m", F.col("median"))
-    j = long.join(F.broadcast(m_tab), on=group_cols, how="inner")
+    j = join_small(long, m_tab, group_cols)
     a, p, r, m, i = F.col("assessed"), F.col(price).cast("double"), F.col("ratio"), F.col("_m"), F.col(rank_col)
     y = F.try_divide(r - m, m)
     x = F.log2(F.lit(0.5) * (F.try_divide(a, m) + p))
