@@ -195,6 +195,14 @@ def all_parcels(parcels: DataFrame) -> DataFrame:
     return ratio_study_frame(parcels)[0]
 
 
+def all_parcels_sheet(deciled: DataFrame) -> DataFrame:
+    """The per-parcel sheet in its delivered column order and title-cased names."""
+    cols = ["township_name", "pin", "desk_review_value", "neighborhood_number", "model_value",
+            "sale_price", "sale_date", "sale_document_number", "price_decile",
+            "model_sale_ratio", "desk_review_sale_ratio"]
+    return rename_all(deciled.select(*cols), title_case)
+
+
 def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFrame, assessments: DataFrame,
                     polygons: DataFrame | None, model_year: str, model_type: str,
                     universe_years: Sequence[str]) -> dict[str, DataFrame]:
@@ -206,12 +214,9 @@ def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFra
     deciles = R.ratio_deciles(deciled, max_group_rows=bound)
     curve = curve_long(deciles)
     nbhd = R.neighborhood_medians(deciled, max_group_rows=bound)
-    parcel_cols = ["township_name", "pin", "desk_review_value", "neighborhood_number", "model_value",
-                   "sale_price", "sale_date", "sale_document_number", "price_decile",
-                   "model_sale_ratio", "desk_review_sale_ratio"]
     out = {
         # Sheets as delivered: title-cased headers ("Model Cod", "Number Of Sales").
-        "all_parcels": rename_all(deciled.select(*parcel_cols), title_case),
+        "all_parcels": all_parcels_sheet(deciled),
         "ratio_deciles": rename_all(deciles, title_case),
         "town_stats": rename_all(R.town_stats(deciled, max_group_rows=bound), title_case),
         "curve": curve,

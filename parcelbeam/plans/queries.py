@@ -62,10 +62,7 @@ def ratio_deciles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ratio_all_parcels(spark: SparkSession, d: str) -> DataFrame:
-    out = jobs.ratio_study_job(
-        jobs.desk_review_values(S.desk_review_sheets(spark, d)), S.pin_universe(spark, d),
-        S.final_model(spark, d), S.assessment_pin(spark, d), None, S.MODEL_YEAR, S.MODEL_TYPE, UNIVERSE_YEARS)
-    return out["all_parcels"]
+    return jobs.all_parcels_sheet(_study(spark, d)[0])
 
 
 def ratio_curve_long(spark: SparkSession, d: str) -> DataFrame:
