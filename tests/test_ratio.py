@@ -126,3 +126,16 @@ def test_unmatched_desk_review_is_reported(spark):
     assert out["all_parcels"].count() == 2
     town = out["town_stats"].collect()[0]
     assert town["Number Of Sales"] == 1 and town["Model Ratio"] == pytest.approx(0.9)
+
+
+def test_town_stats_without_broadcast(spark):
+    """Above the broadcast bound the medians are shuffle-joined; same numbers."""
+    from parcelbeam.operators.attach import MAX_BROADCAST_ROWS_CONF
+    rows = [(str(i), f"T{i % 3}", "N", 1000.0 + 37 * i, 900.0 + 41 * (i % 7) + 30 * i, 950.0 + 33 * i) for i in range(60)]
+    base = {r["township_name"]: r for r in R.town_stats(_study(spark, rows)).collect()}
+    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "0")
+    try:
+        shuffled = {r["township_name"]: r for r in R.town_stats(_study(spark, rows)).collect()}
+    finally:
+        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
+    assert shuffled == base
