@@ -42,6 +42,9 @@ def start_value_change_intake(spark: SparkSession, landing_dir: str, columns: Se
     are processed (a scheduled run), otherwise it keeps watching the folder."""
     checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "value-change-intake")
 
+    # A file source never splits a file across micro-batches, and each batch
+    # dynamically overwrites exactly the partitions of its own files, so a
+    # batch replayed after a failure rewrites the same output (idempotent).
     def process(batch: DataFrame, batch_id: int) -> None:
         out = value_change(batch, history, mail_year, factor)
         write_partitioned(out, output_dir, ["source_file"])
