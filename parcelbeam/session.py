@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Target size of partitions after AQE coalesces or splits them: large
+    # enough for few tasks, small enough to sort and aggregate without spilling.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     # Size-checked broadcast: the planner (statically) and AQE (at runtime,
