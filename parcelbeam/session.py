@@ -64,7 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local runs) is a scratch folder created when it is unset.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = sc.getCheckpointDir()
+    if current:  # already set (by spark.checkpoint.dir at start-up or an earlier call)
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set: point it at a folder every executor "
