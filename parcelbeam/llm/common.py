@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,3 +70,31 @@ def hash_fraction(seed: str, key: Column) -> Column:
     """A number in [0, 1) from the first 52 bits of md5(seed:key); null keys count as empty text."""
     digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Only the driver reads the archive; Spark sends it to the executors."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="corpus-ops-"), "package")
+        root, name = os.path.split(package)
+        spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", root, name))
+
+
+def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with the package on the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def map_groups(df: DataFrame, keys: list[str], run: Callable, schema: str) -> DataFrame:
+    """``applyInPandas`` per key with the package on the workers."""
+    ship_package(df.sparkSession)
+    return df.groupBy(*keys).applyInPandas(run, schema)

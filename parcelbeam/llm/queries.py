@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelbeam.llm import mixing, quality, secret_scan
+from parcelbeam.llm import mixing, packing, quality, secret_scan, token_counts
 from parcelbeam.llm.common import table
 
+#: The vocabulary file of the token operators.
+VOCABULARY = "word_bpe_49k.json"
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
@@ -20,4 +28,8 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_secret_scans, op9_source_mixing)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_best_fit_packing, op4_secret_scans, op9_source_mixing, op10_token_counts)}
