@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelbeam.llm import mixing, packing, quality, secret_scan
+from parcelbeam.llm import mixing, ngram_join, packing, quality, secret_scan
 from parcelbeam.llm.common import shared_folder, table
 from parcelbeam.llm.queries import VOCABULARY
 
@@ -23,6 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.keep_one(docs)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the found secrets replaced and n_chars counted again where they were."""
     clean = secret_scan.redact(docs)
@@ -41,6 +46,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
     ("secret_scans", secret_scans),
     ("source_mixing", source_mixing),
     ("best_fit_packing", best_fit_packing),
