@@ -40,13 +40,12 @@ def search_link(address: Column | str) -> Column:
     return F.concat(F.lit(HYPERLINK_OPEN + SEARCH_URL), a, F.lit(HYPERLINK_MID), a, F.lit(HYPERLINK_CLOSE))
 
 
-def number_text(c: Column | str, scale: int = 6) -> Column:
-    """Plain decimal text of a number without trailing zeros; NULL prints 'NA'.
-
-    Goes through a fixed-scale decimal so the text never depends on the
-    engine's double-to-string algorithm: -87.623 -> '-87.623', 41.0 -> '41'.
+def number_text(c: Column | str) -> Column:
+    """Plain decimal text of a number with all its digits, without trailing zeros
+    or an exponent: -87.62345678912 -> '-87.62345678912', 41.0 -> '41'; NULL
+    prints 'NA'.
     """
-    txt = _col(c).cast(T.DecimalType(18, scale)).cast("string")
+    txt = _col(c).cast("string").cast(T.DecimalType(38, 18)).cast("string")
     txt = F.regexp_replace(txt, "\\.?0+$", "")
     return F.coalesce(txt, F.lit("NA"))
 

@@ -10,6 +10,8 @@ are only used where the size bound is structural.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -22,19 +24,25 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
+               max_rows: int | None = None, null_safe: bool = False) -> DataFrame:
     """Join a derived table that is usually small (medians per group, rank
     offsets) onto ``big``.  It is broadcast only after it has been counted --
     the count is the proof of its size -- and only up to ``max_rows``
     (``parcelbeam.broadcast.maxRows``, default 1,000,000); beyond that the
     join is a shuffle join, with AQE's skew splitting.  ``small`` is
-    persisted first so the count and the join read one materialisation."""
+    persisted first so the count and the join read one materialisation.  With
+    ``null_safe`` NULL keys meet NULL keys, as they do in a grouping."""
     if max_rows is None:
         conf = big.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, None)
         max_rows = int(conf) if conf is not None else DEFAULT_MAX_BROADCAST_ROWS
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     side = F.broadcast(small) if small.count() <= max_rows else small
-    return big.join(side, on=on, how=how)
+    if not null_safe:
+        return big.join(side, on=on, how=how)
+    keys = [on] if isinstance(on, str) else list(on)
+    side = side.withColumnsRenamed({k: f"_small_{k}" for k in keys})
+    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_small_{k}`")) for k in keys])
+    return big.join(side, same, how).drop(*[f"_small_{k}" for k in keys])
 
 
 def newest_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[Column],
@@ -53,6 +61,11 @@ def newest_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[Colu
     return ranked.drop("_top_rn")
 
 
+def nan_to_null(c: Column) -> Column:
+    """NaN counts as missing."""
+    return F.when(~F.isnan(c.cast("double")), c)
+
+
 def explode_coverage(models: DataFrame, array_col: str, out_col: str,
                      keep: Sequence[str] = ("run_id",)) -> DataFrame:
     """``CROSS JOIN UNNEST(arr)``: one row per array element; a NULL or empty
@@ -67,11 +80,11 @@ def final_model_values(models: DataFrame, assessments: DataFrame, year: str, mod
     runs = explode_coverage(
         models.filter((F.col("year") == F.lit(year)) & (F.col("type") == F.lit(model_type))),
         "township_code_coverage", "township_code")
-    vals = assessments.join(runs, on=["run_id", "township_code"], how="inner")
+    vals = join_small(assessments, runs, ["run_id", "township_code"])
     return vals.select(
         F.col("meta_pin").alias("pin"),
-        F.col("pred_pin_final_fmv_round").alias("model_value"),
-        F.col("sale_ratio_study_price").alias("sale_price"),
+        nan_to_null(F.col("pred_pin_final_fmv_round")).alias("model_value"),
+        nan_to_null(F.col("sale_ratio_study_price")).alias("sale_price"),
         F.col("sale_ratio_study_date").alias("sale_date"),
         F.col("sale_ratio_study_document_num").alias("sale_document_number"))
 

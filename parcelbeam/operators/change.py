@@ -51,8 +51,13 @@ def value_change(requests: DataFrame, history: DataFrame, mail_year: int,
     only requested parcels reach the shuffle of the main left join; when the
     request list is small the planner broadcasts it there.
     """
-    req = requests.withColumn("pin", clean_pin(F.col(f"`{key_col}`")))
-    wanted = req.select("pin").filter(F.col("pin").isNotNull())
+    req = requests.withColumn("_request_pin", clean_pin(F.col(f"`{key_col}`")))
+    wanted = req.select(F.col("_request_pin").alias("pin")).filter(F.col("pin").isNotNull())
     vals = change_columns(history.join(wanted, "pin", "left_semi"), mail_year, factor)
-    out = req.join(vals, on="pin", how="left").drop("pin")
+    vals = vals.withColumnRenamed("pin", "_request_pin")
+    # a name on both sides gets a suffix on each, as in a joined data frame
+    clash = set(requests.columns) & set(vals.columns)
+    req = req.withColumnsRenamed({c: f"{c}.x" for c in clash})
+    vals = vals.withColumnsRenamed({c: f"{c}.y" for c in clash})
+    out = req.join(vals, on="_request_pin", how="left").drop("_request_pin")
     return out.select(*[F.col(f"`{c}`").alias(dots_to_blanks(c)) for c in out.columns])

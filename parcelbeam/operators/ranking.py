@@ -102,7 +102,16 @@ def window_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequ
     cols = {rank_col: F.row_number().over(whole.orderBy(*order)), size_col: F.count(F.lit(1)).over(whole)}
     if count_of:
         cols[count_col] = F.count(count_of).over(whole)
-    return df.withColumns(cols).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.withColumns(cols)
+
+
+def total_order(df: DataFrame, first: Sequence[Column | str]) -> list[Column | str]:
+    """``first`` followed by all other sortable columns, by name: rows that still tie are equal in
+    every column, so any order of theirs gives the same numbers (and so does a retried task)."""
+    named = {c for c in first if isinstance(c, str)}
+    rest = [f.name for f in sorted(df.schema.fields, key=lambda f: f.name)
+            if f.name not in named and f.dataType.typeName() not in ("map", "variant")]
+    return [*first, *[F.col(f"`{c}`") for c in rest]]
 
 
 def range_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
@@ -145,7 +154,8 @@ def range_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
     # Only the tagged rows are kept: the ranked rows are a map-side broadcast
     # join over them, cheap to recompute, so the data is not cached twice.
     # One row per (partition, group); broadcast after a size check (see join_small).
-    joined = join_small(tagged, offsets, ["_rk_part", *group_cols])
+    # Null-safe: a NULL group (a parcel without a neighborhood) is a group too.
+    joined = join_small(tagged, offsets, ["_rk_part", *group_cols], null_safe=True)
     return (joined
             .withColumn(rank_col, (F.col("_rk_before") + F.col("_rk_pos") - F.col("_rk_first") + 1))
             .drop("_rk_part", "_rk_pos", "_rk_first", "_rk_before"))

@@ -10,8 +10,9 @@ With r = a / p (assessed over sale price), m = median(r), n rows and i the
 
 Strict statistics (the ratio tables) are NULL when any input ratio in the
 group is NULL; the lenient median (the neighborhood map) skips NULLs.
-Every division goes through ``try_divide`` so a zero price, a zero median or
-G(p) = 0 gives NULL instead of an error.
+Every division goes through ``try_divide`` so a zero median or G(p) = 0 gives
+NULL instead of an error; a zero price gives an infinite ratio, and only the
+statistics that it makes infinite are NULL.
 
 Grouping never relies on a per-group window: ranks come from
 ``group_row_number`` (a range-partitioned sort), medians from the middle
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from parcelbeam.functions.text import price_range
 from parcelbeam.operators.attach import join_small
 from parcelbeam.operators.ranking import (
-    group_row_number, lower_half, middle_positions, ntile_from_rank, upper_half)
+    group_row_number, lower_half, middle_positions, ntile_from_rank, total_order, upper_half)
 
 # The two stages compared in the study, their value columns,
 # display labels and order (Model first).
@@ -46,8 +47,18 @@ def ratio_col(stage: str) -> str:
 
 
 def add_ratios(df: DataFrame, stages: Mapping[str, str] = STAGES, price: str = "sale_price") -> DataFrame:
-    """``<stage>_sale_ratio = value / price``; NULL for a NULL or zero price."""
-    return df.withColumns({ratio_col(s): F.try_divide(F.col(v), F.col(price)) for s, v in stages.items()})
+    """``<stage>_sale_ratio = value / price``; NULL for a NULL value or price.  A zero price
+    makes the ratio infinite (NULL if the value is zero too): it ranks last and leaves the
+    median of the others finite."""
+    def ratio(value: Column) -> Column:
+        infinite = F.when(value > 0, F.lit(float("inf"))).when(value < 0, F.lit(float("-inf")))
+        return F.when(F.col(price) == 0, infinite).otherwise(F.try_divide(value.cast("double"), F.col(price)))
+    return df.withColumns({ratio_col(s): ratio(F.col(v)) for s, v in stages.items()})
+
+
+def finite(c: Column) -> Column:
+    """NULL instead of an infinite or undefined statistic."""
+    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
 
 
 def add_price_deciles(df: DataFrame, group_cols: Sequence[str] = ("township_name",),
@@ -61,7 +72,8 @@ def add_price_deciles(df: DataFrame, group_cols: Sequence[str] = ("township_name
     rows hold ranks 1..n and the group size is the count of prices -- no
     split-and-union, which keeps the rank's partitioning for the per-township
     steps after it."""
-    ranked = group_row_number(df, group_cols, [F.col(price).asc_nulls_last(), F.col(tiebreak)],
+    order = total_order(df.drop(*group_cols, price), [tiebreak])
+    ranked = group_row_number(df, group_cols, [F.col(price).asc_nulls_last(), *order],
                               "_price_pos", "_group_rows", count_of=price, count_col="_priced",
                               known_max_group_rows=max_group_rows)
     priced = F.col(price).isNotNull()
@@ -93,7 +105,8 @@ def median_stats(long: DataFrame, group_cols: Sequence[str], value: str = "ratio
     """
     group_cols = list(group_cols)
     v = F.col(value)
-    ranked = group_row_number(long, group_cols, [v.asc_nulls_last(), F.col(tiebreak)], "_v_rank", "n_rows",
+    order = total_order(long.drop(*group_cols, value), [tiebreak])
+    ranked = group_row_number(long, group_cols, [v.asc_nulls_last(), *order], "_v_rank", "n_rows",
                               count_of=value, count_col="n_values", known_max_group_rows=max_group_rows)
     aggs = [
         F.first("n_rows").alias("n_rows"),
@@ -111,8 +124,8 @@ def median_stats(long: DataFrame, group_cols: Sequence[str], value: str = "ratio
     extra = ["min_price", "max_price"] if price else []
     return agg.select(
         *group_cols, "n_rows", "n_values",
-        F.when(usable, F.col("_median")).alias("median"),
-        F.when(usable, cod).alias("cod"), *extra)
+        F.when(usable, finite(F.col("_median"))).alias("median"),
+        F.when(usable, finite(cod)).alias("cod"), *extra)
 
 
 def vertical_equity(long: DataFrame, medians: DataFrame, group_cols: Sequence[str],
@@ -123,7 +136,7 @@ def vertical_equity(long: DataFrame, medians: DataFrame, group_cols: Sequence[st
     group_cols = list(group_cols)
     carried = [c for c in medians.columns if c not in group_cols]
     m_tab = medians.withColumn("_m", F.col("median"))
-    j = join_small(long, m_tab, group_cols)
+    j = join_small(long, m_tab, group_cols, null_safe=True)
     a, p, r, m, i = F.col("assessed"), F.col(price).cast("double"), F.col("ratio"), F.col("_m"), F.col(rank_col)
     y = F.try_divide(r - m, m)
     x = F.log2(F.lit(0.5) * (F.try_divide(a, m) + p))
@@ -143,9 +156,9 @@ def vertical_equity(long: DataFrame, medians: DataFrame, group_cols: Sequence[st
     mki = F.try_divide(gini(F.col("_ia"), F.col("_sa")), gini(F.col("_ip"), F.col("_sp")))
     return agg.select(
         *group_cols, *carried,
-        F.when(usable, prd).alias("prd"),
-        F.when(usable, F.col("_prb")).alias("prb"),
-        F.when(usable, mki).alias("mki"))
+        F.when(usable, finite(prd)).alias("prd"),
+        F.when(usable, finite(F.col("_prb"))).alias("prb"),
+        F.when(usable, finite(mki)).alias("mki"))
 
 
 def _wide(stats: DataFrame, key_cols: Sequence[str], measures: Sequence[str],

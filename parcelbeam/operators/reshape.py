@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.keys import strip_dashes
-from parcelbeam.functions.text import number_text
 
 # The reference band around a ratio of 1 and the minimum axis
 # range of the curve.
@@ -44,27 +43,15 @@ def curve_axis(curve: DataFrame, key_cols: tuple[str, ...] = ("township_name",))
         *key_cols, "y_min", "y_max", (F.col("_tenth") / F.lit(10.0)).alias("axis_break"))
 
 
-def neighborhood_polygons(parcels: DataFrame) -> DataFrame:
-    """Neighborhood outlines as WKT bounding boxes of the parcel coordinates,
-    keyed by township and dash-free neighborhood number (SRID 4326)."""
-    box = parcels.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull()).groupBy(
-        "township_name", strip_dashes("nbhd_code").alias("town_nbhd")).agg(
-        F.min("lon").alias("x0"), F.min("lat").alias("y0"), F.max("lon").alias("x1"), F.max("lat").alias("y1"))
-    x0, y0, x1, y1 = (number_text(c) for c in ("x0", "y0", "x1", "y1"))
-    ring = F.concat(x0, F.lit(" "), y0, F.lit(", "), x1, F.lit(" "), y0, F.lit(", "),
-                    x1, F.lit(" "), y1, F.lit(", "), x0, F.lit(" "), y1, F.lit(", "), x0, F.lit(" "), y0)
-    return box.select("township_name", "town_nbhd",
-                      F.concat(F.lit("POLYGON(("), ring, F.lit("))")).alias("geometry_wkt"),
-                      F.lit(4326).alias("srid"))
-
-
 def neighborhood_map_frame(nbhd_long: DataFrame, polygons: DataFrame) -> DataFrame:
-    """Median ratios per neighborhood and stage with the neighborhood polygon
-    attached; neighborhoods without a polygon keep a NULL geometry (J13, D21).
-    Join keys have different names on each side."""
+    """Median ratios per neighborhood and stage with the neighborhood's outline
+    attached; neighborhoods without one keep NULLs (J13, D21).  Join keys have
+    different names on each side.  Whatever else the outline table has is
+    carried as it is: a ``geometry`` column of WKB bytes, WKT text, an SRID."""
+    geometry = [c for c in polygons.columns if c not in ("township_name", "town_nbhd")]
     left = nbhd_long.withColumn("neighborhood_number", strip_dashes("neighborhood_number"))
     cond = ((left["township_name"] == polygons["township_name"])
             & (left["neighborhood_number"] == polygons["town_nbhd"]))
     return left.join(polygons, cond, "left").select(
         left["township_name"], left["neighborhood_number"], "stage", "stage_order",
-        "median_sale_ratio", "geometry_wkt", "srid")
+        "median_sale_ratio", *[polygons[c] for c in geometry])

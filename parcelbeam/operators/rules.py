@@ -33,7 +33,8 @@ def range_violations(df: DataFrame, key_col: str = "pin",
         number = F.expr(f"try_cast(trim(cast(`{col_name}` as string)) as decimal(38,0))")
         reason = (F.when(raw.isNull() | (txt == ""), F.lit(None))
                   .when(~whole, F.lit("not whole"))
-                  .when((number < lo) | (number > hi), F.lit("out of range")))
+                  # more digits than a decimal holds are out of every range
+                  .when(number.isNull() | (number < lo) | (number > hi), F.lit("out of range")))
         checks.append(F.struct(F.lit(col_name).alias("column"), raw.alias("value"), reason.alias("reason")))
     return (df.select(key_col, F.inline(F.array(*checks)))
             .filter(F.col("reason").isNotNull()))

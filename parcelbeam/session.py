@@ -83,4 +83,8 @@ def stable(df: DataFrame) -> DataFrame:
     so it is computed once).  After an executor loss its blocks are re-read
     from the shared folder instead of re-running the joins above it."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return kept.checkpoint(eager=True)
+    finally:
+        kept.unpersist()

@@ -68,10 +68,12 @@ def test_null_model_value_strict_vs_lenient(spark):
     assert nb["Model"] == pytest.approx(1.0)
 
 
-def test_zero_price_gives_null_ratio(spark):
+def test_zero_price_gives_infinite_ratio(spark):
     d = _study(spark, [("1", "T", "N", 0.0, 90.0, 90.0), ("2", "T", "N", 100.0, 100.0, 100.0)])
     ratios = {r["pin"]: r["model_sale_ratio"] for r in d.collect()}
-    assert ratios["1"] is None and ratios["2"] == pytest.approx(1.0)
+    assert ratios["1"] == math.inf and ratios["2"] == pytest.approx(1.0)
+    nothing = R.add_ratios(spark.createDataFrame([("1", "T", "N", 0.0, 0.0, None)], SCHEMA)).collect()[0]
+    assert nothing["model_sale_ratio"] is None and nothing["desk_review_sale_ratio"] is None
 
 
 def test_scaling_leaves_statistics_unchanged(spark):
@@ -139,3 +141,37 @@ def test_town_stats_without_broadcast(spark):
     finally:
         spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
     assert shuffled == base
+
+
+def test_zero_and_nan_prices(spark):
+    rows = [(str(i), "T", "N", float(100 * i), 90.0 * i, 90.0 * i) for i in range(1, 6)]
+    row = R.town_stats(_study(spark, rows + [("9", "T", "N", 0.0, 50.0, 50.0)])).collect()[0]
+    assert row["model_ratio"] == pytest.approx(0.9)  # the infinite ratio ranks last
+    assert row["model_cod"] is None and row["model_prd"] is None and row["model_prb"] is None
+    assert row["model_mki"] is not None and row["number_of_sales"] == 6
+
+
+@pytest.mark.parametrize("limit", ["0", "2000000"])
+def test_null_neighborhoods_are_a_group_on_both_rank_paths(spark, limit):
+    from parcelbeam.operators.ranking import WINDOW_MAX_GROUP_ROWS_CONF
+    rows = [(str(i), "T", None if i % 3 == 0 else f"N{i % 2}", 100.0, 80.0 + i, 90.0 + i) for i in range(30)]
+    spark.conf.set(WINDOW_MAX_GROUP_ROWS_CONF, limit)
+    try:
+        got = {(r["neighborhood_number"], r["stage"]): r["median_sale_ratio"]
+               for r in R.neighborhood_medians(R.add_ratios(spark.createDataFrame(rows, SCHEMA))).collect()}
+    finally:
+        spark.conf.unset(WINDOW_MAX_GROUP_ROWS_CONF)
+    assert len(got) == 6 and got[None, "Model"] == pytest.approx(0.935)
+
+
+@pytest.mark.parametrize("limit", ["0", "2000000"])
+def test_a_parcel_on_two_sheets_gives_the_same_under_any_input_order(spark, limit):
+    from parcelbeam.operators.ranking import WINDOW_MAX_GROUP_ROWS_CONF
+    rows = [("1", "T", "N", 100.0, 90.0, 50.0), ("1", "T", "N", 100.0, 90.0, 150.0), ("2", "T", "N", 100.0, 80.0, 90.0),
+            ("3", "T", "N", 200.0, 190.0, 210.0), ("4", "T", "N", 300.0, 330.0, 290.0)]
+    spark.conf.set(WINDOW_MAX_GROUP_ROWS_CONF, limit)
+    try:
+        one, two = (R.town_stats(_study(spark, r)).collect() for r in (rows, rows[::-1]))
+    finally:
+        spark.conf.unset(WINDOW_MAX_GROUP_ROWS_CONF)
+    assert one == two
