@@ -6,4 +6,4 @@ ranks.  Every public function maps DataFrames to DataFrames; nothing is
 collected to the driver.
 """
 
-__all__ = ["functions", "operators", "sources", "plans", "streaming", "session"]
+__all__ = ["functions", "operators", "sources", "plans", "session"]

@@ -1,4 +1,4 @@
-"""Command-line runner for the three jobs (spark-submit friendly).
+"""Command-line runner for the jobs (spark-submit friendly).
 
     spark-submit -m parcelbeam.plans.cli value-change \\
         --requests <sheet folder> --history <table> --mail-year 2025 --out <folder>
@@ -6,6 +6,7 @@
         --addresses ... --qc <sheet folder> --min-year 2022 [--triad South] --out <folder>
     ... ratio-study --desk-review <sheet folder> --universe ... --models ... --assessments ...
         [--polygons <table>] --model-year 2025 --model-type res --universe-years 2024,2025 --out <folder>
+    ... check-returned --sheets <sheet folder> --out <folder>
 
 Warehouse tables are Parquet paths (or ``table:<name>`` for a catalog
 table); user sheets are folders of CSV files with a header row, read with
@@ -25,43 +26,43 @@ from parcelbeam.operators.change import REQUEST_KEY
 from parcelbeam.plans import jobs
 from parcelbeam.session import build_session
 from parcelbeam.sources import sinks
-from parcelbeam.sources.ingest import read_sheets
+from parcelbeam.sources.ingest import read_sheet_groups, read_sheets
 
 
 def load_table(spark: SparkSession, ref: str) -> DataFrame:
     return spark.table(ref[len("table:"):]) if ref.startswith("table:") else spark.read.parquet(ref)
 
 
-def sheet_header(spark: SparkSession, folder: str) -> list[str]:
-    """Header cells of the folder's sheets, read by Spark from the CSV files."""
-    first = spark.read.option("header", "false").csv(folder).first()
-    return [c for c in first] if first else []
-
+def run_value_change(spark: SparkSession, a: argparse.Namespace) -> str:
+    # one write per distinct header: each output file keeps its own sheet's columns
+    for sheets in read_sheet_groups(spark, a.requests, [a.key_column]):
+        out = jobs.value_change_job(sheets, load_table(spark, a.history), a.mail_year, Decimal(a.factor), a.key_column)
+        sinks.write_value_change(out, a.out)
+    return a.out
 
-def load_sheets(spark: SparkSession, folder: str) -> DataFrame:
-    return read_sheets(spark, folder, sheet_header(spark, folder))
 
-
-def run_value_change(spark: SparkSession, a: argparse.Namespace) -> str:
-    out = jobs.value_change_job(load_sheets(spark, a.requests), load_table(spark, a.history), a.mail_year,
-                                Decimal(a.factor), a.key_column)
-    return sinks.write_value_change(out, a.out)
+def run_check_returned(spark: SparkSession, a: argparse.Namespace) -> str:
+    jobs.returned_sheet_violations(read_sheets(spark, a.sheets, [a.key_column]), a.key_column).write.mode(
+        "overwrite").parquet(a.out)
+    return a.out
 
 
 def run_unit_review(spark: SparkSession, a: argparse.Namespace) -> str:
     sheet = jobs.unit_review_job(
         load_table(spark, a.universe), load_table(spark, a.chars), load_table(spark, a.permits),
         load_table(spark, a.status), load_table(spark, a.sales), load_table(spark, a.addresses),
-        load_sheets(spark, a.qc), a.min_year, a.triad or None, a.map_url)
+        read_sheets(spark, a.qc, ["14-Digit PIN", "Flag Comments"]), a.min_year, a.triad or None, a.map_url)
     return sinks.write_review_sheets(sheet, a.out, a.year)
 
 
 def run_ratio_study(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
     polygons = load_table(spark, a.polygons) if a.polygons else None
+    sheets = read_sheets(spark, a.desk_review, ["PIN", "Desk Review Value"])
     outputs = jobs.ratio_study_job(
-        jobs.desk_review_values(load_sheets(spark, a.desk_review)), load_table(spark, a.universe),
+        jobs.desk_review_values(sheets), load_table(spark, a.universe),
         load_table(spark, a.models), load_table(spark, a.assessments), polygons,
         a.model_year, a.model_type, [y.strip() for y in a.universe_years.split(",")])
+    outputs["rejected_values"] = jobs.rejected_values(sheets)
     return sinks.write_ratio_study(outputs, a.out)
 
 
@@ -85,6 +86,11 @@ def parser() -> argparse.ArgumentParser:
     u.add_argument("--map-url", default=jobs.DEFAULT_MAP_URL)
     u.add_argument("--year", type=int, help="year in the workbook name (default: current year)")
 
+    c = sub.add_parser("check-returned")
+    c.add_argument("--sheets", required=True)
+    c.add_argument("--key-column", default="PIN")
+    c.add_argument("--out", required=True)
+
     r = sub.add_parser("ratio-study")
     for name in ("desk-review", "universe", "models", "assessments", "out"):
         r.add_argument(f"--{name}", required=True)
@@ -99,7 +105,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     a = parser().parse_args(argv)
     spark = spark or build_session(os.environ.get("PARCELBEAM_MASTER"))
     runner = {"value-change": run_value_change, "unit-review": run_unit_review,
-              "ratio-study": run_ratio_study}[a.job]
+              "check-returned": run_check_returned, "ratio-study": run_ratio_study}[a.job]
     return runner(spark, a)
 
 

@@ -1,20 +1,25 @@
 """Landing-folder ingest for the user sheets.
 
-Sheets arrive as CSV or Parquet files in a folder.  The whole folder is one
-read with an explicit all-string schema (ids keep their leading zeros and
-dashes), and each row carries the file it came from, taken from the
-``_metadata`` column -- no loop over files on the driver.
+Sheets arrive as CSV files with a header row, each with its own columns in its
+own order.  Files are grouped by their header line and every group is one read
+with an all-string schema (ids keep their leading zeros and dashes); columns
+are then taken by name.  The driver sees header lines and file names only.
 """
 
 from __future__ import annotations
 
-import os
+import csv
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SOURCE = "source_file"
+
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
@@ -30,27 +35,48 @@ def dedupe_headers(columns: Sequence[str]) -> list[str]:
     return out
 
 
-def read_sheets(spark: SparkSession, folder: str, columns: Sequence[str], fmt: str = "csv",
-                source_col: str = "source_file") -> DataFrame:
-    """All sheets in ``folder`` as one DataFrame plus the source file name.
+def file_name() -> Column:
+    """The name of the file a row was read from, as it is in the folder."""
+    last = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))
+
+
+def headers(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Header line -> paths of the files that begin with it.
+
+    The first line of a file is the first row of the file's first block; blocks are not divided
+    between tasks, so each task's first row per file is that line."""
+    lines = spark.read.text(folder).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("paths")).orderBy("header")
+    return {r["header"]: [unquote(p) for p in r["paths"]] for r in groups.collect()}
 
-    ``columns`` are the sheet's header cells, kept verbatim (blanks included)."""
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("enforceSchema", "false").schema(
-            string_schema(dedupe_headers(columns)))
-    df = reader.load(folder)
-    return df.withColumn(source_col, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
 
+def _literal(path: str) -> str:
+    """A path without wildcards: characters of glob patterns are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
-def read_columns(spark: SparkSession, folder: str, wanted: dict[str, str], all_columns: Sequence[str],
-                 fmt: str = "csv") -> DataFrame:
-    """Read the folder and keep ``wanted`` (header -> new name) plus the source
-    file; a missing header fails at analysis time, before any data is read."""
-    df = read_sheets(spark, folder, all_columns, fmt)
-    return df.select(*[F.col(f"`{old}`").alias(new) for old, new in wanted.items()], "source_file")
+
+def read_sheet_groups(spark: SparkSession, folder: str, required: Sequence[str] = (),
+                      source_col: str = SOURCE) -> list[DataFrame]:
+    """The folder's sheets, one DataFrame per distinct header, each with its own columns (verbatim,
+    repeated ones numbered) and the source file.  A sheet column named like ``source_col`` is
+    numbered too.  A file without a ``required`` column is an error that names it."""
+    out = []
+    for line, paths in headers(spark, folder).items():
+        cells = next(csv.reader([line.lstrip("﻿").rstrip("\r")]), [])
+        columns = dedupe_headers([source_col, *cells])[1:]
+        missing = [c for c in required if c not in columns]
+        if missing:
+            raise ValueError(f"no column {', '.join(map(repr, missing))} in {', '.join(paths)}")
+        df = spark.read.option("header", "true").schema(string_schema(columns)).csv([_literal(p) for p in paths])
+        out.append(df.withColumn(source_col, file_name()))
+    return out
 
 
-def output_path_for(input_path: str, input_dir: str, output_dir: str) -> str:
-    """Same file name, output folder (only the folder is replaced)."""
-    return os.path.join(output_dir, os.path.relpath(input_path, input_dir))
+def read_sheets(spark: SparkSession, folder: str, required: Sequence[str] = (), source_col: str = SOURCE) -> DataFrame:
+    """All sheets in ``folder`` stacked by column name (a column that a sheet lacks is NULL there)."""
+    groups = read_sheet_groups(spark, folder, required, source_col)
+    if not groups:
+        return spark.createDataFrame([], string_schema([*required, source_col]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)

@@ -9,51 +9,59 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.text import file_label
 
 
-def output_name(prefix: str, year: int, suffix: str = "") -> str:
-    """Lower-case name with blanks as underscores: ('South', 2025, 'condo_review')
-    -> 'south_condo_review_2025'."""
-    parts = [prefix.lower().replace(" ", "_")]
-    if suffix:
-        parts.append(suffix)
-    parts.append(str(year))
-    return "_".join(parts)
-
-
-# Tasks one partition value may be spread over when there is no sort key.
-SPREAD = 16
-
-
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       sort_cols: list[str] | None = None, fmt: str = "parquet") -> str:
     """Overwrite the partitions present in ``df`` (dynamic overwrite) and leave the
     others; rows whose partition key is NULL are not written (a NULL township
     has no tab).
 
-    No partition value is written by a single task: with ``sort_cols`` the rows
-    are range-partitioned on (partition keys, sort keys), so a township holding
-    a third of the rows spreads over many tasks, each writing one contiguous,
-    sorted slice; without, each value is spread over up to ``SPREAD`` tasks by
-    a deterministic hash of the row (stable under task retries)."""
+    No partition value is written by a single task: rows are range-partitioned on
+    (partition keys, sort keys) -- all other columns when no sort keys are given --
+    so a township holding a third of the rows spreads over many tasks, each writing
+    one contiguous, sorted slice."""
     keep = df
     for c in partition_cols:
         keep = keep.filter(F.col(f"`{c}`").isNotNull())
-    keys = [F.col(f"`{c}`") for c in partition_cols + (sort_cols or [])]
-    if sort_cols:
-        keep = keep.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    else:
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in keep.columns]), F.lit(SPREAD))
-        keep = keep.repartition(*keys, salt)
+    rest = [f.name for f in df.schema.fields if f.name not in partition_cols and f.dataType.typeName() not in ("map", "variant")]
+    keys = [F.col(f"`{c}`") for c in partition_cols + (sort_cols or rest)]
+    keep = keep.repartitionByRange(*keys).sortWithinPartitions(*keys)
     (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).format(fmt).save(path))
     return path
 
 
+def _tabs(spark: SparkSession, path: str) -> dict[tuple[str, str], frozenset[str]]:
+    """The files of each (workbook, tab) folder below ``path``: names only, through Spark's file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return {}
+    folders = lambda p: [s for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName()]
+    return {(book.getPath().getName(), tab.getPath().getName()): frozenset(f.getPath().getName() for f in fs.listStatus(tab.getPath()))
+            for book in folders(root) for tab in folders(book.getPath())}
+
+
+def drop_stale_tabs(spark: SparkSession, path: str, before: dict[tuple[str, str], frozenset[str]]) -> None:
+    """After a dynamic overwrite: remove the tabs that a rewritten workbook no longer has.
+
+    Rewritten folders hold new files; a folder whose files are as before, in a workbook of which
+    others are new, is left from an earlier run.  Workbooks that this run did not write stay."""
+    after = _tabs(spark, path)
+    written = {book for (book, tab), files in after.items() if before.get((book, tab)) != files}
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for (book, tab), files in before.items():
+        if book in written and after.get((book, tab)) == files:
+            stale = jvm.org.apache.hadoop.fs.Path(f"{path}/{book}/{tab}")
+            stale.getFileSystem(conf).delete(stale, True)
+
+
 def workbook_name(triad: Column, year: int | None = None, suffix: str = "condo_review") -> Column:
     """'<triad, lower case, blanks as _>_<suffix>_<year>' as a column; the year
     defaults to the current one (S13, F20)."""
@@ -63,9 +71,14 @@ def workbook_name(triad: Column, year: int | None = None, suffix: str = "condo_r
 
 def write_review_sheets(sheet: DataFrame, path: str, year: int | None = None) -> str:
     """Unit review sheets: one folder per workbook (triad + year) and township
-    tab, rows by PIN -- every triad in one write (S11, S13)."""
+    tab, rows by PIN -- every triad in one write (S11, S13).  A workbook is
+    replaced as a whole: tabs of an earlier run that this one lacks go (S14)."""
+    spark = sheet.sparkSession
+    before = _tabs(spark, path)
     named = sheet.withColumn("workbook", workbook_name(F.col("Triad"), year))
-    return write_partitioned(named, path, ["workbook", "Township"], ["PIN"])
+    write_partitioned(named, path, ["workbook", "Township"], ["PIN"])
+    drop_stale_tabs(spark, path, before)
+    return path
 
 
 def write_value_change(df: DataFrame, path: str, key_col: str = "Permanent Index Number") -> str:
@@ -75,15 +88,26 @@ def write_value_change(df: DataFrame, path: str, key_col: str = "Permanent Index
     return write_partitioned(df, path, ["source_file"], sort)
 
 
+# Row order of each ratio-study table within a township (O2).
+RATIO_ORDER = {
+    "all_parcels": ["Pin"],
+    "ratio_deciles": ["Price Decile"],
+    "curve": ["price_decile", "stage"],
+    "curve_axis": ["axis_break"],
+    "neighborhood_medians": ["neighborhood_number", "stage_order"],
+    "neighborhood_map": ["neighborhood_number", "stage_order"],
+}
+
+
 def write_ratio_study(outputs: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Each ratio-study table partitioned by township (blanks as underscores)."""
+    """Each ratio-study table partitioned by township (blanks as underscores), in its row order."""
     written = {}
     for name, df in outputs.items():
-        if name == "unmatched":  # no township: one plain dataset
+        if name in ("unmatched", "rejected_values"):  # no township: one plain dataset
             written[name] = os.path.join(root, name)
             df.write.mode("overwrite").parquet(written[name])
             continue
         town = "Township Name" if "Township Name" in df.columns else "township_name"
         keyed = df.withColumn("township_file", file_label(F.col(f"`{town}`")))
-        written[name] = write_partitioned(keyed, os.path.join(root, name), ["township_file"])
+        written[name] = write_partitioned(keyed, os.path.join(root, name), ["township_file"], RATIO_ORDER.get(name))
     return written

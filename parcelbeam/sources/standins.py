@@ -9,9 +9,14 @@ so each is derived here from whole driver tables, row for row:
 * parcel = ``customer``; pin = 10-digit building (custkey div 10) + 4-digit
   unit (custkey mod 10); township = nation, triad = region.
 * sale = ``orders`` (price, date, document = orderkey, outlier = status 'F').
-* permit = ``events`` of type 'error', on user_id = custkey.
+* permit = ``events``, on user_id = custkey.
 * value history = per-parcel yearly sums of whole-dollar order prices.
 
+No view leaves rows of its table out.  What is missing in real data is missing
+here by value: a parcel without characteristics has them for other years only,
+an unsold one has no price, some have no neighborhood, some prices are zero or
+NaN, and some parcels are on two desk-review sheets.
+
 Every view is a lazy DataFrame over the parquet scans, so filters and column
 pruning reach the files.  The same definitions are written in SQL for the
 DuckDB oracle (``parcelbeam.plans.oracles``).
@@ -24,19 +29,19 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelbeam.functions.keys import pin_from_number, pretty_pin
+from parcelbeam.functions.keys import pin_from_number, pretty_pin, strip_dashes
+from parcelbeam.functions.text import number_text
 
 # Fixed values of the stand-in data (test mapping, not reference values).
 UNIVERSE_YEARS = ("1998", "1999", "2000")
 MODEL_YEAR, MODEL_TYPE = "2000", "res"
-STUDY_SALES_FROM = "1999-01-01"
 STREETS = ("N Élm St.", "W Oak-Park Ave", "S Main St #2", "E Lake Shore Dr")
 CITIES = ("CHICAGO", "Évanston")
 QC_COMMENTS = ("Unit SF looks low", "Bedroom count mismatch", "Check parking")
 NBSP, IDEOGRAPHIC_SPACE = "\u00a0", "\u3000"
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     job of its own), and a stand-in view is built from the same table many
     times.  The test tables are read-only, so the schema cannot go stale."""
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
@@ -81,8 +86,8 @@ def parcel_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         pin_from_number("c_custkey").alias("pin"),
         F.col("n_nationkey").cast("string").alias("township_code"),
         F.regexp_replace("n_name", "_", " ").alias("township_name"),
-        F.concat(F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit("-"),
-                 F.substring("c_mktsegment", 1, 3)).alias("nbhd_code"),
+        F.when(F.col("c_custkey") % 17 != 5, F.concat(
+            F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit("-"), F.substring("c_mktsegment", 1, 3))).alias("nbhd_code"),
         F.col("r_name").alias("triad_name"),
         F.concat(F.lit("run-"), F.lower("r_name")).alias("run_id"))
 
@@ -96,8 +101,8 @@ def pin_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("1999"),
         F.when(F.col("c_acctbal") >= 0, F.lit("2000"))))
     no_coords = (F.col("c_mktsegment") == "AUTOMOBILE") & (F.col("c_acctbal") < 0)
-    lon = F.lit(Decimal("-87.95")) + _mod("c_custkey", 997) * F.lit(Decimal("0.0005"))
-    lat = F.lit(Decimal("41.60")) + _mod("c_custkey", 499) * F.lit(Decimal("0.001"))
+    lon = F.lit(Decimal("-87.95")) + _mod("c_custkey", 997) * F.lit(Decimal("0.00050000123"))
+    lat = F.lit(Decimal("41.60")) + _mod("c_custkey", 499) * F.lit(Decimal("0.00100000321"))
     return b.select(
         "pin", F.substring("pin", 1, 10).alias("pin10"), F.explode(years).alias("year"),
         F.when(~no_coords, lon.cast("double")).alias("lon"),
@@ -105,12 +110,19 @@ def pin_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "township_name", "nbhd_code", "triad_name")
 
 
+def _years_unless(segment: str) -> Column:
+    """1999 and 2000; ten years earlier for the parcels of one segment, whose rows so match no
+    current parcel."""
+    return F.explode(F.when(F.col("c_mktsegment") == segment, F.array(F.lit("1989"), F.lit("1990")))
+                     .otherwise(F.array(F.lit("1999"), F.lit("2000"))))
+
+
 def pin_condo_char(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unit characteristics for 1999 and 2000, for every segment but HOUSEHOLD."""
-    b = parcel_base(spark, sf_dir).filter(F.col("c_mktsegment") != "HOUSEHOLD")
+    """Unit characteristics for two years of every parcel, old ones for HOUSEHOLD."""
+    b = parcel_base(spark, sf_dir)
     k = F.col("c_custkey")
     return b.select(
-        "pin", F.explode(F.array(F.lit("1999"), F.lit("2000"))).alias("year"),
+        "pin", _years_unless("HOUSEHOLD").alias("year"),
         (F.lit(20000) + (_idiv(k, 10) % 50) * 1000).cast("long").alias("building_sf"),
         (F.lit(600) + (k % 37) * 25).cast("long").alias("unit_sf"),
         (k % 4 + 1).cast("long").alias("bedrooms"),
@@ -120,7 +132,7 @@ def pin_condo_char(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pin_permit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
+    e = table(spark, sf_dir, "events")
     return e.select(
         pin_from_number("user_id").alias("pin"),
         (F.lit(1995) + F.col("event_id") % 7).cast("string").alias("assessment_year"),
@@ -130,10 +142,10 @@ def pin_permit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pin_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = parcel_base(spark, sf_dir).filter(F.col("c_mktsegment") != "MACHINERY")
+    b = parcel_base(spark, sf_dir)
     k = F.col("c_custkey")
     return b.select(
-        "pin", F.explode(F.array(F.lit("1999"), F.lit("2000"))).alias("year"),
+        "pin", _years_unless("MACHINERY").alias("year"),
         (k % 10 == 9).alias("is_parking_space"),
         F.when(k % 10 == 9, F.lit("deeded parking space")).alias("parking_space_flag_reason"),
         (k % 10 == 0).alias("is_common_area"))
@@ -206,6 +218,7 @@ def value_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(
         dressed.alias("Permanent Index Number"),
         F.col("c_name").alias("Owner Name"),
+        F.substring("c_mktsegment", 1, 3).alias("Class"),
         F.concat(F.lit("requests_"), F.lower("c_mktsegment"), F.lit(".csv")).alias("source_file"))
 
 
@@ -217,10 +230,10 @@ def qc_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _study_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newest order per customer on or after the study start (ties by order key)."""
+    """Newest order per customer (ties by order key)."""
     from parcelbeam.operators.attach import newest_per_key
 
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit(STUDY_SALES_FROM).cast("timestamp_ntz"))
+    o = table(spark, sf_dir, "orders")
     return newest_per_key(o, "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]).select(
         "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
 
@@ -236,11 +249,23 @@ def final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.lit(MODEL_TYPE).alias("type"), "township_code_coverage")
 
 
+def _unsold() -> Column:
+    """Parcels whose newest order does not count as a sale."""
+    return F.col("o_orderkey") % 5 == 0
+
+
+def _study_price() -> Column:
+    return (F.when(_unsold(), F.lit(None).cast("double"))
+            .when(F.col("o_orderkey") % 311 == 0, F.lit(0.0))
+            .when(F.col("o_orderkey") % 313 == 0, F.lit(float("nan")))
+            .otherwise(F.round("o_totalprice", 0)))
+
+
 def _model_value() -> Column:
     whole_price = F.round("o_totalprice", 0).cast("long")
     modelled = _idiv(whole_price * (F.lit(80) + F.col("o_orderkey") % 41), 100).cast("double")
     unsold = (F.lit(50000) + (F.col("c_custkey") % 1000) * 150).cast("double")
-    return (F.when(F.col("o_orderkey").isNull(), unsold)
+    return (F.when(F.col("o_orderkey").isNull() | _unsold(), unsold)
             .when(F.col("o_orderkey") % 997 == 0, F.lit(None).cast("double"))
             .otherwise(modelled))
 
@@ -253,19 +278,37 @@ def assessment_pin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         "run_id", "township_code", F.col("pin").alias("meta_pin"),
         _model_value().alias("pred_pin_final_fmv_round"),
-        F.round("o_totalprice", 0).alias("sale_ratio_study_price"),
+        _study_price().alias("sale_ratio_study_price"),
         F.to_date("o_orderdate").alias("sale_ratio_study_date"),
         F.col("o_orderkey").cast("string").alias("sale_ratio_study_document_num"))
 
 
 def desk_review_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Desk-review sheets, one per township file ('<code>-<name>.csv'): every
-    parcel with a reviewed value derived from its model value."""
+    parcel with a reviewed value derived from its model value, and some parcels
+    again, with another value, on a second sheet."""
     b = parcel_base(spark, sf_dir)
     s = _study_sale(spark, sf_dir)
     j = b.join(s, b.c_custkey == s.o_custkey, "left")
     desk = _idiv(_model_value().cast("long") * (F.lit(90) + F.col("c_custkey") % 21), 100).cast("double")
+    again = F.explode(F.when(F.col("c_custkey") % 101 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    j = j.select("*", again.alias("sheet"))
+    second = F.col("sheet") == 1
     return j.select(
-        F.col("pin").alias("PIN"), desk.alias("Desk Review Value"),
-        F.concat("township_code", F.lit("-"), F.regexp_replace("township_name", " ", "_"), F.lit(".csv"))
-        .alias("source_file"))
+        F.col("pin").alias("PIN"), F.when(second, desk + 1000).otherwise(desk).alias("Desk Review Value"),
+        F.concat("township_code", F.lit("-"), F.regexp_replace("township_name", " ", "_"),
+                 F.when(second, F.lit(" again.csv")).otherwise(F.lit(".csv"))).alias("source_file"))
+
+
+def neighborhood_polygons(parcels: DataFrame) -> DataFrame:
+    """Neighborhood outlines as WKT bounding boxes of the parcel coordinates,
+    keyed by township and dash-free neighborhood number (SRID 4326)."""
+    box = parcels.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull()).groupBy(
+        "township_name", strip_dashes("nbhd_code").alias("town_nbhd")).agg(
+        F.min("lon").alias("x0"), F.min("lat").alias("y0"), F.max("lon").alias("x1"), F.max("lat").alias("y1"))
+    x0, y0, x1, y1 = (number_text(c) for c in ("x0", "y0", "x1", "y1"))
+    ring = F.concat(x0, F.lit(" "), y0, F.lit(", "), x1, F.lit(" "), y0, F.lit(", "),
+                    x1, F.lit(" "), y1, F.lit(", "), x0, F.lit(" "), y1, F.lit(", "), x0, F.lit(" "), y0)
+    return box.select("township_name", "town_nbhd",
+                      F.concat(F.lit("POLYGON(("), ring, F.lit("))")).alias("geometry_wkt"),
+                      F.lit(4326).alias("srid"))

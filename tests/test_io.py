@@ -1,13 +1,13 @@
-"""Sheet ingest with provenance, partitioned sinks, streaming intake."""
+"""Sheet ingest with provenance, partitioned sinks."""
 
 import os
 
 
-from parcelbeam.sources.ingest import dedupe_headers, output_path_for, read_columns
-from parcelbeam.sources.sinks import output_name, write_partitioned
-from parcelbeam.streaming.intake import start_value_change_intake
+import pytest
 
-HIST = "pin string, year string, class string, twoyr_pri_certified_tot long, oneyr_pri_certified_tot long, mailed_tot long"
+from parcelbeam.plans import jobs
+from parcelbeam.sources.ingest import dedupe_headers, read_sheets
+from parcelbeam.sources.sinks import write_partitioned, write_ratio_study, write_review_sheets
 
 
 def _write_csv(path, header, rows):
@@ -17,49 +17,40 @@ def _write_csv(path, header, rows):
             f.write(",".join(r) + "\n")
 
 
-def test_read_sheets_with_provenance(spark, tmpdir_path):
+def test_sheets_with_their_own_columns_are_read_by_name(spark, tmpdir_path):
     d = os.path.join(tmpdir_path, "in")
     os.makedirs(d)
-    _write_csv(os.path.join(d, "10-Town_A.csv"), ["PIN", "Desk Review Value", "Other"], [["01020030040005", "100", "x"]])
-    _write_csv(os.path.join(d, "11-Town_B.csv"), ["PIN", "Desk Review Value", "Other"], [["01020030040006", "200", "y"]])
-    df = read_columns(spark, d, {"PIN": "pin", "Desk Review Value": "desk_review_value"},
-                      ["PIN", "Desk Review Value", "Other"])
-    got = sorted((r["pin"], r["desk_review_value"], r["source_file"]) for r in df.collect())
-    assert got == [("01020030040005", "100", "10-Town_A.csv"), ("01020030040006", "200", "11-Town_B.csv")]
+    _write_csv(os.path.join(d, "10 Town+A.csv"), ["Note", "PIN", "Desk Review Value"], [["x", "01020030040005", "100"]])
+    _write_csv(os.path.join(d, "11-Töwn_B [2].csv"), ["Desk Review Value", "PIN"], [["200", "01020030040006"]])
+    _write_csv(os.path.join(d, "12.csv"), ["PIN", "Desk Review Value", "Note", "Note"], [["1", "2", "a", "b"]])
+    _write_csv(os.path.join(d, "13.csv"), ["PIN", "source_file", "Desk Review Value"], [["3", "own", "4"]])
+    open(os.path.join(d, "empty.csv"), "w").close()
+    got = {r["source_file"]: (r["PIN"], r["Desk Review Value"], r["Note"], r["Note_2"], r["source_file_2"])
+           for r in read_sheets(spark, d, ["PIN", "Desk Review Value"]).collect()}
+    assert got == {"10 Town+A.csv": ("01020030040005", "100", "x", None, None),
+                   "11-Töwn_B [2].csv": ("01020030040006", "200", None, None, None),
+                   "12.csv": ("1", "2", "a", "b", None), "13.csv": ("3", "4", None, None, "own")}
     assert dedupe_headers(["a", "a", "b"]) == ["a", "a_2", "b"]
 
 
+def test_a_sheet_without_a_required_column_is_named(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "in")
+    os.makedirs(d)
+    _write_csv(os.path.join(d, "good.csv"), ["PIN"], [["1"]])
+    _write_csv(os.path.join(d, "bad.csv"), ["Pin"], [["1"]])
+    with pytest.raises(ValueError, match="bad.csv"):
+        read_sheets(spark, d, ["PIN"])
+    empty = os.path.join(tmpdir_path, "none")
+    os.makedirs(empty)
+    assert read_sheets(spark, empty, ["PIN"]).columns == ["PIN", "source_file"]
+
+
 def test_partitioned_write_skips_null_key(spark, tmpdir_path):
     df = spark.createDataFrame([("A B", 1), ("A B", 2), (None, 3)], "Township string, v int")
     out = os.path.join(tmpdir_path, "out")
     write_partitioned(df, out, ["Township"], ["v"])
     back = spark.read.parquet(out)
     assert back.count() == 2
-    assert output_name("South", 2025, "condo_review") == "south_condo_review_2025"
-
-
-def test_streaming_intake_processes_each_file_once(spark, tmpdir_path):
-    landing = os.path.join(tmpdir_path, "landing")
-    os.makedirs(landing)
-    hist = spark.createDataFrame([("00000000000001", "2025", "299", 1, 100, 130)], HIST)
-    cols = ["Permanent Index Number", "Owner"]
-    _write_csv(os.path.join(landing, "req1.csv"), cols, [["00-00-000-000-0001", "x"]])
-    out = os.path.join(tmpdir_path, "out")
-    ckpt = os.path.join(tmpdir_path, "ckpt")
-    q = start_value_change_intake(spark, landing, cols, hist, 2025, out, ckpt)
-    q.awaitTermination(120)
-    _write_csv(os.path.join(landing, "req2.csv"), cols, [["00000000000002", "y"]])
-    q = start_value_change_intake(spark, landing, cols, hist, 2025, out, ckpt)
-    q.awaitTermination(120)
-    back = spark.read.parquet(out)
-    got = {r["source_file"]: r["Large Increase"] for r in back.collect()}
-    assert got == {"req1.csv": True, "req2.csv": None}
-
-
-def test_output_path_keeps_file_name():
-    # only the folder changes, even when the file name contains "input" (D13)
-    assert output_path_for("/share/requests/input/input_list.csv", "/share/requests/input", "/share/requests/output") == \
-        "/share/requests/output/input_list.csv"
 
 
 def test_review_workbook_names(spark, tmpdir_path):
@@ -71,3 +62,30 @@ def test_review_workbook_names(spark, tmpdir_path):
     assert os.path.isdir(os.path.join(out, "workbook=middle_east_condo_review_2025", "Township=NATION 4"))
     back = spark.read.parquet(out)
     assert back.select("Triad").first()[0] == "MIDDLE EAST"
+
+
+def _sheet(spark, rows):
+    return spark.createDataFrame(rows, "Triad string, Township string, PIN string")
+
+
+def test_a_rerun_replaces_the_workbook_and_leaves_others(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "sheets")
+    write_review_sheets(_sheet(spark, [("South", "T 1", "1"), ("South", "T2", "2"), ("North", "T3", "3")]), out, 2025)
+    write_review_sheets(_sheet(spark, [("South", "T 1", "9")]), out, 2025)
+    got = sorted((r["workbook"], r["Township"], r["PIN"]) for r in spark.read.parquet(out).collect())
+    assert got == [("north_condo_review_2025", "T3", "3"), ("south_condo_review_2025", "T 1", "9")]
+
+
+def test_decile_rows_are_written_in_order(spark, tmpdir_path):
+    rows = spark.createDataFrame([("T", d) for d in (7, 3, 10, 1, 2, 9, 4, 8, 5, 6)], "`Township Name` string, `Price Decile` int")
+    path = write_ratio_study({"ratio_deciles": rows}, tmpdir_path)["ratio_deciles"]
+    back = spark.read.parquet(path).selectExpr("`Price Decile` AS d", "_metadata.file_name AS f", "_metadata.row_index AS i")
+    assert [r["d"] for r in back.orderBy("f", "i").collect()] == list(range(1, 11))
+
+
+def test_rejected_desk_review_cells_are_listed(spark):
+    sheets = spark.createDataFrame([("1", "100", "a.csv"), ("2", "$1,000", "a.csv"), ("3", " ", "b.csv"), ("4", None, "b.csv"), ("5", "NaN", "b.csv")],
+                                   "PIN string, `Desk Review Value` string, source_file string")
+    assert {r["pin"]: r["desk_review_value"] for r in jobs.desk_review_values(sheets).collect()} == {
+        "1": 100.0, "2": None, "3": None, "4": None, "5": None}
+    assert [tuple(r) for r in jobs.rejected_values(sheets).collect()] == [("2", "$1,000", "a.csv")]
