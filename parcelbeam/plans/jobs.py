@@ -26,11 +26,12 @@ from parcelbeam.functions.text import (
     search_link)
 from parcelbeam.operators import ratio as R
 from parcelbeam.operators.attach import (
-    final_model_values, keep_flagged_groups, most_recent_parcels, newest_per_key)
+    final_model_values, keep_flagged_groups, most_recent_parcels, nan_to_null, newest_per_key)
 from parcelbeam.operators.change import DEFAULT_FACTOR, REQUEST_KEY, value_change
 from parcelbeam.operators.ranking import largest_group
 from parcelbeam.operators.reshape import curve_axis, curve_long, neighborhood_map_frame
 from parcelbeam.operators.rollup import building_unit_counts, join_strings
+from parcelbeam.operators.rules import RANGE_RULES, range_violations
 from parcelbeam.session import stable
 
 # --------------------------------------------------------------------------
@@ -103,8 +104,8 @@ def unit_review_rows(universe: DataFrame, chars: DataFrame, permits: DataFrame,
     rows matter, so both are cut to those units by a left-semi join before
     they are rolled up (the key set is broadcast when it is small)."""
     flagged = flagged_units(qc)
-    unit_keys = scoped_universe(universe, flagged, triads).select("pin", "year").join(
-        chars.select("pin", "year"), ["pin", "year"], "inner")
+    unit_keys = stable(scoped_universe(universe, flagged, triads).select("pin", "year").join(
+        chars.select("pin", "year"), ["pin", "year"], "inner"))
     unit_pins = unit_keys.select("pin").distinct()
     units = review_units(universe, chars, status, addresses, flagged, triads)
     units = (units
@@ -150,15 +151,34 @@ def unit_review_job(universe: DataFrame, chars: DataFrame, permits: DataFrame, s
     return sheet.select(*[F.col(f"`{c}`") for c in cols])
 
 
+def returned_sheet_violations(sheet: DataFrame, key_col: str = "PIN") -> DataFrame:
+    """Range rules for a returned review sheet as it was delivered: 'New Bedrooms'
+    and the like are matched to the rules in any of the sheet's name forms
+    (Q1-Q3); correction columns that the sheet lacks are not checked."""
+    plain = {c: c.strip().lower().replace(" ", "_") for c in sheet.columns}
+    picked = {p: c for c, p in plain.items() if p in RANGE_RULES}
+    rows = sheet.select(F.col(f"`{key_col}`").alias("pin"), *[F.col(f"`{c}`").alias(p) for p, c in picked.items()])
+    return range_violations(rows, "pin", {p: RANGE_RULES[p] for p in RANGE_RULES if p in picked})
+
+
 # --------------------------------------------------------------------------
 # Job 3: ratio study
 # --------------------------------------------------------------------------
 
 def desk_review_values(sheets: DataFrame, pin_col: str = "PIN", value_col: str = "Desk Review Value") -> DataFrame:
     """Stacked desk-review sheets reduced to (pin, desk_review_value).  Ids are
-    cleaned like every other input (D10)."""
+    cleaned like every other input (D10); a value that is no number is NULL
+    here and listed by ``rejected_values``."""
     return sheets.select(clean_pin(F.col(f"`{pin_col}`")).alias("pin"),
-                         F.col(f"`{value_col}`").cast("double").alias("desk_review_value"))
+                         nan_to_null(F.col(f"`{value_col}`").try_cast("double")).alias("desk_review_value"))
+
+
+def rejected_values(sheets: DataFrame, pin_col: str = "PIN", value_col: str = "Desk Review Value",
+                    source_col: str = "source_file") -> DataFrame:
+    """Audit: sheet cells with text that is no number, with their parcel and file."""
+    text = F.trim(F.col(f"`{value_col}`").cast("string"))
+    return sheets.filter((text != "") & text.try_cast("double").isNull()).select(
+        clean_pin(F.col(f"`{pin_col}`")).alias("pin"), F.col(f"`{value_col}`").alias("value"), source_col)
 
 
 def ratio_parcels(desk_review: DataFrame, universe: DataFrame, models: DataFrame, assessments: DataFrame,
@@ -174,10 +194,10 @@ def ratio_parcels(desk_review: DataFrame, universe: DataFrame, models: DataFrame
     return desk_review.join(parcels, "pin", "left")
 
 
-def ratio_study_frame(parcels: DataFrame) -> tuple[DataFrame, int]:
-    """Per parcel of each township: price decile and both sale ratios (P15, W3,
-    F16), plus the row count of the largest township.  Parcels without a
-    township fall out, as in the per-township loop (D9).
+def study_base(parcels: DataFrame) -> tuple[DataFrame, int]:
+    """Per parcel of each township: both sale ratios (P15, F16), plus the row
+    count of the largest township.  Parcels without a township fall out, as in
+    the per-township loop (D9).
 
     The study frame (one row per reviewed parcel) is read by the size check,
     the price rank and every table built on it, so it is materialised once in
@@ -187,7 +207,12 @@ def ratio_study_frame(parcels: DataFrame) -> tuple[DataFrame, int]:
     them all and no later rank has to count again."""
     scoped = parcels.filter(F.col("township_name").isNotNull())
     study = stable(R.add_ratios(scoped))
-    bound = largest_group(study, ["township_name"])
+    return study, largest_group(study, ["township_name"])
+
+
+def ratio_study_frame(parcels: DataFrame) -> tuple[DataFrame, int]:
+    """``study_base`` with the price decile and rank."""
+    study, bound = study_base(parcels)
     return R.add_price_deciles(study, max_group_rows=bound), bound
 
 
@@ -209,11 +234,12 @@ def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFra
     """All outputs of the ratio study, keyed like the sinks.  ``unmatched`` lists
     the reviewed parcels that match no parcel of the universe years: they have
     no township and fall out of every township table (D9 audit)."""
-    parcels = ratio_parcels(desk_review, universe, models, assessments, model_year, model_type, universe_years)
-    deciled, bound = ratio_study_frame(parcels)
+    parcels = stable(ratio_parcels(desk_review, universe, models, assessments, model_year, model_type, universe_years))
+    study, bound = study_base(parcels)
+    deciled = R.add_price_deciles(study, max_group_rows=bound)
     deciles = R.ratio_deciles(deciled, max_group_rows=bound)
     curve = curve_long(deciles)
-    nbhd = R.neighborhood_medians(deciled, max_group_rows=bound)
+    nbhd = R.neighborhood_medians(study, max_group_rows=bound)
     out = {
         # Sheets as delivered: title-cased headers ("Model Cod", "Number Of Sales").
         "all_parcels": all_parcels_sheet(deciled),

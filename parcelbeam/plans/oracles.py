@@ -37,7 +37,11 @@ def _clean(x: str) -> str:
 
 
 def _numtext(x: str) -> str:
-    return f"coalesce(regexp_replace(CAST(CAST({x} AS DECIMAL(18,6)) AS VARCHAR), '\\.?0+$', ''), 'NA')"
+    return f"coalesce(regexp_replace(CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '\\.?0+$', ''), 'NA')"
+
+
+def _fin(x: str) -> str:
+    return f"(CASE WHEN isfinite({x}) THEN {x} END)"
 
 
 def _thousands(x: str) -> str:
@@ -49,7 +53,7 @@ def _dollar(x: str) -> str:
     return f"(CASE WHEN {r} < 0 THEN '-$' || {_thousands(f'-{r}')} ELSE '$' || {_thousands(r)} END)"
 
 
-MODEL = ("CASE WHEN ss.o_orderkey IS NULL THEN CAST(50000 + (pb.c_custkey % 1000) * 150 AS DOUBLE) "
+MODEL = ("CASE WHEN ss.o_orderkey IS NULL OR ss.o_orderkey % 5 = 0 THEN CAST(50000 + (pb.c_custkey % 1000) * 150 AS DOUBLE) "
          "WHEN ss.o_orderkey % 997 = 0 THEN NULL "
          "ELSE CAST((CAST(round(ss.o_totalprice) AS BIGINT) * (80 + ss.o_orderkey % 41)) // 100 AS DOUBLE) END")
 
@@ -57,7 +61,7 @@ BASE = f"""
 pb AS (
   SELECT c.c_custkey, c.c_name, c.c_acctbal, c.c_mktsegment, {_pin('c.c_custkey')} AS pin,
          CAST(n.n_nationkey AS VARCHAR) AS township_code, replace(n.n_name, '_', ' ') AS township_name,
-         lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') || '-' || substr(c.c_mktsegment, 1, 3) AS nbhd_code,
+         CASE WHEN c.c_custkey % 17 <> 5 THEN lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') || '-' || substr(c.c_mktsegment, 1, 3) END AS nbhd_code,
          r.r_name AS triad_name, 'run-' || lower(r.r_name) AS run_id
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
 uni_years AS (
@@ -66,32 +70,32 @@ uni_years AS (
   UNION ALL SELECT pb.*, '1998' FROM pb WHERE c_mktsegment = 'BUILDING'),
 uni AS (
   SELECT pin, substr(pin, 1, 10) AS pin10, year,
-    CASE WHEN NOT (c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0) THEN CAST(-87.95 + (c_custkey % 997) * 0.0005 AS DOUBLE) END AS lon,
-    CASE WHEN NOT (c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0) THEN CAST(41.60 + (c_custkey % 499) * 0.001 AS DOUBLE) END AS lat,
+    CASE WHEN NOT (c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0) THEN CAST(-87.95 + (c_custkey % 997) * 0.00050000123 AS DOUBLE) END AS lon,
+    CASE WHEN NOT (c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0) THEN CAST(41.60 + (c_custkey % 499) * 0.00100000321 AS DOUBLE) END AS lat,
     township_name, nbhd_code, triad_name
   FROM uni_years)"""
 
 CHARS = """
 chars AS (
-  SELECT pin, y.year, CAST(20000 + ((c_custkey // 10) % 50) * 1000 AS BIGINT) AS building_sf,
+  SELECT pin, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN CAST(CAST(y.year AS INTEGER) - 10 AS VARCHAR) ELSE y.year END AS year, CAST(20000 + ((c_custkey // 10) % 50) * 1000 AS BIGINT) AS building_sf,
     CAST(600 + (c_custkey % 37) * 25 AS BIGINT) AS unit_sf, CAST(c_custkey % 4 + 1 AS BIGINT) AS bedrooms,
     CAST(c_custkey % 3 + 1 AS BIGINT) AS full_baths, CAST(c_custkey % 2 AS BIGINT) AS half_baths,
     CASE WHEN c_custkey % 10 = 9 THEN substr(pin, 1, 10) || '0000' END AS parking_pin
-  FROM pb CROSS JOIN (VALUES ('1999'), ('2000')) y(year) WHERE c_mktsegment <> 'HOUSEHOLD')"""
+  FROM pb CROSS JOIN (VALUES ('1999'), ('2000')) y(year))"""
 
 PERMITS = f"""
 permits AS (
   SELECT {_pin('user_id')} AS pin, CAST(1995 + event_id % 7 AS VARCHAR) AS assessment_year,
     'P' || CAST(event_id AS VARCHAR) AS permit_number, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_issued,
     'Work ' || props AS work_description
-  FROM events WHERE event_type = 'error')"""
+  FROM events)"""
 
 STATUS = """
 status AS (
-  SELECT pin, y.year, c_custkey % 10 = 9 AS is_parking_space,
+  SELECT pin, CASE WHEN c_mktsegment = 'MACHINERY' THEN CAST(CAST(y.year AS INTEGER) - 10 AS VARCHAR) ELSE y.year END AS year, c_custkey % 10 = 9 AS is_parking_space,
     CASE WHEN c_custkey % 10 = 9 THEN 'deeded parking space' END AS parking_space_flag_reason,
     c_custkey % 10 = 0 AS is_common_area
-  FROM pb CROSS JOIN (VALUES ('1999'), ('2000')) y(year) WHERE c_mktsegment <> 'MACHINERY')"""
+  FROM pb CROSS JOIN (VALUES ('1999'), ('2000')) y(year))"""
 
 SALES = f"""
 sales AS (
@@ -130,7 +134,7 @@ req AS (
                             WHEN 1 THEN chr(160) || {_pretty14('pin')} || chr(9)
                             WHEN 2 THEN ' ' || pin || chr(12288)
                             ELSE pin END AS "Permanent Index Number",
-    c_name AS "Owner Name", 'requests_' || lower(c_mktsegment) || '.csv' AS source_file
+    c_name AS "Owner Name", substr(c_mktsegment, 1, 3) AS "Class", 'requests_' || lower(c_mktsegment) || '.csv' AS source_file
   FROM pb)"""
 
 QC = f"""
@@ -144,20 +148,24 @@ MODELS = f"""
 ss AS (
   SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (
     SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-    FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01') WHERE rn = 1),
+    FROM orders) WHERE rn = 1),
 fm AS (
   SELECT 'run-' || lower(r_name) AS run_id, '2000' AS year, 'res' AS type,
     list_sort(list(CAST(n_nationkey AS VARCHAR))) AS township_code_coverage
   FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name),
 ap AS (
   SELECT pb.run_id, pb.township_code, pb.pin AS meta_pin, {MODEL} AS pred_pin_final_fmv_round,
-    round(ss.o_totalprice) AS sale_ratio_study_price, CAST(ss.o_orderdate AS DATE) AS sale_ratio_study_date,
+    CASE WHEN ss.o_orderkey % 5 = 0 THEN NULL WHEN ss.o_orderkey % 311 = 0 THEN 0 WHEN ss.o_orderkey % 313 = 0 THEN NULL
+      ELSE round(ss.o_totalprice) END AS sale_ratio_study_price, CAST(ss.o_orderdate AS DATE) AS sale_ratio_study_date,
     CAST(ss.o_orderkey AS VARCHAR) AS sale_ratio_study_document_num
   FROM pb LEFT JOIN ss ON pb.c_custkey = ss.o_custkey),
-desk AS (
-  SELECT pb.pin AS "PIN", CAST((CAST({MODEL} AS BIGINT) * (90 + pb.c_custkey % 21)) // 100 AS DOUBLE) AS "Desk Review Value",
-    pb.township_code || '-' || replace(pb.township_name, ' ', '_') || '.csv' AS source_file
+desk1 AS (
+  SELECT pb.c_custkey, pb.pin AS "PIN", CAST((CAST({MODEL} AS BIGINT) * (90 + pb.c_custkey % 21)) // 100 AS DOUBLE) AS "Desk Review Value",
+    pb.township_code || '-' || replace(pb.township_name, ' ', '_') AS sheet
   FROM pb LEFT JOIN ss ON pb.c_custkey = ss.o_custkey),
+desk AS (
+  SELECT "PIN", "Desk Review Value", sheet || '.csv' AS source_file FROM desk1
+  UNION ALL SELECT "PIN", "Desk Review Value" + 1000, sheet || ' again.csv' FROM desk1 WHERE c_custkey % 101 = 7),
 fms AS (SELECT run_id, unnest(township_code_coverage) AS township_code FROM fm WHERE year = '2000' AND type = 'res'),
 mv AS (
   SELECT ap.meta_pin AS pin, ap.pred_pin_final_fmv_round AS model_value, ap.sale_ratio_study_price AS sale_price,
@@ -174,13 +182,15 @@ parcels AS (
   FROM dr LEFT JOIN (SELECT mrp.*, mv.model_value, mv.sale_price, mv.sale_date, mv.sale_document_number
                      FROM mrp LEFT JOIN mv ON mrp.pin = mv.pin) x ON dr.pin = x.pin),
 rp AS (
-  SELECT *, model_value / nullif(sale_price, 0) AS model_sale_ratio,
-    desk_review_value / nullif(sale_price, 0) AS desk_review_sale_ratio
+  SELECT *,
+    CASE WHEN sale_price = 0 THEN CASE WHEN model_value > 0 THEN CAST('inf' AS DOUBLE) END ELSE model_value / sale_price END AS model_sale_ratio,
+    CASE WHEN sale_price = 0 THEN CASE WHEN desk_review_value > 0 THEN CAST('inf' AS DOUBLE) END
+      ELSE desk_review_value / sale_price END AS desk_review_sale_ratio
   FROM parcels WHERE township_name IS NOT NULL),
 dec AS (
   SELECT *,
-    CASE WHEN sale_price IS NOT NULL THEN row_number() OVER (PARTITION BY township_name, sale_price IS NULL ORDER BY sale_price, pin) END AS price_rank,
-    CASE WHEN sale_price IS NOT NULL THEN CAST(ntile(10) OVER (PARTITION BY township_name, sale_price IS NULL ORDER BY sale_price, pin) AS INTEGER) END AS price_decile
+    CASE WHEN sale_price IS NOT NULL THEN row_number() OVER (PARTITION BY township_name, sale_price IS NULL ORDER BY sale_price, pin, desk_review_value) END AS price_rank,
+    CASE WHEN sale_price IS NOT NULL THEN CAST(ntile(10) OVER (PARTITION BY township_name, sale_price IS NULL ORDER BY sale_price, pin, desk_review_value) AS INTEGER) END AS price_decile
   FROM rp),
 lng AS (
   SELECT township_name, price_decile, pin, sale_price, price_rank, 'model' AS stage, model_value AS assessed, model_sale_ratio AS ratio
@@ -204,8 +214,8 @@ st AS (
     CASE WHEN med.n_values = med.n_rows THEN med.m END AS median,
     CASE WHEN med.n_values = med.n_rows THEN 100 * avg(abs(l.ratio - med.m)) / nullif(med.m, 0) END AS cod,
     CASE WHEN med.n_values = med.n_rows THEN avg(l.ratio) / nullif(sum(l.assessed) / nullif(sum(l.sale_price), 0), 0) END AS prd,
-    CASE WHEN med.n_values = med.n_rows THEN regr_slope((l.ratio - med.m) / nullif(med.m, 0),
-                                                        log2(0.5 * (l.assessed / nullif(med.m, 0) + l.sale_price))) END AS prb_raw,
+    CASE WHEN med.n_values = med.n_rows AND NOT bool_or(isinf(l.ratio)) THEN regr_slope((l.ratio - med.m) / nullif(med.m, 0),
+      log2(0.5 * (l.assessed / nullif(med.m, 0) + l.sale_price))) FILTER (WHERE isfinite(l.ratio)) END AS prb_raw,
     CASE WHEN med.n_values = med.n_rows THEN
       ((2 * sum(l.price_rank * l.assessed) / sum(l.assessed) - (count(*) + 1)) / count(*))
       / nullif((2 * sum(l.price_rank * l.sale_price) / sum(l.sale_price) - (count(*) + 1)) / count(*), 0) END AS mki
@@ -214,14 +224,14 @@ st AS (
 st2 AS (SELECT *, CASE WHEN isnan(prb_raw) THEN NULL ELSE prb_raw END AS prb FROM st),
 wide AS (
   SELECT township_name,
-    round(max(CASE WHEN stage = 'model' THEN median END), 6) AS model_ratio,
-    round(max(CASE WHEN stage = 'model' THEN cod END), 6) AS model_cod,
-    round(max(CASE WHEN stage = 'model' THEN prd END), 6) AS model_prd,
+    {_fin("round(max(CASE WHEN stage = 'model' THEN median END), 6)")} AS model_ratio,
+    {_fin("round(max(CASE WHEN stage = 'model' THEN cod END), 6)")} AS model_cod,
+    {_fin("round(max(CASE WHEN stage = 'model' THEN prd END), 6)")} AS model_prd,
     round(max(CASE WHEN stage = 'model' THEN prb END), 6) AS model_prb,
     round(max(CASE WHEN stage = 'model' THEN mki END), 6) AS model_mki,
-    round(max(CASE WHEN stage = 'desk_review' THEN median END), 6) AS desk_review_ratio,
-    round(max(CASE WHEN stage = 'desk_review' THEN cod END), 6) AS desk_review_cod,
-    round(max(CASE WHEN stage = 'desk_review' THEN prd END), 6) AS desk_review_prd,
+    {_fin("round(max(CASE WHEN stage = 'desk_review' THEN median END), 6)")} AS desk_review_ratio,
+    {_fin("round(max(CASE WHEN stage = 'desk_review' THEN cod END), 6)")} AS desk_review_cod,
+    {_fin("round(max(CASE WHEN stage = 'desk_review' THEN prd END), 6)")} AS desk_review_prd,
     round(max(CASE WHEN stage = 'desk_review' THEN prb END), 6) AS desk_review_prb,
     round(max(CASE WHEN stage = 'desk_review' THEN mki END), 6) AS desk_review_mki
   FROM st2 GROUP BY township_name),
@@ -243,10 +253,10 @@ dst AS (
   GROUP BY l.stage, l.township_name, l.price_decile, d.n_values, d.n_rows, d.m),
 dwide AS (
   SELECT township_name, price_decile,
-    round(max(CASE WHEN stage = 'model' THEN median END), 6) AS model_ratio,
-    round(max(CASE WHEN stage = 'model' THEN cod END), 6) AS model_cod,
-    round(max(CASE WHEN stage = 'desk_review' THEN median END), 6) AS desk_review_ratio,
-    round(max(CASE WHEN stage = 'desk_review' THEN cod END), 6) AS desk_review_cod
+    {_fin("round(max(CASE WHEN stage = 'model' THEN median END), 6)")} AS model_ratio,
+    {_fin("round(max(CASE WHEN stage = 'model' THEN cod END), 6)")} AS model_cod,
+    {_fin("round(max(CASE WHEN stage = 'desk_review' THEN median END), 6)")} AS desk_review_ratio,
+    {_fin("round(max(CASE WHEN stage = 'desk_review' THEN cod END), 6)")} AS desk_review_cod
   FROM dst GROUP BY township_name, price_decile),
 dprices AS (
   SELECT township_name, price_decile, {_dollar('min(sale_price)')} || '-' || {_dollar('max(sale_price)')} AS price_range,
@@ -291,7 +301,7 @@ nbl AS (
   SELECT township_name, neighborhood_number,
     CASE stage WHEN 'model' THEN 'Model' ELSE 'Desk Review' END AS stage,
     CASE stage WHEN 'model' THEN 1 ELSE 2 END AS stage_order,
-    round(m, 6) AS median_sale_ratio
+    CASE WHEN isfinite(m) THEN round(m, 6) END AS median_sale_ratio
   FROM nb)"""
 
 NBHD = RATIO_CTES + NBHD_BODY + "\nSELECT * FROM nbl\n"
@@ -318,11 +328,11 @@ STRICT_LENIENT = RATIO_CTES + """
   SELECT township_name, pin, sale_price, 'model' AS stage, model_sale_ratio AS ratio FROM dec
   UNION ALL SELECT township_name, pin, sale_price, 'desk_review', desk_review_sale_ratio FROM dec),
 strict AS (
-  SELECT stage, township_name, CASE WHEN count(ratio) = count(*) THEN round(median(ratio), 6) END AS strict_median,
+  SELECT stage, township_name, CASE WHEN count(ratio) = count(*) AND isfinite(median(ratio)) THEN round(median(ratio), 6) END AS strict_median,
     count(*) AS n_sales
   FROM la WHERE sale_price IS NOT NULL GROUP BY stage, township_name),
 lenient AS (
-  SELECT stage, township_name, round(median(ratio), 6) AS lenient_median, count(*) AS n_parcels, count(ratio) AS n_ratios
+  SELECT stage, township_name, CASE WHEN isfinite(median(ratio)) THEN round(median(ratio), 6) END AS lenient_median, count(*) AS n_parcels, count(ratio) AS n_ratios
   FROM la GROUP BY stage, township_name)
 SELECT lenient.*, strict.strict_median, strict.n_sales FROM lenient LEFT JOIN strict USING (stage, township_name)
 """
@@ -343,7 +353,7 @@ vals AS (
     CAST(mailed_tot - oneyr_pri_certified_tot AS DOUBLE) / nullif(CAST(oneyr_pri_certified_tot AS DOUBLE), 0) AS "Percent Change",
     mailed_tot > oneyr_pri_certified_tot * 1.2 AS "Large Increase"
   FROM hist WHERE year = '{MAIL_YEAR}')
-SELECT r2."Permanent Index Number", r2."Owner Name", r2.source_file, vals."Class",
+SELECT r2."Permanent Index Number", r2."Owner Name", r2."Class" AS "Class x", r2.source_file, vals."Class" AS "Class y",
   vals."{MAIL_YEAR - 2} BoR Certified AV", vals."{MAIL_YEAR - 1} BoR Certified AV", vals."{MAIL_YEAR} Mailed AV",
   vals."Percent Change", vals."Large Increase"
 FROM r2 LEFT JOIN vals USING (pin)
@@ -497,7 +507,7 @@ RULES = _with(BASE) + """
 , ret AS (
   SELECT pin,
     CASE WHEN c_custkey % 7 = 0 THEN CAST(c_acctbal AS VARCHAR) END AS new_building_sf,
-    CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey * 13 % 12001 AS VARCHAR) END AS new_unit_sf,
+    CASE WHEN c_custkey % 11 = 0 THEN repeat('9', 45) WHEN c_custkey % 5 = 0 THEN CAST(c_custkey * 13 % 12001 AS VARCHAR) END AS new_unit_sf,
     CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey % 20 AS VARCHAR) WHEN c_custkey % 3 = 1 THEN '' END AS new_bedrooms,
     CASE WHEN c_custkey % 4 = 0 THEN CAST(c_custkey % 3 AS VARCHAR) || '.5' END AS new_full_baths,
     CASE WHEN c_custkey % 6 = 0 THEN ' ' || CAST(c_custkey % 17 AS VARCHAR) || ' ' END AS new_half_baths
@@ -512,7 +522,7 @@ judged AS (
   SELECT pin, "column", value,
     CASE WHEN value IS NULL OR trim(value) = '' THEN NULL
          WHEN NOT regexp_matches(trim(value), '^[+-]?[0-9]+$') THEN 'not whole'
-         WHEN CAST(trim(value) AS DECIMAL(38,0)) < lo OR CAST(trim(value) AS DECIMAL(38,0)) > hi THEN 'out of range' END AS reason
+         WHEN TRY_CAST(trim(value) AS DECIMAL(38,0)) BETWEEN lo AND hi THEN NULL ELSE 'out of range' END AS reason
   FROM cells)
 SELECT pin, "column", value, reason FROM judged WHERE reason IS NOT NULL
 """
@@ -520,6 +530,24 @@ SELECT pin, "column", value, reason FROM judged WHERE reason IS NOT NULL
 OUTPUT_COUNTS = REVIEW.replace("SELECT * FROM sheet\n", """SELECT "Triad", "Township", count(*) AS "rows" FROM sheet GROUP BY ALL
 """)
 
+INTAKE = _with(BASE, MODELS) + f"""
+SELECT {_clean('d."PIN"')} AS pin, d."Desk Review Value" AS desk_review_value,
+  CASE WHEN pb.triad_name IN ('AFRICA', 'ASIA') THEN 'desk, ' || lower(pb.triad_name) END AS reviewer,
+  CASE WHEN pb.triad_name NOT IN ('AFRICA', 'ASIA') THEN 'x' END AS note
+FROM desk d JOIN pb ON d."PIN" = pb.pin
+"""
+
+WORKBOOK = REVIEW.replace("SELECT * FROM sheet\n", """SELECT replace(lower("Triad"), ' ', '_') || '_condo_review_2025' AS workbook, "Township", "PIN",
+  row_number() OVER (PARTITION BY "Triad", "Township" ORDER BY "PIN") AS position
+FROM sheet WHERE "Township" <> (SELECT min("Township") FROM sheet)
+""")
+
+DECILE_SHEET = RATIO_CTES + DECILES_BODY + """
+SELECT replace(township_name, ' ', '_') AS township_file, price_decile AS "Price Decile", number_of_sales AS "Number Of Sales",
+  row_number() OVER (PARTITION BY township_name ORDER BY price_decile) AS position
+FROM deciles
+"""
+
 PARAMETERISED = _with(BASE, SALES, QC) + f"""
 SELECT s.pin, s.doc_no, s.sale_price AS price FROM sales s
 WHERE s.year >= '{MIN_YEAR}' AND s.sv_is_outlier AND s.sale_price IS NOT NULL
@@ -556,6 +584,9 @@ ORACLES: dict[str, str] = {
     "unit_review_sheet": REVIEW,
     "range_rule_violations": RULES,
     "partitioned_output_counts": OUTPUT_COUNTS,
+    "sheet_intake_roundtrip": INTAKE,
+    "review_workbook_rows": WORKBOOK,
+    "ratio_decile_sheet_rows": DECILE_SHEET,
     "parameterised_query": PARAMETERISED,
     "township_list": TOWNSHIPS,
 }

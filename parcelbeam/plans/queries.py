@@ -12,23 +12,23 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.keys import clean_pin, pretty_pin
+from parcelbeam.functions.names import rename_all, title_case
 from parcelbeam.functions.text import (
     address_line, alnum_words, blank_to_null, map_link, sale_entry, search_link)
 from parcelbeam.operators import ratio as R
 from parcelbeam.operators.attach import (
     final_model_values, keep_flagged_groups, left_join_where, most_recent_parcels, newest_per_key)
-from parcelbeam.operators.reshape import (
-    curve_axis, curve_long, neighborhood_map_frame, neighborhood_polygons)
+from parcelbeam.operators.reshape import curve_axis, curve_long, neighborhood_map_frame
 from parcelbeam.operators.rollup import building_unit_counts, joined_row_counts
-from parcelbeam.operators.rules import range_violations
 from parcelbeam.plans import jobs
-from parcelbeam.session import ensure_checkpoint_dir
+from parcelbeam.session import ensure_checkpoint_dir, stable
 from parcelbeam.sources import sinks
 from parcelbeam.sources import standins as S
+from parcelbeam.sources.ingest import read_sheets
 
 # Job parameters used by the driver queries (the test mapping's counterparts
 # of the reference's mail year 2025 / oldest year 2022 / universe 2024-2025).
@@ -74,18 +74,18 @@ def ratio_curve_axis(spark: SparkSession, d: str) -> DataFrame:
 
 
 def neighborhood_medians_long(spark: SparkSession, d: str) -> DataFrame:
-    deciled, bound = _study(spark, d)
-    return R.neighborhood_medians(deciled, max_group_rows=bound)
+    study, bound = jobs.study_base(_ratio_parcels(spark, d))
+    return R.neighborhood_medians(study, max_group_rows=bound)
 
 
 def neighborhood_map_frame_q(spark: SparkSession, d: str) -> DataFrame:
-    polygons = neighborhood_polygons(S.pin_universe(spark, d))
+    polygons = S.neighborhood_polygons(S.pin_universe(spark, d))
     return neighborhood_map_frame(neighborhood_medians_long(spark, d), polygons)
 
 
 def strict_vs_lenient_median(spark: SparkSession, d: str) -> DataFrame:
-    deciled, bound = _study(spark, d)
-    return R.strict_and_lenient(deciled, max_group_rows=bound)
+    study, bound = jobs.study_base(_ratio_parcels(spark, d))
+    return R.strict_and_lenient(study, max_group_rows=bound)
 
 
 def newest_row_per_key(spark: SparkSession, d: str) -> DataFrame:
@@ -225,18 +225,19 @@ def unit_review_sheet(spark: SparkSession, d: str) -> DataFrame:
 
 
 def range_rule_violations(spark: SparkSession, d: str) -> DataFrame:
-    """Returned corrections, derived from the customer table, checked against the
-    sheet's range rules (Q1-Q3)."""
+    """Returned corrections under the delivered column names, derived from the customer
+    table, checked against the sheet's range rules (Q1-Q3)."""
     c = S.parcel_base(spark, d)
     k = F.col("c_custkey")
     returned = c.select(
-        "pin",
-        F.when(k % 7 == 0, F.col("c_acctbal").cast("string")).alias("new_building_sf"),
-        F.when(k % 5 == 0, (k * 13 % 12001).cast("string")).alias("new_unit_sf"),
-        F.when(k % 3 == 0, (k % 20).cast("string")).when(k % 3 == 1, F.lit("")).alias("new_bedrooms"),
-        F.when(k % 4 == 0, F.concat((k % 3).cast("string"), F.lit(".5"))).alias("new_full_baths"),
-        F.when(k % 6 == 0, F.concat(F.lit(" "), (k % 17).cast("string"), F.lit(" "))).alias("new_half_baths"))
-    return range_violations(returned, "pin")
+        F.col("pin").alias("PIN"),
+        F.when(k % 7 == 0, F.col("c_acctbal").cast("string")).alias("New Building SF"),
+        F.when(k % 11 == 0, F.repeat(F.lit("9"), F.lit(45)))
+        .when(k % 5 == 0, (k * 13 % 12001).cast("string")).alias("New Unit SF"),
+        F.when(k % 3 == 0, (k % 20).cast("string")).when(k % 3 == 1, F.lit("")).alias("New Bedrooms"),
+        F.when(k % 4 == 0, F.concat((k % 3).cast("string"), F.lit(".5"))).alias("New Full Baths"),
+        F.when(k % 6 == 0, F.concat(F.lit(" "), (k % 17).cast("string"), F.lit(" "))).alias("New Half Baths"))
+    return jobs.returned_sheet_violations(returned)
 
 
 def partitioned_output_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -250,6 +251,54 @@ def partitioned_output_counts(spark: SparkSession, d: str) -> DataFrame:
     return back.groupBy("Triad", "Township").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _shared(spark: SparkSession, name: str) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), name, uuid.uuid4().hex)
+
+
+def sheet_intake_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Desk-review sheets written as CSV files in two layouts (other columns, other order) and read
+    back by column name (S1, S2, S4, R1, R5)."""
+    path = _shared(spark, "sheets")
+    triads = S.parcel_base(spark, d).select(F.col("pin").alias("PIN"), "triad_name")
+    sheets = S.desk_review_sheets(spark, d).join(triads, "PIN")
+    reviewed = F.col("triad_name").isin("AFRICA", "ASIA")
+    one = sheets.filter(reviewed).select("PIN", "Desk Review Value", F.concat(F.lit("desk, "), F.lower("triad_name")).alias("Reviewer"))
+    two = sheets.filter(~reviewed).select("Desk Review Value", F.lit("x").alias("source_file"), "PIN")
+    for part in (one, two):
+        part.write.mode("append").option("header", "true").csv(path)
+    back = read_sheets(spark, path, ["PIN", "Desk Review Value"])
+    return back.select(clean_pin("PIN").alias("pin"), F.col("`Desk Review Value`").try_cast("double").alias("desk_review_value"),
+                        F.col("Reviewer").alias("reviewer"), F.col("source_file_2").alias("note"))
+
+
+def _position(keys: list[str]) -> Column:
+    """Place of a row within its tab: files in name order, rows in file order (O1, O2)."""
+    return F.row_number().over(Window.partitionBy(*keys).orderBy("_file", "_row"))
+
+
+def review_workbook_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Review workbooks written twice, the second time without one township, and read back with
+    names, tabs and row order (S11, S13, S14, P9, O1, F20)."""
+    path = _shared(spark, "workbooks")
+    sheet = stable(unit_review_sheet(spark, d))
+    sinks.write_review_sheets(sheet, path, 2025)
+    gone = sheet.agg(F.min("Township")).first()[0]
+    sinks.write_review_sheets(sheet.filter(F.col("Township") != gone), path, 2025)
+    back = spark.read.parquet(path).select(
+        "workbook", "Township", "PIN", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return back.select("workbook", "Township", "PIN", _position(["workbook", "Township"]).alias("position"))
+
+
+def ratio_decile_sheet_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The decile sheets as delivered: file label, headers and row order."""
+    path = sinks.write_ratio_study({"ratio_deciles": rename_all(ratio_deciles(spark, d), title_case)},
+                                   _shared(spark, "ratio"))["ratio_deciles"]
+    back = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return back.select("township_file", "Price Decile", "Number Of Sales",
+                       _position(["township_file"]).alias("position"))
+
+
 def parameterised_query(spark: SparkSession, d: str) -> DataFrame:
     """Parameter markers bound by name, tables passed as DataFrames -- no text
     pasting of values (S5-S8, P3, P15)."""
@@ -295,6 +344,9 @@ QUERIES: dict[str, Query] = {
     "unit_review_sheet": unit_review_sheet,
     "range_rule_violations": range_rule_violations,
     "partitioned_output_counts": partitioned_output_counts,
+    "sheet_intake_roundtrip": sheet_intake_roundtrip,
+    "review_workbook_rows": review_workbook_rows,
+    "ratio_decile_sheet_rows": ratio_decile_sheet_rows,
     "parameterised_query": parameterised_query,
     "township_list": township_list,
 }

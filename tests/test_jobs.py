@@ -112,3 +112,34 @@ def test_extra_permit_leaves_sales_unchanged(spark):
     more = jobs.unit_review_job(*inputs, "1999").collect()
     assert {r["PIN"]: r["Sales"] for r in more} == base
     assert len(more) == len(base)
+
+
+def test_clashing_request_columns_get_suffixes(spark):
+    hist = spark.createDataFrame([("00000000000001", "2025", "299", 90, 100, 120)], HIST)
+    req = spark.createDataFrame([("00000000000001", "mine", "p")], "`Permanent Index Number` string, Class string, pin string")
+    out = value_change(req, hist, 2025)
+    row = out.collect()[0].asDict()
+    assert (row["Class x"], row["Class y"], row["pin"]) == ("mine", "299", "p")
+
+
+def test_returned_sheet_is_checked_under_its_delivered_names(spark):
+    sheet = spark.createDataFrame([("1", "99", "9" * 45), ("2", "3", "")], "PIN string, `New Bedrooms` string, `New Unit SF` string")
+    got = sorted(tuple(r) for r in jobs.returned_sheet_violations(sheet).collect())
+    assert got == [("1", "new_bedrooms", "99", "out of range"), ("1", "new_unit_sf", "9" * 45, "out of range")]
+
+
+def test_map_frame_carries_wkb(spark):
+    from parcelbeam.operators.reshape import neighborhood_map_frame
+    medians = spark.createDataFrame([("T", "1-2", "Model", 1, 0.9)], "township_name string, neighborhood_number string, stage string, stage_order int, median_sale_ratio double")
+    outlines = spark.createDataFrame([("T", "12", bytearray(b"\x01\x03"))], "township_name string, town_nbhd string, geometry binary")
+    assert neighborhood_map_frame(medians, outlines).collect()[0]["geometry"] == bytearray(b"\x01\x03")
+
+
+def test_stand_ins_keep_every_row(spark):
+    from parcelbeam.sources import standins as S
+    d = "/root/testdata/sf0.001"
+    count = lambda name: spark.read.parquet(f"{d}/{name}.parquet").count()
+    assert S.pin_permit(spark, d).count() == count("events") and S.pin_sale(spark, d).count() == count("orders")
+    assert S.pin_condo_char(spark, d).count() == S.pin_status(spark, d).count() == 2 * count("customer")
+    assert S.assessment_pin(spark, d).count() == count("customer")
+    assert S.desk_review_sheets(spark, d).select("PIN").distinct().count() == count("customer")

@@ -22,7 +22,9 @@ def con():
 
 def _names():
     import __spark_entry__ as E
-    return list(E.queries())
+    from parcelbeam.plans.queries import QUERIES
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) >= set(QUERIES)
+    return list(QUERIES)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
