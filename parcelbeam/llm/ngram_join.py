@@ -9,10 +9,11 @@ is cut into fragments.
 2. For the sets left, all n-grams are shuffled once, to learn how many of these sets hold each.
    Sets whose unshared n-grams are too many drop out again; the others order their n-grams from
    rare to frequent and keep as prefix those that a similar pair must share one of.
-3. Each set is compared with the set that it shares most n-grams with among the least-numbered
-   holders of its n-grams: overlaps are counted fragment by fragment and summed per pair.
-   Documents linked so far form groups.
-4. Sets that share a prefix n-gram across groups are compared the same way; within a group
+3. Each set is compared with the set that it shares most n-grams with among the most typical
+   holders of its n-grams (those with the fewest unshared ones): overlaps are counted fragment
+   by fragment and summed per pair.  Documents linked so far form groups.
+4. Where groups still share prefix n-grams, each set is compared with the most typical holder in
+   another group, and then all pairs left across groups are compared the same way; within a group
    nothing is left to find, so groups of copies are never expanded into pairs.
 
 Links are exact: every pair over the threshold is either compared or already in one group.
@@ -48,21 +49,22 @@ SIMILAR = 80
 FIRST = 0.27
 FRAGMENTS = 4
 #: Texts are taken some bytes at a time; n-grams aimed at per bucket of a table.
-SLICE = 6_000_000
+SLICE = 2_000_000
 BUCKET = 2_500_000
 LEAST_BUCKETS = 8
 
 
 class Sets(NamedTuple):
-    """Sets of consecutive documents: row in the batch, node, size, and all n-grams in order."""
+    """Sets of consecutive documents: node, size, all n-grams in order, and a rank: the lower, the
+    more typical a set seems of its kind (it has fewer n-grams of its own)."""
 
-    rows: np.ndarray
     nodes: np.ndarray
     sizes: np.ndarray
     grams: np.ndarray
+    ranks: np.ndarray
 
     def pick(self, keep: np.ndarray) -> "Sets":
-        return Sets(self.rows[keep], self.nodes[keep], self.sizes[keep], self.grams[np.repeat(keep, self.sizes)])
+        return Sets(self.nodes[keep], self.sizes[keep], self.grams[np.repeat(keep, self.sizes)], self.ranks[keep])
 
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.sizes)), self.sizes)
@@ -79,7 +81,7 @@ def gram_sets(texts: list[bytes | None]) -> Sets:
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(grams + mix(place)), dtype=np.uint64)])
     ends = np.cumsum(sizes)
     nodes = mix(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64))
-    return Sets(np.arange(len(sizes)), nodes, sizes, grams)
+    return Sets(nodes, sizes, grams, np.zeros(len(sizes), np.uint8))
 
 
 def distinct(sets: Sets) -> Sets:
@@ -141,11 +143,10 @@ class Table(NamedTuple):
 def send(sets: Sets, buckets: int) -> pa.RecordBatch:
     """One row per bucket: 48-bit keys in order, their sets as positions in the row's nodes.
 
-    An n-gram in several of the sets is sent for the least and the largest node only, with the
-    count of all: a frequent n-gram costs two entries a slice, however many sets hold it."""
+    An n-gram in several of the sets is sent for the first and the last of them by (rank, node)
+    only, with the count of all: it costs two entries a slice, however many sets hold it."""
     owner = sets.owner()
-    nodes = sets.nodes[owner]
-    order = np.lexsort((nodes, sets.grams))
+    order = np.lexsort((sets.nodes[owner], sets.ranks[owner], sets.grams))
     grams, owner = sets.grams[order], owner[order]
     first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
     last = np.append(first[1:], len(grams)) - 1
@@ -164,41 +165,42 @@ def send(sets: Sets, buckets: int) -> pa.RecordBatch:
         wide = place.astype("<u2" if len(who) <= 65536 else "<u4")
         keys = keys_of(grams[part]).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         odd = np.flatnonzero(count[part] != 1)  # most counts are 1: only the others are sent
-        rows.append((b, keys.tobytes(), wide.tobytes(), sets.nodes[who].tobytes(), odd.astype("<u4").tobytes(), count[part][odd].tobytes()))
-    kinds = (pa.int32(), *[pa.binary()] * 5)
+        rows.append((b, keys.tobytes(), wide.tobytes(), sets.nodes[who].tobytes(), sets.ranks[who].tobytes(), odd.astype("<u4").tobytes(), count[part][odd].tobytes()))
+    kinds = (pa.int32(), *[pa.binary()] * 6)
     return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                           names=["bucket", "keys", "place", "nodes", "odd", "counts"])
+                           names=["bucket", "keys", "place", "nodes", "ranks", "odd", "counts"])
 
 
-SENT = "bucket int, keys binary, place binary, nodes binary, odd binary, counts binary"
+SENT = "bucket int, keys binary, place binary, nodes binary, ranks binary, odd binary, counts binary"
 
 
 def write_table(sent: DataFrame, buckets: int, folder: str) -> Table:
-    """Per bucket the n-grams held by two different nodes: key, count of sets, least node."""
+    """Per bucket the n-grams held by two different nodes: key, count of sets, first node by (rank, node)."""
     store = Store(folder)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, nodes, counts = [], [], []
-        for k, place, who, odd, c in zip(rows["keys"], rows["place"], rows["nodes"], rows["odd"], rows["counts"]):
+        keys, nodes, ranks, counts = [], [], [], []
+        for k, place, who, rank, odd, c in zip(*[rows[x] for x in ("keys", "place", "nodes", "ranks", "odd", "counts")]):
             six = np.frombuffer(k, np.uint8).reshape(-1, 6)
             eight = np.zeros((len(six), 8), np.uint8)
             eight[:, :6] = six
             keys.append(eight.view("<u8").ravel())
             who = np.frombuffer(who, "<u8")
-            nodes.append(who[np.frombuffer(place, "<u2" if len(who) <= 65536 else "<u4")])
+            at = np.frombuffer(place, "<u2" if len(who) <= 65536 else "<u4")
+            nodes.append(who[at])
+            ranks.append(np.frombuffer(rank, np.uint8)[at])
             n = np.ones(len(six), "<u4")
             n[np.frombuffer(odd, "<u4")] = np.frombuffer(c, "<u4")
             counts.append(n)
-        key, node, n = np.concatenate(keys), np.concatenate(nodes), np.concatenate(counts)
-        order = np.argsort(key, kind="stable")
+        key, node, rank, n = (np.concatenate(x) for x in (keys, nodes, ranks, counts))
+        order = np.lexsort((node, rank, key))
         key, node, n = key[order], node[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        low, high = np.minimum.reduceat(node, first), np.maximum.reduceat(node, first)
-        shared = low != high
+        shared = np.minimum.reduceat(node, first) != np.maximum.reduceat(node, first)
         bucket = int(rows["bucket"].iloc[0])
         store.write(f"keys-{bucket}", key[first][shared])
         store.write(f"df-{bucket}", np.add.reduceat(n.astype(np.int64), first)[shared].clip(max=2 ** 32 - 1).astype("<u4"))
-        store.write(f"low-{bucket}", low[shared])
+        store.write(f"low-{bucket}", node[first][shared])
         return pd.DataFrame({"bucket": np.int32([bucket])})
 
     written = map_groups(sent, ["bucket"], run, "bucket int").collect()  # one small number per bucket
@@ -239,7 +241,7 @@ def first_table(docs: DataFrame, folder: str, grams: int) -> Table:
 def cut_to_first(sets: Sets) -> Sets:
     keep = in_first(sets.grams)
     kept = np.bincount(sets.owner()[keep], minlength=len(sets.sizes))
-    return Sets(sets.rows, sets.nodes, kept, sets.grams[keep])
+    return Sets(sets.nodes, kept, sets.grams[keep], sets.ranks)
 
 
 def left_after_first(sets: Sets, table: Table) -> Sets:
@@ -247,12 +249,13 @@ def left_after_first(sets: Sets, table: Table) -> Sets:
     sets = distinct(sets)
     part = cut_to_first(sets)
     own = np.bincount(part.owner()[table.holders(part.grams) == 0], minlength=len(sets.sizes))
+    sets = sets._replace(ranks=np.minimum(own * 512 // np.maximum(sets.sizes, 1), 255).astype(np.uint8))
     return sets.pick(own <= spare(sets.sizes))
 
 
 def candidate_rows(docs: DataFrame, first: Table, second: Table) -> DataFrame:
-    """Per remaining set and fragment: node, fragment, n, grams; on fragment 0 also the prefix
-    and the partner that it is compared with first."""
+    """Per remaining set and fragment: node, fragment, n, grams, the partner that it is compared
+    with first, the number of its unshared n-grams; on fragment 0 also the prefix."""
 
     def rows(sets: Sets) -> Iterator[tuple]:
         found = second.look(sets.grams, {"df": "<u4", "low": "<u8"})
@@ -260,7 +263,8 @@ def candidate_rows(docs: DataFrame, first: Table, second: Table) -> DataFrame:
         for node, n, e in zip(sets.nodes, sets.sizes, ends):
             df, low, grams = (x[e - n:e] for x in (found["df"], found["low"], sets.grams))
             shared = df > 0
-            room = int(spare(n)) - int((~shared).sum())
+            own = int((~shared).sum())
+            room = int(spare(n)) - own
             if room < 0:
                 continue
             grams, df, low = grams[shared], df[shared], low[shared]
@@ -269,19 +273,19 @@ def candidate_rows(docs: DataFrame, first: Table, second: Table) -> DataFrame:
             partner = partners[np.argmax(votes)] if len(partners) else node
             part = bucket_of(grams, FRAGMENTS)
             for k in range(FRAGMENTS):
-                yield node, k, n, partner, grams[part == k].view(np.int64), prefix.view(np.int64) if k == 0 else None
+                yield node, k, n, partner, own, grams[part == k].view(np.int64), prefix.view(np.int64) if k == 0 else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["node", "fragment", "n", "partner", "grams", "prefix"]
+        names = ["node", "fragment", "n", "partner", "own", "grams", "prefix"]
         signed = lambda xs: pa.array(np.array(xs, dtype=np.uint64).view(np.int64))
         for _, sets in sliced(batches):
             out = list(rows(left_after_first(sets, first)))
             if out:
-                node, fragment, n, partner, grams, prefix = zip(*out)
+                node, fragment, n, partner, own, grams, prefix = zip(*out)
                 yield pa.record_batch([signed(node), pa.array(fragment, pa.int32()), pa.array(n, pa.int64()), signed(partner),
-                                       pa.array(grams, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))], names=names)
+                                       pa.array(own, pa.int64()), pa.array(grams, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))], names=names)
 
-    made = map_batches(texts_of(docs), run, "node long, fragment int, n long, partner long, grams array<long>, prefix array<long>")
+    made = map_batches(texts_of(docs), run, "node long, fragment int, n long, partner long, own long, grams array<long>, prefix array<long>")
     # copies in different slices repeat their rows
     return made.dropDuplicates(["node", "fragment"])
 
@@ -318,22 +322,42 @@ def star_links(sets: DataFrame) -> DataFrame:
     return over_threshold(partial_overlaps(left, sets))
 
 
-def cross_pairs(sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets of different groups that share a prefix n-gram and are of fitting size."""
-    held = sets.filter("fragment = 0").select("node", "n", F.explode("prefix").alias("gram"))
-    held = held.join(groups, "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
-    # n-grams that only one group holds have no pair left to find
-    mixed = held.groupBy("gram").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo <> hi").select("gram")
-    held = held.join(mixed, "gram", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
-    spread = held.groupBy("gram", "grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    fits = lambda a, b: F.col(a) * 100 >= F.col(b) * SIMILAR
-    one = spread.select("gram", F.col("grp").alias("ga"), F.col("least").alias("la"), F.col("most").alias("ma"))
-    two = spread.select("gram", F.col("grp").alias("gb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    meets = one.join(two, "gram").filter((F.col("ga") < F.col("gb")) & fits("ma", "lb") & fits("mb", "la")).select("gram", "ga", "gb")
-    left = held.select("gram", F.col("grp").alias("ga"), F.col("node").alias("a"), F.col("n").alias("na"))
-    right = held.select("gram", F.col("grp").alias("gb"), F.col("node").alias("b"), F.col("n").alias("nb"))
-    pairs = meets.join(left, ["gram", "ga"]).join(right, ["gram", "gb"]).filter(fits("na", "nb") & fits("nb", "na"))
-    return pairs.select("a", "b").distinct()
+def open_rows(sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Prefix n-grams that sets of different groups within each other's reach hold: gram, node, n,
+    own, reach, grp.
+
+    If an n-gram is the first that a pair shares, a set of size n with i n-grams before it has at
+    most n - i in common with its partner, so the partner's size is bounded (``reach``); both of
+    a pair must be within the other's reach."""
+    held = sets.filter("fragment = 0").select("node", "n", "own", F.posexplode("prefix").alias("i", "gram"))
+    reach = F.expr(f"(n - own - i) * {100 + SIMILAR} div {SIMILAR} - n")
+    held = held.join(groups, "node", "left").select("gram", "node", "n", "own", reach.alias("reach"),
+                                                    F.coalesce("component", "node").alias("grp"))
+    bounds = held.groupBy("gram").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.min("n").alias("least"),
+                                      F.max("reach").alias("most")).filter("lo <> hi").drop("lo", "hi")
+    held = held.join(bounds, "gram").filter("n <= most AND reach >= least").drop("least", "most")
+    return held.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def typical_partners(held: DataFrame) -> DataFrame:
+    """Pairs (a, b): each set with the most typical holder, of another group, of most of its open
+    n-grams.  What is similar to a group's most typical set joins the group by this one pair."""
+    hubs = held.groupBy("gram").agg(F.min(F.struct((F.col("own") * 1000 / F.col("n")).alias("rank"), F.col("node").alias("hub"),
+                                                   F.col("grp").alias("hub_grp"))).alias("h")).select("gram", "h.hub", "h.hub_grp")
+    votes = held.join(hubs, "gram").filter("grp <> hub_grp").groupBy("node", "hub").count()
+    return votes.groupBy("node").agg(F.max(F.struct("count", "hub")).alias("m")).select(
+        F.col("node").alias("a"), F.col("m.hub").alias("b"))
+
+
+def cross_pairs(held: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of different groups that share a prefix n-gram within reach."""
+    spread = held.groupBy("gram", "grp").agg(F.min("n").alias("n"), F.max("reach").alias("reach"))
+    side = lambda df, k, *more: df.select("gram", *[F.col(c).alias(c + k) for c in ("grp", "n", "reach", *more)])
+    within = (F.col("na") <= F.col("reachb")) & (F.col("nb") <= F.col("reacha"))
+    meets = side(spread, "a").join(side(spread, "b"), "gram").filter((F.col("grpa") < F.col("grpb")) & within)
+    meets = meets.select("gram", "grpa", "grpb")
+    pairs = meets.join(side(held, "a", "node"), ["gram", "grpa"]).join(side(held, "b", "node"), ["gram", "grpb"]).filter(within)
+    return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
 
 
 def pair_links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -351,8 +375,11 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     second = second_table(docs, first, f"{folder}/second", grams)
     sets = checkpointed(candidate_rows(docs, first, second))
     links = checkpointed(star_links(sets))
-    more = checkpointed(pair_links(checkpointed(cross_pairs(sets, connected(links))), sets))
-    groups = connected(links.unionByName(more))
+    for pairs_of in (typical_partners, cross_pairs):
+        held = open_rows(sets, connected(links))
+        links = checkpointed(links.unionByName(pair_links(checkpointed(pairs_of(held)), sets)))
+        held.unpersist()
+    groups = connected(links)
     lone = F.col("n") == 0
     classes = members.filter(~lone).groupBy("node").agg(F.min("doc_id").alias("class_id")).join(groups, "node", "left")
     classes = classes.select("node", "class_id", F.coalesce("component", "node").alias("component"))
