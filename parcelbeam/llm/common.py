@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +62,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a Parquet table in the shared folder: smaller than a checkpoint, and
+    later reads take only the columns they need."""
+    path = shared_folder(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shared_folder(spark: SparkSession, *parts: str) -> str:
     """A folder (as URI or path) under the shared checkpoint folder of this application."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelbeam.llm.common import checkpointed, held_out, map_batches, map_groups, shared_folder
+from parcelbeam.llm.common import held_out, map_batches, map_groups, shared_folder, written
 from parcelbeam.llm.hashing import mix, word_hashes
 from parcelbeam.llm.store import Store, distinct_runs, look_up
 
@@ -36,9 +36,11 @@ FOLDS = 10
 BEGIN, END = np.uint64(0x5BE6), np.uint64(0xE4D)
 #: Tokens gathered by a task before they are counted and sent on.
 GATHER = 2_000_000
+#: Bytes of text that a task hashes at a time.
+SLICE = 2_000_000
 #: Pairs aimed at per shard, and words per slice of the vocabulary.
-SHARD_PAIRS = 2_000_000
-SLICE_WORDS = 1_000_000
+SHARD_PAIRS = 1_000_000
+SLICE_WORDS = 500_000
 MIX_PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,7 +72,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
         at = 0
         while at < len(texts):  # a slice of texts of bounded length at a time
             to, n = at, 0
-            while to < len(texts) and n < 4 * GATHER:
+            while to < len(texts) and n < SLICE:
                 n += len(texts[to].as_py() or b"") + 1
                 to += 1
             u, w, _ = tokens(texts.slice(at, to - at).to_pylist())
@@ -244,25 +246,25 @@ def fit(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     folder = shared_folder(spark, f"lm-{uuid.uuid4().hex}")
     store = Store(folder)
-    raw = checkpointed(word_counts(docs))
+    raw = written(word_counts(docs), "words")
     n, v = raw.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.count("*")).first()
     shards = max(1, -(-n // SHARD_PAIRS))
     # at most 8 * shards words can be that frequent
     hot = [r["word"] for r in raw.filter(F.col("raw") > n / (8 * shards)).select("word").collect()]
-    found = checkpointed(write_pairs(pair_shards(docs, shards, hot), store))
+    found = written(write_pairs(pair_shards(docs, shards, hot), store), "counts")
     row = found.filter("kind = 1").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "n1", "n2", "n3", "before")]).first()
     d = discounts(row["n1"], row["n2"], row["n3"], row["before"])
     columns = ("raw", "total", "n1", "n2", "n3", "before")
     padded = raw.select("word", "raw", *[F.lit(0).cast("long").alias(c) for c in columns[1:]])
-    words = checkpointed(found.filter("kind = 0").select("word", F.lit(0).cast("long").alias("raw"), *columns[1:])
-                         .unionByName(padded).groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]))
+    words = written(found.filter("kind = 0").select("word", F.lit(0).cast("long").alias("raw"), *columns[1:])
+                         .unionByName(padded).groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]), "vocabulary")
     b = F.col("before")
     k, *m = words.agg(F.coalesce(F.sum(b), F.lit(0)), *[F.count_if(b == c) for c in (1, 2, 3, 4)], F.count_if(b >= 3)).first()
     e = discounts(*m[:4])
     back = (e[0] * m[0] + e[1] * m[1] + e[2] * m[4]) / max(k, 1) if k else 1.0
     slices = max(1, -(-v // SLICE_WORDS))
-    written = [r["slice"] for r in write_vocabulary(words, slices, store, d, e, float(k), back, v).collect()]
-    return Model(folder, list(range(shards)) if n else [], sorted(written), shards, slices, hot, d, n, v, back / (v + 1))
+    parts = [r["slice"] for r in write_vocabulary(words, slices, store, d, e, float(k), back, v).collect()]
+    return Model(folder, list(range(shards)) if n else [], sorted(parts), shards, slices, hot, d, n, v, back / (v + 1))
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
