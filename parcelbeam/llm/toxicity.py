@@ -16,13 +16,14 @@ counts; ties between examples go to the earlier one in id order.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelbeam.llm.common import checkpointed, held_out, map_batches
@@ -30,40 +31,53 @@ from parcelbeam.llm.common import checkpointed, held_out, map_batches
 FOLDS = 5
 MAX_EXAMPLES = 16_000
 MAX_TERMS = 4096
-MIN_DEPENDENCE = 45.0
-MIN_DOCS = 5
+#: Chi-squared of a selected term: about ten documents that are all toxic.  Below it lie the
+#: words that the copies of one toxic document share.
+MIN_DEPENDENCE = 85.0
+MIN_DOCS = 8
 PREFIX = 5
 BLOCK = 64
 NEIGHBOURS = 15
 #: Weight of the base rate among the votes.
 PULL = 0.15
-#: Splits terms: everything but letters and digits.
-GAP = r"[^\p{L}\p{N}]+"
+#: Runs of letters and digits.
+WORD = re.compile(r"[^\W_]+")
 
 
-def terms(text: Column) -> Column:
-    """Words and word beginnings of a text, lower-cased, with repetitions."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), GAP), lambda w: w != "")
-    starts = F.transform(F.filter(words, lambda w: F.length(w) > PREFIX), lambda w: F.concat(F.substring(w, 1, PREFIX), F.lit("*")))
-    return F.concat(words, starts)
+def terms(text: str | None) -> Counter:
+    """Words and word beginnings (marked by *) of a text, lower-cased, and how often they come."""
+    words = Counter(WORD.findall((text or "").lower()))
+    out = Counter(words)
+    for w, n in words.items():
+        if len(w) > PREFIX:
+            out[w[:PREFIX] + "*"] += n
+    return out
 
 
 def examples(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -> DataFrame:
-    """Up to ``limit`` labelled training documents, the first by hash of id: doc_id, toxic, terms."""
+    """Up to ``limit`` labelled training documents, the first by hash of id: doc_id, toxic, terms,
+    counts (of the terms)."""
     marked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), FOLDS))
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)  # bounded: broadcast below
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("doc_id", "toxic", terms(F.col("text")).alias("terms"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [terms(t) for t in batch.column(2).to_pylist()]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([list(c) for c in found], pa.list_(pa.string())),
+                                   pa.array([list(c.values()) for c in found], pa.list_(pa.int64()))], names=["doc_id", "toxic", "terms", "counts"])
+
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    return map_batches(sample, run, "doc_id long, toxic int, terms array<string>, counts array<long>")
 
 
 def select_terms(sample: DataFrame, n: int, toxic: int) -> list[tuple[str, int]]:
     """The terms that depend most on the label (chi-squared over documents), and their counts.
 
     Only terms that speak for toxicity are taken: what speaks against it is everything else."""
-    counted = sample.select("toxic", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(
+    counted = sample.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
         F.count("*").alias("n"), F.sum((F.col("toxic") > 0).cast("long")).alias("bad"))
     a, b = F.col("bad").cast("double"), (F.col("n") - F.col("bad")).cast("double")
     c, d = F.lit(float(toxic)) - a, F.lit(float(n - toxic)) - b
@@ -97,23 +111,25 @@ class Index:
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> list[tuple[float, int]]:
         """The k examples of highest cosine above 0, as (cosine, example), nearest first."""
         n_blocks = -(-len(self.labels) // BLOCK)
-        bound = np.zeros(n_blocks)
-        for t, w in zip(ids, weights):
-            s = slice(self.block_starts[t], self.block_starts[t + 1])
-            bound[self.blocks[s]] += w * self.block_max[s]
+        gather = lambda starts, values: [values[starts[t]:starts[t + 1]] for t in ids]
+        spread = lambda starts, values: np.concatenate([v * w for v, w in zip(gather(starts, values), weights)])
+        bound = np.bincount(np.concatenate(gather(self.block_starts, self.blocks)), spread(self.block_starts, self.block_max), n_blocks)
+        members, gains = np.concatenate(gather(self.starts, self.members)), spread(self.starts, self.weights)
+        order = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
         found: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(found) == k and -found[-1][0] > bound[b] + 1e-9):
+        done, step = 0, 4
+        while done < len(order):
+            if len(found) == k and -found[-1][0] > bound[order[done]] + 1e-9:
                 break  # proof: no example of this block or of any later one can enter
-            sums = np.zeros(BLOCK)
-            for t, w in zip(ids, weights):
-                lo, hi = self.starts[t], self.starts[t + 1]
-                part = slice(lo + np.searchsorted(self.members[lo:hi], b * BLOCK),
-                             lo + np.searchsorted(self.members[lo:hi], (b + 1) * BLOCK))
-                sums[self.members[part] - b * BLOCK] += w * self.weights[part]
-            hits = np.flatnonzero(sums > 0)
-            found = sorted(found + [(-sums[h], b * BLOCK + h) for h in hits])[:k]
-        return [(-c, int(e)) for c, e in found]
+            visit = np.zeros(n_blocks, dtype=bool)
+            visit[order[done:done + step]] = True
+            mine = visit[members // BLOCK]
+            sums = np.bincount(members[mine], gains[mine], len(self.labels))
+            hits = np.flatnonzero(sums)
+            best = hits[np.lexsort((hits, -sums[hits]))][:k]
+            found = sorted(found + [(-sums[h], int(h)) for h in best])[:k]
+            done, step = done + step, step * 4
+        return [(-c, e) for c, e in found]
 
     def score(self, counts: dict[int, int]) -> tuple[float, list[int]]:
         """Cosine-weighted votes with the base rate, and the neighbours' ids."""
@@ -134,13 +150,16 @@ def build_index(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -
     chosen = select_terms(sample, n, toxic or 0)
     vocabulary = {t: i for i, (t, _) in enumerate(chosen)}
     idf = np.array([math.log((1 + n) / (1 + c)) + 1 for _, c in chosen])
-    keep = F.filter("terms", lambda t: t.isin(list(vocabulary)) if vocabulary else F.lit(False))
-    rows = sample.select("doc_id", "toxic", keep.alias("terms")).filter(F.size("terms") > 0).orderBy("doc_id").collect()
+    # what the driver gets is bounded too: the chosen terms of at most ``limit`` documents
+    long = sample.select("doc_id", "toxic", F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("doc_id", "toxic", "t.terms", "t.counts")
+    names = docs.sparkSession.createDataFrame([(t,) for t in vocabulary], "terms string")
+    rows = long.join(F.broadcast(names), "terms").groupBy("doc_id", "toxic").agg(
+        F.map_from_entries(F.collect_list(F.struct("terms", "counts"))).alias("terms")).orderBy("doc_id").collect()
     index = Index(vocabulary, idf, *[np.zeros(0)] * 6, np.array([int(r["toxic"] > 0) for r in rows]),
                   np.array([r["doc_id"] for r in rows]), (toxic or 0) / n)
     postings: list[list[tuple[int, float]]] = [[] for _ in chosen]
     for e, r in enumerate(rows):
-        for t, w in zip(*index.vector(Counter(vocabulary[t] for t in r["terms"]))):
+        for t, w in zip(*index.vector({vocabulary[t]: n for t, n in r["terms"].items()})):
             postings[t].append((e, w))
     index.starts = np.cumsum([0] + [len(p) for p in postings])
     index.members = np.array([e for p in postings for e, _ in p], dtype=np.int64)
@@ -160,17 +179,26 @@ def build_index(docs: DataFrame, labels: DataFrame, limit: int = MAX_EXAMPLES) -
 def score_documents(docs: DataFrame, index: Index | None) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted, evidence (ids of the neighbours)."""
     vocabulary = index.vocabulary if index else {}
+    whole = {t: i for t, i in vocabulary.items() if not t.endswith("*")}
+    starts = {t[:-1]: i for t, i in vocabulary.items() if t.endswith("*")}
+
+    def chosen(text: str | None) -> dict[int, int]:
+        """Counts of the vocabulary's terms in a text (as by ``terms``, without making the others)."""
+        out: dict[int, int] = {}
+        for w, n in Counter(WORD.findall((text or "").lower())).items():
+            for i in (whole.get(w), starts.get(w[:PREFIX]) if len(w) > PREFIX else None):
+                if i is not None:
+                    out[i] = out.get(i, 0) + n
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scored = [index.score(Counter(vocabulary[t] for t in ts)) if index else (0.0, []) for ts in batch.column(1).to_pylist()]
+            scored = [index.score(chosen(t)) if index else (0.0, []) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array([s for s, _ in scored], pa.float64()),
                                    pa.array([e for _, e in scored], pa.list_(pa.int64()))],
                                   names=["doc_id", "score", "evidence"])
 
-    # texts stay in the JVM: the Python workers get only the selected terms of each text
-    keep = F.filter(terms(F.col("text")), lambda t: t.isin(list(vocabulary)) if vocabulary else F.lit(False))
-    scored = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), keep.alias("terms")), run,
+    scored = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
                          "doc_id long, score double, evidence array<long>")
     return scored.select("doc_id", held_out(F.col("doc_id"), FOLDS).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
