@@ -50,7 +50,7 @@ FIRST = 0.27
 FRAGMENTS = 4
 #: Texts are taken some bytes at a time; n-grams aimed at per bucket of a table.
 SLICE = 2_000_000
-BUCKET = 2_500_000
+BUCKET = 1_000_000
 LEAST_BUCKETS = 8
 
 
@@ -193,6 +193,7 @@ def write_table(sent: DataFrame, buckets: int, folder: str) -> Table:
             n[np.frombuffer(odd, "<u4")] = np.frombuffer(c, "<u4")
             counts.append(n)
         key, node, rank, n = (np.concatenate(x) for x in (keys, nodes, ranks, counts))
+        del keys, nodes, ranks, counts
         order = np.lexsort((node, rank, key))
         key, node, n = key[order], node[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
