@@ -31,10 +31,10 @@ from parcelbeam.llm.common import checkpointed, held_out, map_batches
 FOLDS = 5
 MAX_EXAMPLES = 16_000
 MAX_TERMS = 4096
-#: Chi-squared of a selected term: about ten documents that are all toxic.  Below it lie the
-#: words that the copies of one toxic document share.
-MIN_DEPENDENCE = 85.0
-MIN_DOCS = 8
+#: Least chi-squared of a selected term: a significance of one in a million, whatever the number of examples
+#: and the share of toxic ones.
+MIN_DEPENDENCE = 23.93
+MIN_DOCS = 5
 PREFIX = 5
 BLOCK = 64
 NEIGHBOURS = 15

@@ -76,3 +76,17 @@ def test_edges(make_docs, edge_rows, labelled, spark):
     assert {r.score for r in toxicity.toxicity_report(make_docs(edge_rows), none).collect()} == {0.0}
     odd = spark.createDataFrame([(1, None, None), (None, 1, 1), (6, 1, 0), (6, 1, 1)], T.StructType(labels.schema.fields))
     assert toxicity.toxicity_report(make_docs(edge_rows), odd).count() == len(edge_rows)
+
+
+@pytest.mark.parametrize("n, every", [(90, 2), (80, 4)])
+def test_few_labelled_documents_teach_too(make_docs, spark, n, every):
+    rng = random.Random(3)
+    rows, marks = [], []
+    for i in range(n):
+        words = prose(rng, 60, 800).split() + (["grumbolt"] if i % every == 0 else [])
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(i % every == 0)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    assert toxicity.build_index(make_docs(rows), labels).vocabulary.keys() >= {"grumbolt"}
+    found = {r.doc_id: r.predicted for r in toxicity.toxicity_report(make_docs(rows), labels).collect() if r.held_out}
+    assert found and all(found[i] for i in found if i % every == 0)
