@@ -6,8 +6,11 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,6 +106,19 @@ def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows of Arrow batches in slices of about ``limit`` bytes in a binary column, at least one row
+    each."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends, first = np.cumsum(lengths, dtype=np.int64), 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def map_groups(df: DataFrame, keys: list[str], run: Callable, schema: str) -> DataFrame:
     """``applyInPandas`` per key with the package on the workers."""
     ship_package(df.sparkSession)

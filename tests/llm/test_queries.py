@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from parcelbeam.llm.oracles import ORACLES
 from parcelbeam.llm.queries import QUERIES, VOCABULARY
-from tests.llm import test_lm, test_mixing, test_ngram_join, test_passages, test_quality, test_secret_scan
+from tests.llm import test_byte_codec, test_lm, test_mixing, test_ngram_join, test_passages, test_quality, test_secret_scan
 from tests.oracle_compare import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -41,7 +41,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_operators_are_registered():
     import __spark_entry__
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= {k.split("_")[0] for k in __spark_entry__.queries()}
+    assert {f"op{n}" for n in range(1, 12)} | {"pipeline"} <= {k.split("_")[0] for k in __spark_entry__.queries()}
 
 
 def test_op1(spark, texts):
@@ -82,6 +82,16 @@ def test_op3_and_op10(spark, texts):
         assert (r.n_tokens, r.n_bytes) == (len(encode(texts[r.doc_id])), len((texts[r.doc_id] or "").encode()))
 
 
+def test_op11(spark, texts):
+    library, count = test_byte_codec.library(), 0
+    for r in QUERIES["op11_byte_level_bpe"](spark, SF).collect():
+        text, count = texts[r.doc_id] or "", count + 1
+        ids = library.encode_ordinary(text)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert count == len(texts)
+
+
 def test_op4(spark, texts):
     for r in QUERIES["op4_secret_scans"](spark, SF).collect():
         want = test_secret_scan.listing(test_secret_scan.base(texts[r.doc_id]))
