@@ -73,6 +73,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def drop_written(spark: SparkSession, table: DataFrame) -> None:
+    """Delete the files of a table made by ``written``, once nothing reads it any more."""
+    for folder in {os.path.dirname(f) for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_folder(spark: SparkSession, *parts: str) -> str:
     """A folder (as URI or path) under the shared checkpoint folder of this application."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)

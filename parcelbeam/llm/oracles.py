@@ -1,7 +1,7 @@
 """DuckDB SQL for the corpus queries that SQL can express.
 
 The others are held against brute force in the tests: 1 (fitted model), 3 and 10 (tokenizer),
-4 (positions of matches), 5 (approximate alignment), 6 and 8 (fitted models).
+4 (positions of matches), 5 (approximate alignment), 6 and 8 (fitted models), 11 and 12 (tokenizers).
 """
 
 from __future__ import annotations
@@ -65,8 +65,37 @@ n AS (SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN u < rate - floor(rate) T
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM n
 """
 
+#: One round: every vector's nearest centroid, and the next centroids.
+ROUND = """
+a{i} AS MATERIALIZED (
+  SELECT r, vec_id, v, best[1] AS distance, best[2] AS cluster FROM (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v,
+      min([CAST(list_sum(list_transform(list_zip(v, c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT), cluster]) AS best
+    FROM v CROSS JOIN c{i} GROUP BY r)),
+c{j} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+    SELECT cluster, list((s - (s % n + n) % n) // n ORDER BY place) AS c FROM (
+      SELECT cluster, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+        SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{i}) GROUP BY cluster, place)
+    GROUP BY cluster) m USING (cluster)),"""
+
+CLUSTERS = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS cluster, v AS c
+  FROM v QUALIFY cluster < 40),
+""" + "".join(ROUND.format(i=i, j=i + 1) for i in range(6)) + """
+t AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM a5 GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, cluster_inertia,
+  (SELECT CAST(sum(cluster_inertia) AS BIGINT) FROM t) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a5 JOIN t USING (cluster) JOIN c5 USING (cluster)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": JACCARD,
     "op7_exact_top_k": TOP_K,
     "op9_source_mixing": MIXING,
+    "op13_centroid_clustering": CLUSTERS,
 }

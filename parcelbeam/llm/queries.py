@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelbeam.llm import (
-    byte_codec, lm, mixing, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, vector_search)
+    alignment, byte_codec, clustering, lm, mixing, ngram_join, packing, passages, quality, secret_scan, token_counts, toxicity, vector_search)
 from parcelbeam.llm.common import table
 
 #: The vocabulary file of the token operators.
 VOCABULARY = "word_bpe_49k.json"
 #: The rank file of byte-level encoding and decoding.
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: The two tokenizers that are aligned.
+SIDES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +63,15 @@ def op11_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, SIDES))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_ngram_jaccard_join, op3_best_fit_packing, op4_secret_scans, op5_substring_dedup,
-    op6_toxicity, op7_exact_top_k, op8_lm_scoring, op9_source_mixing, op10_token_counts, op11_byte_level_bpe)}
+    op6_toxicity, op7_exact_top_k, op8_lm_scoring, op9_source_mixing, op10_token_counts, op11_byte_level_bpe,
+    op12_tokenizer_alignment, op13_centroid_clustering)}

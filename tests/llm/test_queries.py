@@ -14,7 +14,8 @@ from tokenizers import Tokenizer
 
 from parcelbeam.llm.oracles import ORACLES
 from parcelbeam.llm.queries import QUERIES, VOCABULARY
-from tests.llm import test_byte_codec, test_lm, test_mixing, test_ngram_join, test_passages, test_quality, test_secret_scan
+from tests.llm import (
+    test_alignment, test_byte_codec, test_lm, test_mixing, test_ngram_join, test_passages, test_quality, test_secret_scan)
 from tests.oracle_compare import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -41,7 +42,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_operators_are_registered():
     import __spark_entry__
-    assert {f"op{n}" for n in range(1, 12)} | {"pipeline"} <= {k.split("_")[0] for k in __spark_entry__.queries()}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} <= {k.split("_")[0] for k in __spark_entry__.queries()}
 
 
 def test_op1(spark, texts):
@@ -92,6 +93,11 @@ def test_op11(spark, texts):
     assert count == len(texts)
 
 
+def test_op12(spark, texts):
+    got = QUERIES["op12_tokenizer_alignment"](spark, SF).collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(test_alignment.brute(list(texts.items())))
+
+
 def test_op4(spark, texts):
     for r in QUERIES["op4_secret_scans"](spark, SF).collect():
         want = test_secret_scan.listing(test_secret_scan.base(texts[r.doc_id]))
