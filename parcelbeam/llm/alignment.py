@@ -5,6 +5,11 @@ from end to index; ends that both have, found by intersecting the dictionaries'
 both id lists into groups.  Links, the pairs of tokens with overlapping bytes, are expanded inside
 each group.  A side's bytes must spell a space and the text, else the text has no tokens.
 
+No token of either side runs across a single space between two other characters (the byte-level side
+splits there, the other has no such piece, which is checked when it is loaded).  So tokens of both
+end before each such space, a text's groups are those of its chunks between these places one after
+the other, and a worker aligns a chunk once and remembers it as long as its memo holds it.
+
 The written result of that one pass feeds the counts.  An id pair's count is the number of documents
 that hold it, added up per task before the shuffle.  Pairs that many documents hold, at most
 ``HELD`` by the way the bound on their count is chosen, are broadcast with their counts and meet the
@@ -21,15 +26,17 @@ from __future__ import annotations
 import hashlib
 import itertools
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelbeam.llm.byte_codec import ChunkEncoder
+from parcelbeam.llm.byte_codec import RUN, ChunkMemo, RunEncoder
 from parcelbeam.llm.common import byte_slices, drop_written, map_batches, written
 from parcelbeam.llm.token_counts import byte_symbols
 
@@ -42,23 +49,29 @@ LINE_MARK = "▁"
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, groups_sha256 string, pairs array<long>, times array<int>"
 
 
+#: Where chunks begin, for texts in which white space stands beside a space.
+CHUNK_START = re.compile(r"(?<=\S)(?= \S)")
+UNEVEN = re.compile(r"\s |(?<=.) \s| \Z", re.DOTALL)
+
+
 class ByteLevelSide:
-    """Ids and token bytes of a byte-level vocabulary (a tokenizers file), for a space and the text."""
+    """Ids and token bytes of a byte-level vocabulary (a tokenizers file)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core already
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        self.encoder = ChunkEncoder(tokenizer)
         value = {c: b for b, c in enumerate(byte_symbols())}
         self.bytes = [b""] * (max(tokenizer.get_vocab().values()) + 1)
         for entry, i in tokenizer.get_vocab().items():
             # entries beside the byte-level ones (special tokens) stand for their own text
             self.bytes[i] = bytes(map(value.__getitem__, entry)) if all(c in value for c in entry) else entry.encode()
+        self.encoder = RunEncoder(tokenizer, np.array(list(map(len, self.bytes)), dtype=np.int64))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [np.frombuffer(ids, "<u4").tolist() for ids in self.encoder.encode([" " + t for t in texts])]
+        """Ids of chunks, each with its space."""
+        return [np.frombuffer(ids, "<u4").tolist() for ids in self.encoder.ids_of(texts)]
 
 
 class PieceSide:
@@ -67,61 +80,152 @@ class PieceSide:
     def __init__(self, path: str):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = list(map(self.model.id_to_piece, range(self.model.get_piece_size())))
         self.bytes = [bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(LINE_MARK, " ").encode()
-                      for i in range(self.model.get_piece_size()) for piece in (self.model.id_to_piece(i),)]
+                      for i, piece in enumerate(pieces)]
+        #: no piece goes on with a space after another character
+        self.splits = not any(LINE_MARK in piece.lstrip(LINE_MARK) for piece in pieces)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        """Ids of chunks, each with its space."""
+        return self.model.encode([t[1:] for t in texts], num_threads=1)
 
 
-@lru_cache(maxsize=2)
-def sides(a: str, b: str) -> tuple[ByteLevelSide, PieceSide]:
-    """Both tokenizers, once per worker process."""
-    return ByteLevelSide(a), PieceSide(b)
+def ends(ids: np.ndarray, lengths: np.ndarray) -> dict[int, int]:
+    """Cumulative byte end of each token, ascending -> how many tokens end by there."""
+    return dict(zip(np.cumsum(lengths[ids]).tolist(), range(1, len(ids) + 1)))
 
 
-def ends(ids: list[int], lengths: list[int]) -> dict[int, int]:
-    """Cumulative byte end of each token -> how many tokens end by there."""
-    return dict(zip(itertools.accumulate(map(lengths.__getitem__, ids)), itertools.count(1)))
+def align(a: np.ndarray, b: np.ndarray, a_lengths: np.ndarray, b_lengths: np.ndarray
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Group ends, as numbers of tokens of either side up to there, and the linked pairs (A's id in
+    the upper 32 bits) with the number of their group, ascending."""
+    a_ends, b_ends = ends(a, a_lengths), ends(b, b_lengths)
+    common = sorted(a_ends.keys() & b_ends.keys())
+    a_cuts = np.fromiter(map(a_ends.__getitem__, common), np.int64, len(common))
+    b_cuts = np.fromiter(map(b_ends.__getitem__, common), np.int64, len(common))
+    a_counts, b_counts = np.diff(a_cuts, prepend=0), np.diff(b_cuts, prepend=0)
+    a_group, b_group = np.repeat(np.arange(len(common)), a_counts), np.repeat(np.arange(len(common)), b_counts)
+    # groups with one token on a side: it is linked with every token on the other
+    of_b = (a_counts == 1)[b_group]
+    of_a = ((b_counts == 1) & (a_counts > 1))[a_group]
+    pairs = [(a[a_cuts - 1][b_group[of_b]] << 32) | b[of_b], (a[of_a] << 32) | b[b_cuts - 1][a_group[of_a]]]
+    groups = [b_group[of_b], a_group[of_a]]
+    more, of = [], []
+    for g in np.flatnonzero((a_counts > 1) & (b_counts > 1)).tolist():
+        left, right = a[a_cuts[g] - a_counts[g]:a_cuts[g]].tolist(), b[b_cuts[g] - b_counts[g]:b_cuts[g]].tolist()
+        # side by side, going on with the token that ends first; none end together inside
+        p = q = 0
+        p_end, q_end = a_lengths[left[0]], b_lengths[right[0]]
+        while True:
+            more.append((left[p] << 32) | right[q])
+            of.append(g)
+            if p_end < q_end:
+                p += 1
+                p_end += a_lengths[left[p]]
+            elif q_end < p_end:
+                q += 1
+                q_end += b_lengths[right[q]]
+            else:
+                break
+    pairs.append(np.array(more, dtype=np.int64))
+    groups.append(np.array(of, dtype=np.int64))
+    group = np.concatenate(groups)
+    order = np.argsort(group, kind="stable")
+    return a_cuts, b_cuts, np.concatenate(pairs)[order], group[order]
+
+
+@lru_cache(maxsize=1)
+def decimal_table(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """ASCII digits of the numbers below ``size``, left-aligned with a free place at the end, and
+    how many digits each has."""
+    numbers = np.char.mod("%d", np.arange(size)).astype("S")
+    width = numbers.dtype.itemsize
+    digits = np.zeros((size, width + 1), dtype=np.uint8)
+    digits[:, :width] = numbers.view(np.uint8).reshape(size, width)
+    return digits, (digits > 0).sum(axis=1)
+
+
+def group_text(a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray, size: int) -> bytes:
+    """``a1,a2|b1;a3|b2,b3``: the ids (below ``size``) of each group's two sides."""
+    if not len(a_cuts):
+        return b""
+    digits, lengths = decimal_table(size)
+    # a token comes after all tokens of earlier groups, and B's after A's of its own
+    place_a = np.arange(len(a)) + np.repeat(np.concatenate([[0], b_cuts[:-1]]), np.diff(a_cuts, prepend=0))
+    place_b = np.arange(len(b)) + np.repeat(a_cuts, np.diff(b_cuts, prepend=0))
+    ids = np.empty(len(a) + len(b), dtype=np.int64)
+    ids[place_a], ids[place_b] = a, b
+    after = np.full(len(ids), ord(","), dtype=np.uint8)
+    after[place_a[a_cuts - 1]] = ord("|")
+    after[place_b[b_cuts - 1]] = ord(";")
+    rows, stops = digits[ids], lengths[ids]
+    rows[np.arange(len(ids)), stops] = after
+    return rows[np.arange(rows.shape[1]) <= stops[:, None]].tobytes()[:-1]
+
+
+class Part(NamedTuple):
+    """An aligned chunk: counts, groups as text, and its links' id pairs (A's id in the upper 32
+    bits) as 64-bit numbers."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    groups: str
+    pairs: bytes
+
+
+class Aligner:
+    """Aligned texts under one pair of tokenizers; ``UNSPELLED`` stands for a chunk whose bytes one
+    of them does not give back."""
+
+    UNSPELLED = Part(0, 0, 0, "", b"")
+
+    def __init__(self, a: str, b: str):
+        self.first, self.second = ByteLevelSide(a), PieceSide(b)
+        self.lengths = [np.array(list(map(len, side.bytes)), dtype=np.int64) for side in (self.first, self.second)]
+        self.size = max(map(len, self.lengths))
+        self.memo = ChunkMemo(self.parts, lambda part: 150 + len(part.groups) + len(part.pairs))
+
+    def chunks(self, text: str) -> list[str]:
+        """A space and the text, cut before each single space between two other characters."""
+        if not self.second.splits:
+            return [" " + text]
+        if UNEVEN.search(text) or text[:1].isspace():
+            return CHUNK_START.split(" " + text)
+        return [" " + part for part in text.split(" ")]
+
+    def parts(self, chunks: list[str]) -> list[Part]:
+        """Each chunk aligned; chunks are worked on in runs, as one text whose tokens end with them."""
+        out = [self.UNSPELLED] * len(chunks)
+        sides = [(side, side.encode(chunks)) for side in (self.first, self.second)]
+        spelled = [i for i, chunk in enumerate(chunks)
+                   if all(b"".join(map(side.bytes.__getitem__, ids[i])) == chunk.encode() for side, ids in sides)]
+        for at in range(0, len(spelled), RUN):
+            run = spelled[at:at + RUN]
+            a, b = (np.fromiter(itertools.chain.from_iterable(ids[i] for i in run), np.int64) for _, ids in sides)
+            a_cuts, b_cuts, links, group = align(a, b, *self.lengths)
+            texts = group_text(a, b, a_cuts, b_cuts, self.size).decode().split(";")
+            # the group that ends with a chunk is the one in which its last token of A is
+            counts = [[len(ids[i]) for i in run] for _, ids in sides]
+            last = np.searchsorted(a_cuts, np.cumsum(counts[0])) + 1
+            pairs = np.searchsorted(group, last) * 8
+            data = links.tobytes()
+            bounds = zip(run, *counts, [0, *last[:-1].tolist()], last.tolist(), [0, *pairs[:-1].tolist()], pairs.tolist())
+            for i, n_a, n_b, g, g_end, p, p_end in bounds:
+                out[i] = Part(n_a, n_b, g_end - g, ";".join(texts[g:g_end]), data[p:p_end])
+        return out
+
+    def align(self, texts: list[str]) -> Iterator[list[Part]]:
+        """The parts of each text, none where it is empty or not spelled."""
+        for parts in self.memo.look_up([self.chunks(t) if t else [] for t in texts]):
+            yield [] if self.UNSPELLED in parts else parts
 
 
-def align(a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Group ends, as numbers of tokens of either side up to there, and the linked pairs of ids."""
-    a_ends, b_ends = ends(a, a_lengths), ends(b, b_lengths)
-    cuts, links = [], []
-    i = j = 0
-    for end in sorted(a_ends.keys() & b_ends.keys()):
-        i_end, j_end = a_ends[end], b_ends[end]
-        if i_end - i == 1:
-            links += zip(itertools.repeat(a[i]), b[j:j_end])
-        elif j_end - j == 1:
-            links += zip(a[i:i_end], itertools.repeat(b[j]))
-        else:  # side by side, going on with the token that ends first; none end together inside
-            p, q = i, j
-            p_end, q_end = a_lengths[a[p]], b_lengths[b[q]]
-            while True:
-                links.append((a[p], b[q]))
-                if p_end < q_end:
-                    p += 1
-                    p_end += a_lengths[a[p]]
-                elif q_end < p_end:
-                    q += 1
-                    q_end += b_lengths[b[q]]
-                else:
-                    break
-        cuts.append((i_end, j_end))
-        i, j = i_end, j_end
-    return cuts, links
-
-
-def group_text(a: list[int], b: list[int], cuts: list[tuple[int, int]]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group's two sides."""
-    a_text, b_text = list(map(str, a)), list(map(str, b))
-    out, i, j = [], 0, 0
-    for i_end, j_end in cuts:
-        out.append(",".join(a_text[i:i_end]) + "|" + ",".join(b_text[j:j_end]))
-        i, j = i_end, j_end
-    return ";".join(out)
+@lru_cache(maxsize=2)
+def aligner(a: str, b: str) -> Aligner:
+    """One aligner per worker process and pair of tokenizers."""
+    return Aligner(a, b)
 
 
 def aligned(docs: DataFrame, a: str, b: str, keep_groups: bool = False) -> DataFrame:
@@ -129,24 +233,19 @@ def aligned(docs: DataFrame, a: str, b: str, keep_groups: bool = False) -> DataF
     linked id pairs (A's id in the upper 32 bits) with how often they are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = sides(a, b)
-        a_lengths, b_lengths = list(map(len, first.bytes)), list(map(len, second.bytes))
-        none = np.zeros(0, dtype=np.int64)
+        own = aligner(a, b)
         for batch in byte_slices(batches, 1, SLICE):
-            raw = batch.column(1).to_pylist()
-            texts = [(t or b"").decode("utf-8", "replace") for t in raw]
+            raw = [t or b"" for t in batch.column(1).to_pylist()]
+            texts = [t.decode("utf-8", "replace") for t in raw]
             rows = []
-            for data, x, y in zip(raw, first.encode(texts), second.encode(texts)):
-                whole = b" " + data if data else b""
-                if not whole or any(b"".join(map(side.bytes.__getitem__, ids)) != whole for side, ids in ((first, x), (second, y))):
-                    rows.append((0, 0, 0, 0, "" if keep_groups else None, "", none, none))
-                    continue
-                cuts, links = align(x, y, a_lengths, b_lengths)
-                groups = group_text(x, y, cuts)
-                keys = np.array(links, dtype=np.int64)
-                pairs, times = np.unique((keys[:, 0] << 32) | keys[:, 1], return_counts=True)
-                rows.append((len(x), len(y), len(cuts), len(links), groups if keep_groups else None,
-                             hashlib.sha256(groups.encode()).hexdigest(), pairs, times))
+            for data, text, parts in zip(raw, texts, own.align(texts)):
+                if text.encode() != data:  # no UTF-8
+                    parts = []
+                groups = ";".join([p.groups for p in parts])
+                links = np.frombuffer(b"".join([p.pairs for p in parts]), "<i8")
+                pairs, times = np.unique(links, return_counts=True)
+                rows.append((sum([p.n_a for p in parts]), sum([p.n_b for p in parts]), sum([p.n_groups for p in parts]), len(links),
+                             groups if keep_groups else None, hashlib.sha256(groups.encode()).hexdigest() if parts else "", pairs, times))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
             yield pa.record_batch([batch.column(0), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
                                   names=[c.split()[0] for c in ALIGNED.split(", ")])

@@ -6,8 +6,9 @@ ends with, and the pairs are ordered by the entry's rank.  A merge of a text can
 these: while both parts stand side by side, nothing outside has reached into the entry's bytes, so
 they were merged as in the entry alone.
 
-No match of the splitting pattern runs across a single space between two other characters, so a
-text's ids are those of its chunks that begin at such spaces.  Chunks repeat a great deal; each
+A match of the splitting pattern may begin with a single space between two other characters but
+does not run across it, and a single line break there is a match of its own.  So a text's ids are
+those of its chunks between such places.  Chunks repeat a great deal; each
 worker remembers them up to ``MEMO_BYTES``, and the library gets all new ones of a slice in one call.
 
 Token ends in bytes come from the entries' lengths; the byte-to-character mapping turns them into
@@ -25,10 +26,9 @@ repeated rows are kept; an id that the vocabulary lacks decodes to the replaceme
 from __future__ import annotations
 
 import base64
-import itertools
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -44,43 +44,94 @@ MEMO_BYTES = 64_000_000
 SLICE = 4_000_000
 #: What a dictionary entry takes besides the chunk and its ids.
 ENTRY = 200
+#: New chunks that the library gets as one text.
+RUN = 500
 UNKNOWN = "�".encode()
 
-#: Where chunks begin, for texts in which a space stands beside other white space.
-CHUNK_START = re.compile(r"(?<=\S)(?= \S)")
-UNEVEN = re.compile(r" \s|\s ")
+#: Where chunks begin, for texts in which white space stands beside white space or at an end.
+CHUNK_START = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
+UNEVEN = re.compile(r"\s\s|^[^\S ]|\s\Z")
 
 
 def chunks(text: str) -> list[str]:
-    """The text cut before each single space that stands between two other characters."""
-    if UNEVEN.search(text) or text[:1] == " " or text[-1:] == " ":
+    """The text cut before each single space and around each single line break that stand between
+    two other characters."""
+    if UNEVEN.search(text):
         return CHUNK_START.split(text)
-    first, *rest = text.split(" ")
-    return [first, *(" " + part for part in rest)]
+    out = []
+    for line in text.split("\n"):
+        first, *rest = line.split(" ")
+        out += ["\n", first] if first else ["\n"]
+        out += [" " + part for part in rest]
+    return out[1:]
 
 
-class ChunkEncoder:
-    """Little-endian 32-bit ids of texts under a tokenizer of the library, chunk by chunk."""
+class ChunkMemo:
+    """What ``compute`` makes of chunks, remembered up to ``MEMO_BYTES``.
+
+    The memo has two generations: when the younger one is full it becomes the older one, which
+    chunks that occur again leave for the new younger one."""
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        self.memo: dict[str, bytes] = {}
+    def __init__(self, compute: Callable[[list[str]], list], size: Callable[[object], int]):
+        self.compute, self.size = compute, size
+        self.memo: dict[str, object] = {}
+        self.older: dict[str, object] = {}
         self.held = 0
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [chunks(t) for t in texts]
-        memo = self.memo
-        new = list(dict.fromkeys(c for c in itertools.chain.from_iterable(parts) if c not in memo))
-        for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            memo[chunk] = ids = np.array(found.ids, dtype="<u4").tobytes()
-            self.held += ENTRY + len(ids) + 4 * len(chunk)
-        out = [b"".join(map(memo.__getitem__, p)) for p in parts]
-        if self.held > MEMO_BYTES:
-            memo.clear()
-            self.held = 0
+    def look_up(self, parts: list[list[str]]) -> list[list]:
+        """The values of each list of chunks."""
+        found = [list(map(self.memo.get, p)) for p in parts]
+        lacking = [i for i, values in enumerate(found) if None in values]
+        if lacking:
+            self.learn(dict.fromkeys(c for i in lacking for c, value in zip(parts[i], found[i]) if value is None))
+            for i in lacking:
+                found[i] = list(map(self.memo.__getitem__, parts[i]))
+            if self.held > MEMO_BYTES // 2:
+                self.memo, self.older, self.held = {}, self.memo if self.held <= MEMO_BYTES else {}, 0
+        return found
+
+    def learn(self, new: dict[str, None]) -> None:
+        known = {c: self.older.pop(c) for c in new if c in self.older}
+        unknown = [c for c in new if c not in known]
+        known.update(zip(unknown, self.compute(unknown)))
+        self.memo.update(known)
+        self.held += sum(ENTRY + 4 * len(c) + self.size(value) for c, value in known.items())
+
+
+class RunEncoder:
+    """Little-endian 32-bit ids of chunks under a byte-level tokenizer of the library, whose entries
+    have ``lengths`` bytes."""
+
+    def __init__(self, tokenizer, lengths: np.ndarray):
+        self.tokenizer, self.lengths = tokenizer, lengths
+
+    def ids_of(self, unknown: list[str]) -> list[bytes]:
+        # chunks that begin with the space they were cut at may follow each other in one text
+        fits = [len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace() for c in unknown]
+        joint = [i for i, fit in enumerate(fits) if fit]
+        runs = [joint[i:i + RUN] for i in range(0, len(joint), RUN)] + [[i] for i, fit in enumerate(fits) if not fit]
+        out: list[bytes] = [b""] * len(unknown)
+        texts = ["".join([unknown[i] for i in run]) for run in runs]
+        for run, encoding in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(encoding.ids, dtype="<u4")
+            ends = np.cumsum([len(unknown[i].encode()) for i in run])
+            at = (np.concatenate([[0], np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1]) * 4).tolist()
+            data = ids.tobytes()
+            for i, start, end in zip(run, at, at[1:]):
+                out[i] = data[start:end]
         return out
 
 
+class ChunkEncoder:
+    """Ids of whole texts, chunk by chunk."""
+
+    def __init__(self, tokenizer, lengths: np.ndarray):
+        self.chunks = ChunkMemo(RunEncoder(tokenizer, lengths).ids_of, len)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [b"".join(ids) for ids in self.chunks.look_up([chunks(t) for t in texts])]
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Byte string to rank, from a file of base64 strings and ranks."""
     with open(path, "rb") as f:
@@ -112,7 +163,7 @@ class ByteCodec:
         self.lengths = np.array([len(b) for b in self.table], dtype=np.int64)
 
     @cached_property  # decoding alone needs no tokenizer
-    def encoder(self) -> ChunkEncoder:
+    def tokenizer(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core already
         from tokenizers import Regex, Tokenizer, models, pre_tokenizers
         symbols = byte_symbols()
@@ -125,7 +176,11 @@ class ByteCodec:
         tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(Regex(self.pattern), "isolated"),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        return ChunkEncoder(tokenizer)
+        return tokenizer
+
+    @cached_property
+    def encoder(self) -> ChunkEncoder:
+        return ChunkEncoder(self.tokenizer, self.lengths)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -89,10 +90,26 @@ def test_zeros_for_texts_that_are_not_spelled(spark, make_docs):
 
 
 def test_kept_groups_and_links_in_slices():
-    cuts, links = alignment.align([1, 2, 3, 4], [5, 6, 7], [0, 2, 2, 1, 3], [0] * 5 + [3, 1, 4])
-    assert cuts == [(2, 2), (4, 3)] and links == [(1, 5), (2, 5), (2, 6), (3, 7), (4, 7)]
-    assert alignment.group_text([1, 2, 3, 4], [5, 6, 7], cuts) == "1,2|5,6;3,4|7"
-    assert alignment.align([], [], [], []) == ([], [])
+    a, b = np.array([1, 2, 3, 4]), np.array([5, 6, 7])
+    a_cuts, b_cuts, links, group = alignment.align(a, b, np.array([0, 2, 2, 1, 3]), np.array([0] * 5 + [3, 1, 4]))
+    assert list(zip(a_cuts, b_cuts)) == [(2, 2), (4, 3)] and group.tolist() == [0, 0, 0, 1, 1]
+    assert sorted((int(k) >> 32, int(k) & 0xFFFFFFFF) for k in links) == [(1, 5), (2, 5), (2, 6), (3, 7), (4, 7)]
+    assert alignment.group_text(a, b, a_cuts, b_cuts, 100) == b"1,2|5,6;3,4|7"
+    none, one = np.zeros(0, dtype=np.int64), np.array([1])
+    empty = alignment.align(none, none, none, none)
+    assert not any(map(len, empty)) and alignment.group_text(none, none, *empty[:2], 100) == b""
+    assert alignment.group_text(np.array([50000]), np.array([9]), one, one, 60000) == b"50000|9"
+
+
+def test_chunks_give_the_tokens_of_whole_texts():
+    """Both sides: cut texts against whole ones."""
+    own = alignment.Aligner(*PATHS)
+    assert own.second.splits
+    for text in odd_texts(3000, seed=11) + ["a b", " a", "a ", "a  b", "a \nb", "a\n b c", "\ta b"]:
+        chunks = own.chunks(text)
+        assert "".join(chunks) == " " + text
+        assert sum(own.first.encode(chunks), []) == own.first.encode([" " + text])[0], text
+        assert sum(own.second.encode(chunks), []) == own.second.encode([" " + text])[0], text
 
 
 def test_groups_as_text(make_docs):

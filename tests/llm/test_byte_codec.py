@@ -52,12 +52,15 @@ def test_merges_of_small_vocabularies(tmp_path):
 
 def test_chunks_cover_the_text():
     for text in odd_texts(3000, seed=8):
-        assert "".join(byte_codec.chunks(text)) == text
+        for whole in (text, " " + text):
+            assert "".join(byte_codec.chunks(whole)) == whole
+    assert byte_codec.chunks(" a b\nc  d") == [" a", " b", "\n", "c  d"]
+    assert byte_codec.chunks(" a b\nc\n d e") == [" a", " b", "\n", "c\n d", " e"]
 
 
 def test_offsets_equal_the_librarys():
     codec = byte_codec.ByteCodec(PATH, PATTERN)
-    tokenizer = codec.encoder.tokenizer
+    tokenizer = codec.tokenizer
     for text in odd_texts(3000, seed=5):
         ids = codec.encode([text])[0]
         starts, ends = codec.offsets(ids, text.encode())
@@ -67,10 +70,11 @@ def test_offsets_equal_the_librarys():
 def test_memo_is_bounded_in_bytes(monkeypatch):
     monkeypatch.setattr(byte_codec, "MEMO_BYTES", 20_000)
     own, want = byte_codec.ByteCodec(PATH, PATTERN), library()
-    for k in range(30):
+    for k in range(40):
         text = " ".join(f"w{k}x{i}" for i in range(60)) + " 中" * 300 + "长" * 1000
         assert ids_of(own.encode([text])[0]) == want.encode_ordinary(text)
-        assert own.encoder.held <= 20_000
+        memo = own.encoder.chunks
+        assert memo.held <= 10_000 and sum(len(i) + 4 * len(c) + 200 for c, i in memo.older.items()) <= 20_000
 
 
 def test_documents(spark, make_docs, edge_rows, monkeypatch):
