@@ -29,14 +29,13 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelbeam.llm.byte_codec import RUN, ChunkMemo, RunEncoder
+from parcelbeam.llm.byte_codec import ChunkMemo, RunEncoder, chunk_ends
 from parcelbeam.llm.common import byte_slices, drop_written, map_batches, written
 from parcelbeam.llm.token_counts import byte_symbols
 
@@ -67,11 +66,8 @@ class ByteLevelSide:
         for entry, i in tokenizer.get_vocab().items():
             # entries beside the byte-level ones (special tokens) stand for their own text
             self.bytes[i] = bytes(map(value.__getitem__, entry)) if all(c in value for c in entry) else entry.encode()
-        self.encoder = RunEncoder(tokenizer, np.array(list(map(len, self.bytes)), dtype=np.int64))
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of chunks, each with its space."""
-        return [np.frombuffer(ids, "<u4").tolist() for ids in self.encoder.ids_of(texts)]
+        self.lengths = np.array(list(map(len, self.bytes)), dtype=np.int64)
+        self.encoder = RunEncoder(tokenizer, self.lengths)
 
 
 class PieceSide:
@@ -83,6 +79,7 @@ class PieceSide:
         pieces = list(map(self.model.id_to_piece, range(self.model.get_piece_size())))
         self.bytes = [bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(LINE_MARK, " ").encode()
                       for i, piece in enumerate(pieces)]
+        self.lengths = np.array(list(map(len, self.bytes)), dtype=np.int64)
         #: no piece goes on with a space after another character
         self.splits = not any(LINE_MARK in piece.lstrip(LINE_MARK) for piece in pieces)
 
@@ -164,28 +161,26 @@ def group_text(a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndar
     return rows[np.arange(rows.shape[1]) <= stops[:, None]].tobytes()[:-1]
 
 
-class Part(NamedTuple):
-    """An aligned chunk: counts, groups as text, and its links' id pairs (A's id in the upper 32
-    bits) as 64-bit numbers."""
+def spelled(side: ByteLevelSide | PieceSide, ids: np.ndarray) -> bytes:
+    """The bytes that a side's ids stand for."""
+    return b"".join(map(side.bytes.__getitem__, ids.tolist()))
 
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    pairs: bytes
+
+#: An aligned chunk: tokens of A and of B, groups, the groups as text, and its links' id pairs (A's
+#: id in the upper 32 bits) as 64-bit numbers.
+Part = tuple[int, int, int, str, bytes]
 
 
 class Aligner:
     """Aligned texts under one pair of tokenizers; ``UNSPELLED`` stands for a chunk whose bytes one
     of them does not give back."""
 
-    UNSPELLED = Part(0, 0, 0, "", b"")
+    UNSPELLED: Part = (0, 0, 0, "", b"")
 
     def __init__(self, a: str, b: str):
         self.first, self.second = ByteLevelSide(a), PieceSide(b)
-        self.lengths = [np.array(list(map(len, side.bytes)), dtype=np.int64) for side in (self.first, self.second)]
-        self.size = max(map(len, self.lengths))
-        self.memo = ChunkMemo(self.parts, lambda part: 150 + len(part.groups) + len(part.pairs))
+        self.size = max(len(self.first.bytes), len(self.second.bytes))
+        self.memo = ChunkMemo(self.parts, lambda part: 100 + len(part[3]) + len(part[4]))
 
     def chunks(self, text: str) -> list[str]:
         """A space and the text, cut before each single space between two other characters."""
@@ -198,24 +193,38 @@ class Aligner:
     def parts(self, chunks: list[str]) -> list[Part]:
         """Each chunk aligned; chunks are worked on in runs, as one text whose tokens end with them."""
         out = [self.UNSPELLED] * len(chunks)
-        sides = [(side, side.encode(chunks)) for side in (self.first, self.second)]
-        spelled = [i for i, chunk in enumerate(chunks)
-                   if all(b"".join(map(side.bytes.__getitem__, ids[i])) == chunk.encode() for side, ids in sides)]
-        for at in range(0, len(spelled), RUN):
-            run = spelled[at:at + RUN]
-            a, b = (np.fromiter(itertools.chain.from_iterable(ids[i] for i in run), np.int64) for _, ids in sides)
-            a_cuts, b_cuts, links, group = align(a, b, *self.lengths)
-            texts = group_text(a, b, a_cuts, b_cuts, self.size).decode().split(";")
-            # the group that ends with a chunk is the one in which its last token of A is
-            counts = [[len(ids[i]) for i in run] for _, ids in sides]
-            last = np.searchsorted(a_cuts, np.cumsum(counts[0])) + 1
-            pairs = np.searchsorted(group, last) * 8
-            data = links.tobytes()
-            bounds = zip(run, *counts, [0, *last[:-1].tolist()], last.tolist(), [0, *pairs[:-1].tolist()], pairs.tolist())
-            for i, n_a, n_b, g, g_end, p, p_end in bounds:
-                out[i] = Part(n_a, n_b, g_end - g, ";".join(texts[g:g_end]), data[p:p_end])
+        pieces = self.second.encode(chunks)
+        for run, a, a_stops in self.first.encoder.encode(chunks):
+            own = [chunks[i] for i in run]
+            b = np.fromiter(itertools.chain.from_iterable([pieces[i] for i in run]), np.int64)
+            b_stops = np.cumsum([len(pieces[i]) for i in run])
+            if self.spells(own, a, a_stops, b, b_stops):
+                for i, part in zip(run, self.run_parts(a.astype(np.int64), a_stops, b, b_stops)):
+                    out[i] = part
+            elif len(run) > 1:  # at least one of them is not spelled: each by itself
+                for i in run:
+                    out[i] = self.parts([chunks[i]])[0]
         return out
 
+    def spells(self, chunks: list[str], a: np.ndarray, a_stops: np.ndarray, b: np.ndarray, b_stops: np.ndarray) -> bool:
+        """Whether both sides give back the bytes of every chunk."""
+        data, stops = "".join(chunks).encode(), chunk_ends(chunks)
+        for side, ids, last in ((self.first, a, a_stops), (self.second, b, b_stops)):
+            reached = np.concatenate([[0], np.cumsum(side.lengths[ids])])
+            if last[-1] != len(ids) or (reached[last] != stops).any() or spelled(side, ids) != data:
+                return False
+        return True
+
+    def run_parts(self, a: np.ndarray, a_stops: np.ndarray, b: np.ndarray, b_stops: np.ndarray) -> Iterator[Part]:
+        a_cuts, b_cuts, links, group = align(a, b, self.first.lengths, self.second.lengths)
+        texts = group_text(a, b, a_cuts, b_cuts, self.size).decode().split(";")
+        last = np.searchsorted(a_cuts, a_stops) + 1  # groups up to each chunk's end
+        data, pairs = links.tobytes(), [0, *(np.searchsorted(group, last) * 8).tolist()]
+        groups = [0, *last.tolist()]
+        for n_a, n_b, g, g_end, p, p_end in zip(np.diff(a_stops, prepend=0).tolist(), np.diff(b_stops, prepend=0).tolist(),
+                                                groups, groups[1:], pairs, pairs[1:]):
+            yield n_a, n_b, g_end - g, ";".join(texts[g:g_end]), data[p:p_end]
+
     def align(self, texts: list[str]) -> Iterator[list[Part]]:
         """The parts of each text, none where it is empty or not spelled."""
         for parts in self.memo.look_up([self.chunks(t) if t else [] for t in texts]):
@@ -241,11 +250,11 @@ def aligned(docs: DataFrame, a: str, b: str, keep_groups: bool = False) -> DataF
             for data, text, parts in zip(raw, texts, own.align(texts)):
                 if text.encode() != data:  # no UTF-8
                     parts = []
-                groups = ";".join([p.groups for p in parts])
-                links = np.frombuffer(b"".join([p.pairs for p in parts]), "<i8")
+                n_a, n_b, n_groups, groups, links = zip(*parts) if parts else ((), (), (), (), ())
+                groups, links = ";".join(groups), np.frombuffer(b"".join(links), np.int64)
                 pairs, times = np.unique(links, return_counts=True)
-                rows.append((sum([p.n_a for p in parts]), sum([p.n_b for p in parts]), sum([p.n_groups for p in parts]), len(links),
-                             groups if keep_groups else None, hashlib.sha256(groups.encode()).hexdigest() if parts else "", pairs, times))
+                rows.append((sum(n_a), sum(n_b), sum(n_groups), len(links), groups if keep_groups else None,
+                             hashlib.sha256(groups.encode()).hexdigest() if parts else "", pairs, times))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
             yield pa.record_batch([batch.column(0), *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds))],
                                   names=[c.split()[0] for c in ALIGNED.split(", ")])

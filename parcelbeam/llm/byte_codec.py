@@ -40,7 +40,7 @@ from parcelbeam.llm.common import byte_slices, map_batches
 from parcelbeam.llm.token_counts import byte_symbols
 
 #: Bytes of chunks and ids that a worker remembers, and of text that it encodes at a time.
-MEMO_BYTES = 64_000_000
+MEMO_BYTES = 128_000_000
 SLICE = 4_000_000
 #: What a dictionary entry takes besides the chunk and its ids.
 ENTRY = 200
@@ -92,36 +92,47 @@ class ChunkMemo:
 
     def learn(self, new: dict[str, None]) -> None:
         known = {c: self.older.pop(c) for c in new if c in self.older}
-        unknown = [c for c in new if c not in known]
+        unknown = [c for c in new if c not in known] if known else list(new)
         known.update(zip(unknown, self.compute(unknown)))
         self.memo.update(known)
-        self.held += sum(ENTRY + 4 * len(c) + self.size(value) for c, value in known.items())
+        self.held += ENTRY * len(known) + 4 * sum(map(len, known)) + sum(map(self.size, known.values()))
 
 
 class RunEncoder:
-    """Little-endian 32-bit ids of chunks under a byte-level tokenizer of the library, whose entries
-    have ``lengths`` bytes."""
+    """Ids of chunks under a byte-level tokenizer of the library, whose entries have ``lengths``
+    bytes."""
 
     def __init__(self, tokenizer, lengths: np.ndarray):
         self.tokenizer, self.lengths = tokenizer, lengths
 
-    def ids_of(self, unknown: list[str]) -> list[bytes]:
+    def encode(self, chunks: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Runs of chunks: their places, their ids one after the other, and how many ids end with
+        each of them."""
         # chunks that begin with the space they were cut at may follow each other in one text
-        fits = [len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace() for c in unknown]
+        fits = [len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace() for c in chunks]
         joint = [i for i, fit in enumerate(fits) if fit]
         runs = [joint[i:i + RUN] for i in range(0, len(joint), RUN)] + [[i] for i, fit in enumerate(fits) if not fit]
-        out: list[bytes] = [b""] * len(unknown)
-        texts = ["".join([unknown[i] for i in run]) for run in runs]
+        texts = ["".join([chunks[i] for i in run]) for run in runs]
         for run, encoding in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(encoding.ids, dtype="<u4")
-            ends = np.cumsum([len(unknown[i].encode()) for i in run])
-            at = (np.concatenate([[0], np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1]) * 4).tolist()
-            data = ids.tobytes()
+            ids = np.array(encoding.ids, dtype=np.uint32)
+            stops = np.searchsorted(np.cumsum(self.lengths[ids]), chunk_ends([chunks[i] for i in run])) + 1
+            yield run, ids, stops
+
+    def ids_of(self, chunks: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each chunk."""
+        out: list[bytes] = [b""] * len(chunks)
+        for run, ids, stops in self.encode(chunks):
+            data, at = ids.astype("<u4").tobytes(), [0, *(stops * 4).tolist()]
             for i, start, end in zip(run, at, at[1:]):
                 out[i] = data[start:end]
         return out
 
 
+def chunk_ends(chunks: list[str]) -> np.ndarray:
+    """Where each chunk ends in bytes, when they stand one after the other."""
+    return np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in chunks])
+
+
 class ChunkEncoder:
     """Ids of whole texts, chunk by chunk."""
 
