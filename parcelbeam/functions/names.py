@@ -49,3 +49,19 @@ def relocate(df: DataFrame, first: Iterable[str] = (), after: dict[str, list[str
         order.append(c)
         order.extend(after.get(c, []))
     return df.select(*[F.col(f"`{c}`") for c in order])
+
+
+def dedupe_headers(columns: Sequence[str]) -> list[str]:
+    """Make repeated header text unique by position, without regard to case: a, a -> a, a_2.
+    A name that another column has already is passed over: a, a, a_2 -> a, a_3, a_2."""
+    own = {c.lower() for c in columns}
+    taken: set[str] = set()
+    out = []
+    for c in columns:
+        name, n = c, 1
+        while name.lower() in taken or (n > 1 and name.lower() in own):
+            n += 1
+            name = f"{c}_{n}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -45,7 +45,7 @@ def number_text(c: Column | str) -> Column:
     or an exponent: -87.62345678912 -> '-87.62345678912', 41.0 -> '41'; NULL
     prints 'NA'.
     """
-    txt = _col(c).cast("string").cast(T.DecimalType(38, 18)).cast("string")
+    txt = _col(c).cast("string").try_cast(T.DecimalType(38, 18)).cast("string")
     txt = F.regexp_replace(txt, "\\.?0+$", "")
     return F.coalesce(txt, F.lit("NA"))
 

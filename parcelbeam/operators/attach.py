@@ -13,52 +13,66 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.keys import pin10
+from parcelbeam.session import ensure_checkpoint_dir
 
 MAX_BROADCAST_ROWS_CONF = "parcelbeam.broadcast.maxRows"
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Most rows of a derived table that is broadcast (``parcelbeam.broadcast.maxRows``)."""
+    conf = spark.conf.get(MAX_BROADCAST_ROWS_CONF, None)
+    return int(conf) if conf is not None else DEFAULT_MAX_BROADCAST_ROWS
+
+
+def sized(small: DataFrame, rows: int, max_rows: int | None = None) -> DataFrame:
+    """``small``, of at most ``rows`` rows by count, marked for broadcast up to ``max_rows``
+    (``broadcast_limit`` by default); beyond that joins with it are shuffle joins, with AQE's
+    skew splitting."""
+    limit = broadcast_limit(small.sparkSession) if max_rows is None else max_rows
+    return F.broadcast(small) if rows <= limit else small
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL keys meet NULL keys, as they do in a grouping."""
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in on})
+    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_right_{k}`")) for k in on], F.lit(True))
+    return left.join(right, same, how).drop(*[f"_right_{k}" for k in on])
+
+
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
                max_rows: int | None = None, null_safe: bool = False) -> DataFrame:
-    """Join a derived table that is usually small (medians per group, rank
-    offsets) onto ``big``.  It is broadcast only after it has been counted --
-    the count is the proof of its size -- and only up to ``max_rows``
-    (``parcelbeam.broadcast.maxRows``, default 1,000,000); beyond that the
-    join is a shuffle join, with AQE's skew splitting.  ``small`` is
-    persisted first so the count and the join read one materialisation.  With
-    ``null_safe`` NULL keys meet NULL keys, as they do in a grouping."""
-    if max_rows is None:
-        conf = big.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, None)
-        max_rows = int(conf) if conf is not None else DEFAULT_MAX_BROADCAST_ROWS
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    side = F.broadcast(small) if small.count() <= max_rows else small
+    """Join a derived table that is usually small (model runs, rank offsets) onto
+    ``big``.  It is broadcast only after it has been counted -- the count is
+    the proof of its size (see ``sized``).  ``small`` is written to the
+    checkpoint folder first, so the count and the join read one
+    materialisation that outlives its executors."""
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint()
+    side = sized(small, small.count(), max_rows)
     if not null_safe:
         return big.join(side, on=on, how=how)
-    keys = [on] if isinstance(on, str) else list(on)
-    side = side.withColumnsRenamed({k: f"_small_{k}" for k in keys})
-    same = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_small_{k}`")) for k in keys])
-    return big.join(side, same, how).drop(*[f"_small_{k}" for k in keys])
+    return join_null_safe(big, side, [on] if isinstance(on, str) else on, how)
 
 
-def newest_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[Column],
-                   rank_col: str | None = None) -> DataFrame:
-    """Top row per key: ``row_number() OVER (PARTITION BY key ORDER BY ...) = 1``.
+def newest_per_key(df: DataFrame, key: Sequence[str] | str, by: Sequence[str] | str) -> DataFrame:
+    """The row of each key that is highest by ``by``, and by all other columns
+    (in name order) where rows tie (W1, O3, A13).
 
-    ``order`` should end in a tie-breaker.  Spark plans this as a window group
-    limit, so each map task keeps only its best row per key before the shuffle;
-    a key with many rows is cut down map-side.
-    """
+    The maximum of a struct: a mergeable aggregate, so each map task sends one row
+    per key whatever the key's size, and the pick depends on the rows alone, not
+    on their order.  NULLs are lowest.  Columns without an order (maps) may not
+    occur."""
     keys = [key] if isinstance(key, str) else list(key)
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    ranked = df.withColumn("_top_rn", rn).filter(F.col("_top_rn") == 1)
-    if rank_col:
-        return ranked.withColumnRenamed("_top_rn", rank_col)
-    return ranked.drop("_top_rn")
+    by = [by] if isinstance(by, str) else list(by)
+    rest = sorted(c for c in df.columns if c not in keys and c not in by)
+    whole = F.max(F.struct(*[F.col(f"`{c}`") for c in [*by, *rest]])).alias("_newest")
+    found = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(whole)
+    return found.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_newest.`{c}`") for c in df.columns])
 
 
 def nan_to_null(c: Column) -> Column:
@@ -91,9 +105,9 @@ def final_model_values(models: DataFrame, assessments: DataFrame, year: str, mod
 
 def most_recent_parcels(universe: DataFrame, years: Sequence[str]) -> DataFrame:
     """One row per parcel: the newest of the listed years."""
-    scoped = universe.filter(F.col("year").isin(list(years)))
-    newest = newest_per_key(scoped, "pin", [F.col("year").desc()])
-    return newest.select("pin", "year", "township_name", F.col("nbhd_code").alias("neighborhood_number"))
+    scoped = universe.filter(F.col("year").isin(list(years))).select(
+        "pin", "year", "township_name", F.col("nbhd_code").alias("neighborhood_number"))
+    return newest_per_key(scoped, "pin", "year")
 
 
 def left_join_where(left: DataFrame, right: DataFrame, on: Sequence[str] | str,

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.keys import clean_pin
-from parcelbeam.functions.names import dots_to_blanks
+from parcelbeam.functions.names import dedupe_headers, dots_to_blanks
+from parcelbeam.operators.bitmap_filter import keep_possibly_wanted
 
 # The request sheet's key column and the large-change factor.
 REQUEST_KEY = "Permanent Index Number"
@@ -47,17 +48,19 @@ def value_change(requests: DataFrame, history: DataFrame, mail_year: int,
     """Every request row (all of its columns) with the values attached; requests
     without a history row keep NULLs.  Dots in output names become blanks.
 
-    The history is first cut to the requested parcels by a left-semi join, so
-    only requested parcels reach the shuffle of the main left join; when the
-    request list is small the planner broadcasts it there.
+    The history is first cut to the requested parcels: by a broadcast of a short
+    request list, else by a bitmap of its keys where history rows are read, so
+    few others reach the shuffle of the main left join (``keep_possibly_wanted``).
     """
     req = requests.withColumn("_request_pin", clean_pin(F.col(f"`{key_col}`")))
-    wanted = req.select(F.col("_request_pin").alias("pin")).filter(F.col("pin").isNotNull())
-    vals = change_columns(history.join(wanted, "pin", "left_semi"), mail_year, factor)
+    wanted = req.select(F.col("_request_pin").alias("pin"))
+    vals = change_columns(keep_possibly_wanted(history, wanted, "pin"), mail_year, factor)
     vals = vals.withColumnRenamed("pin", "_request_pin")
-    # a name on both sides gets a suffix on each, as in a joined data frame
-    clash = set(requests.columns) & set(vals.columns)
-    req = req.withColumnsRenamed({c: f"{c}.x" for c in clash})
-    vals = vals.withColumnsRenamed({c: f"{c}.y" for c in clash})
+    # a name on both sides, in any case, gets a suffix on each, as in a joined data frame
+    clash = {c.lower() for c in requests.columns} & {c.lower() for c in vals.columns}
+    req = req.withColumnsRenamed({c: f"{c}.x" for c in req.columns if c.lower() in clash})
+    vals = vals.withColumnsRenamed({c: f"{c}.y" for c in vals.columns if c.lower() in clash})
     out = req.join(vals, on="_request_pin", how="left").drop("_request_pin")
-    return out.select(*[F.col(f"`{c}`").alias(dots_to_blanks(c)) for c in out.columns])
+    # blanks for dots may make two names one: the later one is numbered
+    names = dedupe_headers([dots_to_blanks(c) for c in out.columns])
+    return out.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(out.columns, names)])

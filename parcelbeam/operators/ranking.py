@@ -2,41 +2,34 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a
 group to a single task.  When one township holds a third of all parcels
-that task holds a third of the data.  ``group_row_number`` gets the same
-numbers from a global range-partitioned sort instead:
+that task holds a third of the data.  ``ranked_layout`` gets the same
+numbers from one table, written once and read by every output:
 
 1. ``repartitionByRange(g, o)`` + ``sortWithinPartitions(g, o)``: every
    partition holds one contiguous slice of the total order, and a hot
    group is spread over as many partitions as its size needs (the sort key
-   ends in a unique tie-breaker, so the range bounds can cut inside it).
-2. ``monotonically_increasing_id`` numbers rows inside each partition
-   (documented layout: partition id in the upper 31 bits, position in the
-   lower 33).
+   ends in a unique tie-breaker, so the range bounds can cut inside it;
+   buckets by group could not).
+2. Each row gets its partition and its position there (from
+   ``monotonically_increasing_id``: position in the lower 33 bits), and
+   the rows are written as a Parquet table in the shared folder.  The
+   numbers are as fixed as the files, whatever executors are lost later.
 3. A small table -- one row per (partition, group), so at most
    ``partitions + groups`` rows -- gives each group's first position and
    row count per partition; a running sum over partitions gives the rows
    of the same group in earlier partitions.
-4. That table is joined back -- broadcast after it has been counted (it
-   has partitions + groups rows; see ``attach.join_small``).
-
-The tagged rows feed both the small table and the join back, so they are
-persisted (memory, spilling to disk) and read twice instead of recomputing
-the whole upstream plan per branch.  A lost block is recomputed from the
-same shuffle with the same range bounds and the same total order, so the
-numbers it gets are the same.
-
-Everything is built from DataFrame operators; ranks are exact.  From the
-rank and the group size come ntile buckets, exact medians and rank
-weighted sums (MKI) with no per-group window.
-
-Size check.  When every group is small, the range machinery costs more
-than it saves: a plain ``row_number`` window (one shuffle, groups spread
-over tasks by hash) is cheaper.  ``group_row_number`` therefore first counts
-the rows of the largest group (one partial aggregate, one number back) and
-uses the window only when that group fits in a task
-(``parcelbeam.rank.windowMaxGroupRows``, default 2,000,000 rows); beyond
-the bound -- the hot-township case -- it always takes the range path.
-Both paths give the same numbers.
+4. That table is joined back when the layout is read -- broadcast after
+   it has been counted (see ``attach.join_small``) -- so ranks, group
+   sizes, NTILE buckets and rank-weighted sums are column arithmetic over
+   a scan, without a further Exchange.
+
+``group_row_number`` is the general form for any rank.  When every group is
+small, a plain ``row_number`` window (one shuffle, groups spread over tasks
+by hash) is cheaper; it counts the rows of the largest group (one partial
+aggregate, one number back) and uses the window only when that group fits in
+a task (``parcelbeam.rank.windowMaxGroupRows``, default 2,000,000 rows).
+The ratio study does not depend on that size: it ranks by the layout and
+takes medians and deciles by histogram selection (``selection``).
 """
 
 from __future__ import annotations
@@ -48,6 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelbeam.operators.attach import join_small
+from parcelbeam.session import written
 
 _POS_BITS = 33
 WINDOW_MAX_GROUP_ROWS_CONF = "parcelbeam.rank.windowMaxGroupRows"
@@ -118,30 +112,39 @@ def range_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
                      rank_col: str = "rank", size_col: str = "group_size",
                      num_partitions: int | None = None,
                      count_of: str | None = None, count_col: str | None = None) -> DataFrame:
-    """Range-partitioned form, for groups of any size (see module notes).
+    """Range-partitioned form, for groups of any size: the rows of ``ranked_layout``."""
+    return ranked_layout(df, group_cols, order_cols, rank_col, size_col, num_partitions, count_of, count_col)
+
+
+def ranked_layout(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
+                  rank_col: str = "rank", size_col: str = "group_size",
+                  num_partitions: int | None = None,
+                  count_of: str | None = None, count_col: str | None = None) -> DataFrame:
+    """``df`` written once, range-partitioned and sorted by group and order, and read back with
+    ``rank_col`` and ``size_col`` (see module notes).
 
     ``order_cols`` must end in a tie-breaker that is unique inside a group so
-    the numbering is deterministic (and therefore stable under task retries).
-    Rows are returned in no particular partitioning.
+    the numbering is deterministic.  ``df`` is held in memory and on disk only while it is
+    sampled for the range bounds and dealt out.
     """
     group_cols = list(group_cols)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(c) for c in group_cols] + order
-    if num_partitions:
-        spread = df.repartitionByRange(num_partitions, *keys)
-    else:
-        spread = df.repartitionByRange(*keys)
-    tagged = ((spread.sortWithinPartitions(*keys)
-              .withColumn("_rk_part", F.spark_partition_id())
-              .withColumn("_rk_pos", F.monotonically_increasing_id()
-                          - F.shiftleft(F.col("_rk_part").cast("long"), _POS_BITS)))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        spread = held.repartitionByRange(num_partitions, *keys) if num_partitions else held.repartitionByRange(*keys)
+        layout = written(spread.sortWithinPartitions(*keys)
+                         .withColumn("_rk_part", F.spark_partition_id())
+                         .withColumn("_rk_pos", F.monotonically_increasing_id()
+                                     - F.shiftleft(F.col("_rk_part").cast("long"), _POS_BITS)), "ranked")
+    finally:
+        held.unpersist()
 
     # One row per (partition, group): bounded by partitions + groups.
     part_aggs = [F.min("_rk_pos").alias("_rk_first"), F.count(F.lit(1)).alias("_rk_cnt")]
     if count_of:
         part_aggs.append(F.count(count_of).alias("_rk_nn"))
-    per_part = tagged.groupBy("_rk_part", *group_cols).agg(*part_aggs)
+    per_part = layout.groupBy("_rk_part", *group_cols).agg(*part_aggs)
     w_before = (Window.partitionBy(*group_cols).orderBy("_rk_part")
                 .rowsBetween(Window.unboundedPreceding, -1))
     w_all = Window.partitionBy(*group_cols)
@@ -151,11 +154,8 @@ def range_row_number(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
         F.coalesce(F.sum("_rk_cnt").over(w_before), F.lit(0)).alias("_rk_before"),
         F.sum("_rk_cnt").over(w_all).alias(size_col), *extra)
 
-    # Only the tagged rows are kept: the ranked rows are a map-side broadcast
-    # join over them, cheap to recompute, so the data is not cached twice.
-    # One row per (partition, group); broadcast after a size check (see join_small).
     # Null-safe: a NULL group (a parcel without a neighborhood) is a group too.
-    joined = join_small(tagged, offsets, ["_rk_part", *group_cols], null_safe=True)
+    joined = join_small(layout, offsets, ["_rk_part", *group_cols], null_safe=True)
     return (joined
             .withColumn(rank_col, (F.col("_rk_before") + F.col("_rk_pos") - F.col("_rk_first") + 1))
             .drop("_rk_part", "_rk_pos", "_rk_first", "_rk_before"))
@@ -175,26 +175,3 @@ def ntile_from_rank(rank: Column | str, size: Column | str, buckets: int) -> Col
     in_small = rem + F.floor((r - threshold - 1) / F.greatest(q, F.lit(1))).cast("long") + 1
     return F.when(r.isNull() | n.isNull(), F.lit(None).cast("int")).otherwise(
         F.when(r <= threshold, in_big).otherwise(in_small).cast("int"))
-
-
-def middle_positions(rank: Column | str, size: Column | str) -> Column:
-    """True for the one (odd size) or two (even size) middle rows of a group."""
-    r = F.col(rank) if isinstance(rank, str) else rank
-    n = F.col(size) if isinstance(size, str) else size
-    lo = F.floor((n + 1) / 2)
-    hi = F.floor(n / 2) + 1
-    return (r == lo) | (r == hi)
-
-
-def lower_half(rank: Column | str, size: Column | str) -> Column:
-    """Rows strictly below the median position(s)."""
-    r = F.col(rank) if isinstance(rank, str) else rank
-    n = F.col(size) if isinstance(size, str) else size
-    return r <= F.floor(n / 2)
-
-
-def upper_half(rank: Column | str, size: Column | str) -> Column:
-    """Rows strictly above the median position(s)."""
-    r = F.col(rank) if isinstance(rank, str) else rank
-    n = F.col(size) if isinstance(size, str) else size
-    return r > n - F.floor(n / 2)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelbeam.functions.keys import trim_unicode
+
 # Accepted whole-number range per correction column.
 RANGE_RULES: dict[str, tuple[int, int]] = {
     "new_building_sf": (0, 10_000_000),
@@ -27,10 +29,10 @@ def range_violations(df: DataFrame, key_col: str = "pin",
     rules = rules or RANGE_RULES
     checks = []
     for col_name, (lo, hi) in rules.items():
-        raw = F.col(col_name).cast("string")
-        txt = F.trim(raw)
+        raw = F.col(f"`{col_name}`").cast("string")
+        txt = trim_unicode(raw)
         whole = txt.rlike("^[+-]?[0-9]+$")
-        number = F.expr(f"try_cast(trim(cast(`{col_name}` as string)) as decimal(38,0))")
+        number = txt.try_cast("decimal(38,0)")
         reason = (F.when(raw.isNull() | (txt == ""), F.lit(None))
                   .when(~whole, F.lit("not whole"))
                   # more digits than a decimal holds are out of every range

@@ -10,7 +10,9 @@
 
 Warehouse tables are Parquet paths (or ``table:<name>`` for a catalog
 table); user sheets are folders of CSV files with a header row, read with
-every column as text.  Outputs are partitioned Parquet datasets.
+every column as text.  Outputs are partitioned Parquet datasets; those of
+value-change and unit-review are versions behind a manifest (read them with
+``sinks.read_value_change`` and ``sinks.read_review_sheets``).
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelbeam.operators.change import REQUEST_KEY
 from parcelbeam.plans import jobs
-from parcelbeam.session import build_session
+from parcelbeam.session import build_session, release_written
 from parcelbeam.sources import sinks
 from parcelbeam.sources.ingest import read_sheet_groups, read_sheets
 
@@ -34,11 +36,11 @@ def load_table(spark: SparkSession, ref: str) -> DataFrame:
 
 
 def run_value_change(spark: SparkSession, a: argparse.Namespace) -> str:
-    # one write per distinct header: each output file keeps its own sheet's columns
-    for sheets in read_sheet_groups(spark, a.requests, [a.key_column]):
-        out = jobs.value_change_job(sheets, load_table(spark, a.history), a.mail_year, Decimal(a.factor), a.key_column)
-        sinks.write_value_change(out, a.out)
-    return a.out
+    # one frame per distinct header: each output file keeps its own sheet's columns
+    history = load_table(spark, a.history)
+    return sinks.write_value_change(
+        [jobs.value_change_job(sheets, history, a.mail_year, Decimal(a.factor), a.key_column)
+         for sheets in read_sheet_groups(spark, a.requests, [a.key_column])], a.out)
 
 
 def run_check_returned(spark: SparkSession, a: argparse.Namespace) -> str:
@@ -52,7 +54,7 @@ def run_unit_review(spark: SparkSession, a: argparse.Namespace) -> str:
         load_table(spark, a.universe), load_table(spark, a.chars), load_table(spark, a.permits),
         load_table(spark, a.status), load_table(spark, a.sales), load_table(spark, a.addresses),
         read_sheets(spark, a.qc, ["14-Digit PIN", "Flag Comments"]), a.min_year, a.triad or None, a.map_url)
-    return sinks.write_review_sheets(sheet, a.out, a.year)
+    return sinks.write_review_sheets(sheet, a.out, a.year, a.triad or None)
 
 
 def run_ratio_study(spark: SparkSession, a: argparse.Namespace) -> dict[str, str]:
@@ -106,7 +108,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     spark = spark or build_session(os.environ.get("PARCELBEAM_MASTER"))
     runner = {"value-change": run_value_change, "unit-review": run_unit_review,
               "check-returned": run_check_returned, "ratio-study": run_ratio_study}[a.job]
-    return runner(spark, a)
+    try:
+        return runner(spark, a)
+    finally:  # outputs are delivered: nothing reads the run's own tables any more
+        release_written(spark)
 
 
 if __name__ == "__main__":

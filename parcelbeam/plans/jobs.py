@@ -28,11 +28,10 @@ from parcelbeam.operators import ratio as R
 from parcelbeam.operators.attach import (
     final_model_values, keep_flagged_groups, most_recent_parcels, nan_to_null, newest_per_key)
 from parcelbeam.operators.change import DEFAULT_FACTOR, REQUEST_KEY, value_change
-from parcelbeam.operators.ranking import largest_group
 from parcelbeam.operators.reshape import curve_axis, curve_long, neighborhood_map_frame
 from parcelbeam.operators.rollup import building_unit_counts, join_strings
 from parcelbeam.operators.rules import RANGE_RULES, range_violations
-from parcelbeam.session import stable
+from parcelbeam.session import written
 
 # --------------------------------------------------------------------------
 # Job 1: value-change check
@@ -77,20 +76,25 @@ def scoped_universe(universe: DataFrame, flagged: DataFrame | None = None,
     return keep_flagged_groups(uni, flagged) if flagged is not None else uni
 
 
-def review_units(universe: DataFrame, chars: DataFrame, status: DataFrame, addresses: DataFrame,
-                 flagged: DataFrame | None = None, triads: Sequence[str] | None = None) -> DataFrame:
-    """Units with characteristics, status and address, newest year per unit (J2,
-    J4, J6, D4).  When ``flagged`` is given, only buildings with a flagged unit
-    are kept -- before any join (J7 moved down).
+def unit_base(universe: DataFrame, chars: DataFrame, flagged: DataFrame | None = None,
+              triads: Sequence[str] | None = None) -> DataFrame:
+    """Units of the triads with their characteristics, one row per (pin, year)
+    (J2).  When ``flagged`` is given, only buildings with a flagged unit are
+    kept -- before any join (J7 moved down).
 
-    The three (pin, year) joins run first, under one hash partitioning on
-    (pin, year); the newest-year pick then re-keys by pin once, and every
-    later per-parcel join reuses that partitioning."""
-    uni = scoped_universe(universe, flagged, triads)
-    units = (uni.join(chars, on=["pin", "year"], how="inner")
-             .join(status, on=["pin", "year"], how="left")
-             .join(addresses, on=["pin", "year"], how="left"))
-    return newest_per_key(units, "pin", [F.col("year").desc()])
+    The review sheet reads them three times (units, keys, building counts), so
+    they are written once to the shared folder, by column."""
+    return written(scoped_universe(universe, flagged, triads).join(chars, on=["pin", "year"], how="inner"), "units")
+
+
+def review_units(base: DataFrame, status: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Units with status and address, newest year per unit.
+
+    The (pin, year) joins run first, under one hash partitioning; the
+    newest-year pick then re-keys by pin once, and every later per-parcel join
+    reuses that partitioning."""
+    units = base.join(status, on=["pin", "year"], how="left").join(addresses, on=["pin", "year"], how="left")
+    return newest_per_key(units, "pin", "year")
 
 
 def unit_review_rows(universe: DataFrame, chars: DataFrame, permits: DataFrame, status: DataFrame,
@@ -104,17 +108,16 @@ def unit_review_rows(universe: DataFrame, chars: DataFrame, permits: DataFrame,
     rows matter, so both are cut to those units by a left-semi join before
     they are rolled up (the key set is broadcast when it is small)."""
     flagged = flagged_units(qc)
-    unit_keys = stable(scoped_universe(universe, flagged, triads).select("pin", "year").join(
-        chars.select("pin", "year"), ["pin", "year"], "inner"))
-    unit_pins = unit_keys.select("pin").distinct()
-    units = review_units(universe, chars, status, addresses, flagged, triads)
+    base = unit_base(universe, chars, flagged, triads)
+    unit_pins = base.select("pin").distinct()
+    units = review_units(base, status, addresses)
     units = (units
              .join(permit_documents(permits.join(unit_pins, "pin", "left_semi"), min_year), "pin", "left")
              .join(sale_documents(sales.join(unit_pins, "pin", "left_semi"), min_year), "pin", "left")
              .join(flagged, "pin", "left"))
-    # Units per building from the light (pin, year) key join only, not from the
-    # wide joined rows: the count needs no status, address or documents.
-    units = units.join(building_unit_counts(unit_keys), "pin10", "left")
+    # Units per building from the keys of the base alone, not from the wide
+    # joined rows: the count needs no status, address or documents.
+    units = units.join(building_unit_counts(base.select("pin", "year")), "pin10", "left")
     address = alnum_words(address_line("prop_address_full", "prop_address_city_name", "prop_address_zipcode_1"))
     rows = units.select(
         "qc_flag",
@@ -194,30 +197,22 @@ def ratio_parcels(desk_review: DataFrame, universe: DataFrame, models: DataFrame
     return desk_review.join(parcels, "pin", "left")
 
 
-def study_base(parcels: DataFrame) -> tuple[DataFrame, int]:
-    """Per parcel of each township: both sale ratios (P15, F16), plus the row
-    count of the largest township.  Parcels without a township fall out, as in
-    the per-township loop (D9).
-
-    The study frame (one row per reviewed parcel) is read by the size check,
-    the price rank and every table built on it, so it is materialised once in
-    the shared checkpoint folder instead of re-running the joins above it --
-    also after an executor is lost.  Every later grouping (stage x township,
-    decile, neighborhood) is part of one township, so the one count bounds
-    them all and no later rank has to count again."""
-    scoped = parcels.filter(F.col("township_name").isNotNull())
-    study = stable(R.add_ratios(scoped))
-    return study, largest_group(study, ["township_name"])
-
+def study_base(parcels: DataFrame) -> DataFrame:
+    """Per parcel of each township: both sale ratios (P15, F16).  Parcels without
+    a township fall out, as in the per-township loop (D9).
 
-def ratio_study_frame(parcels: DataFrame) -> tuple[DataFrame, int]:
-    """``study_base`` with the price decile and rank."""
-    study, bound = study_base(parcels)
-    return R.add_price_deciles(study, max_group_rows=bound), bound
+    The study frame (one row per reviewed parcel) is scanned several times by
+    every table built on it, so it is written once to the shared folder, by
+    column, instead of re-running the joins above it -- also after an executor
+    is lost."""
+    return written(R.add_ratios(parcels.filter(F.col("township_name").isNotNull())), "study")
 
 
-def all_parcels(parcels: DataFrame) -> DataFrame:
-    return ratio_study_frame(parcels)[0]
+def study_layout(parcels: DataFrame) -> DataFrame:
+    """All parcels with their ratios as one ranked layout by township and price:
+    price rank, decile and number of sales (W3, W4, A10).  Parcels without a
+    township are there too, for the audit; the tables leave them out."""
+    return R.rank_by_price(R.add_ratios(parcels))
 
 
 def all_parcels_sheet(deciled: DataFrame) -> DataFrame:
@@ -231,24 +226,24 @@ def all_parcels_sheet(deciled: DataFrame) -> DataFrame:
 def ratio_study_job(desk_review: DataFrame, universe: DataFrame, models: DataFrame, assessments: DataFrame,
                     polygons: DataFrame | None, model_year: str, model_type: str,
                     universe_years: Sequence[str]) -> dict[str, DataFrame]:
-    """All outputs of the ratio study, keyed like the sinks.  ``unmatched`` lists
+    """All outputs of the ratio study, keyed like the sinks.  Parcels are ranked
+    once, in the layout that all of them read.  ``unmatched`` lists
     the reviewed parcels that match no parcel of the universe years: they have
     no township and fall out of every township table (D9 audit)."""
-    parcels = stable(ratio_parcels(desk_review, universe, models, assessments, model_year, model_type, universe_years))
-    study, bound = study_base(parcels)
-    deciled = R.add_price_deciles(study, max_group_rows=bound)
-    deciles = R.ratio_deciles(deciled, max_group_rows=bound)
+    layout = study_layout(ratio_parcels(desk_review, universe, models, assessments, model_year, model_type, universe_years))
+    study = layout.filter(F.col("township_name").isNotNull())
+    deciles = R.ratio_deciles(study)
     curve = curve_long(deciles)
-    nbhd = R.neighborhood_medians(study, max_group_rows=bound)
+    nbhd = R.neighborhood_medians(study)
     out = {
         # Sheets as delivered: title-cased headers ("Model Cod", "Number Of Sales").
-        "all_parcels": all_parcels_sheet(deciled),
+        "all_parcels": all_parcels_sheet(study),
         "ratio_deciles": rename_all(deciles, title_case),
-        "town_stats": rename_all(R.town_stats(deciled, max_group_rows=bound), title_case),
+        "town_stats": rename_all(R.town_stats(study), title_case),
         "curve": curve,
         "curve_axis": curve_axis(curve),
         "neighborhood_medians": nbhd,
-        "unmatched": parcels.filter(F.col("township_name").isNull()).select("pin", "desk_review_value"),
+        "unmatched": layout.filter(F.col("township_name").isNull()).select("pin", "desk_review_value"),
     }
     if polygons is not None:
         out["neighborhood_map"] = neighborhood_map_frame(nbhd, polygons)

@@ -37,7 +37,11 @@ def _clean(x: str) -> str:
 
 
 def _numtext(x: str) -> str:
-    return f"coalesce(regexp_replace(CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '\\.?0+$', ''), 'NA')"
+    return f"coalesce(regexp_replace(CAST(TRY_CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '\\.?0+$', ''), 'NA')"
+
+
+def _bits(x: str) -> str:
+    return f"hex(CAST(CAST({x} AS BIT) AS BLOB))"
 
 
 def _fin(x: str) -> str:
@@ -70,7 +74,8 @@ uni_years AS (
   UNION ALL SELECT pb.*, '1998' FROM pb WHERE c_mktsegment = 'BUILDING'),
 uni AS (
   SELECT pin, substr(pin, 1, 10) AS pin10, year,
-    CASE WHEN NOT (c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0) THEN CAST(-87.95 + (c_custkey % 997) * 0.00050000123 AS DOUBLE) END AS lon,
+    CASE WHEN c_custkey % 331 = 3 THEN CAST('NaN' AS DOUBLE)
+      WHEN NOT (c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0) THEN CAST(-87.95 + (c_custkey % 997) * 0.00050000123 AS DOUBLE) END AS lon,
     CASE WHEN NOT (c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0) THEN CAST(41.60 + (c_custkey % 499) * 0.00100000321 AS DOUBLE) END AS lat,
     township_name, nbhd_code, triad_name
   FROM uni_years)"""
@@ -134,7 +139,7 @@ req AS (
                             WHEN 1 THEN chr(160) || {_pretty14('pin')} || chr(9)
                             WHEN 2 THEN ' ' || pin || chr(12288)
                             ELSE pin END AS "Permanent Index Number",
-    c_name AS "Owner Name", substr(c_mktsegment, 1, 3) AS "Class", 'requests_' || lower(c_mktsegment) || '.csv' AS source_file
+    c_name AS "Owner Name", substr(c_mktsegment, 1, 3) AS "class", 'requests_' || lower(c_mktsegment) || '.csv' AS source_file
   FROM pb)"""
 
 QC = f"""
@@ -310,16 +315,19 @@ NBHD_MAP = RATIO_CTES + NBHD_BODY + f"""
 , box AS (
   SELECT township_name, replace(nbhd_code, '-', '') AS town_nbhd,
     min(lon) AS x0, min(lat) AS y0, max(lon) AS x1, max(lat) AS y1
-  FROM uni WHERE lon IS NOT NULL AND lat IS NOT NULL GROUP BY township_name, replace(nbhd_code, '-', '')),
+  FROM uni WHERE lon IS NOT NULL AND NOT isnan(lon) AND lat IS NOT NULL GROUP BY township_name, replace(nbhd_code, '-', '')),
 poly AS (
   SELECT township_name, town_nbhd,
     'POLYGON((' || {_numtext('x0')} || ' ' || {_numtext('y0')} || ', ' || {_numtext('x1')} || ' ' || {_numtext('y0')} || ', '
       || {_numtext('x1')} || ' ' || {_numtext('y1')} || ', ' || {_numtext('x0')} || ' ' || {_numtext('y1')} || ', '
       || {_numtext('x0')} || ' ' || {_numtext('y0')} || '))' AS geometry_wkt,
+    -- big-endian, polygon, one ring of five points
+    unhex('00' || '00000003' || '00000001' || '00000005' || {_bits('x0')} || {_bits('y0')} || {_bits('x1')} || {_bits('y0')}
+      || {_bits('x1')} || {_bits('y1')} || {_bits('x0')} || {_bits('y1')} || {_bits('x0')} || {_bits('y0')}) AS geometry,
     4326 AS srid
   FROM box)
 SELECT nbl.township_name, replace(nbl.neighborhood_number, '-', '') AS neighborhood_number, nbl.stage, nbl.stage_order,
-  nbl.median_sale_ratio, poly.geometry_wkt, poly.srid
+  nbl.median_sale_ratio, poly.geometry, poly.geometry_wkt, poly.srid
 FROM nbl LEFT JOIN poly ON nbl.township_name = poly.township_name AND replace(nbl.neighborhood_number, '-', '') = poly.town_nbhd
 """
 
@@ -353,7 +361,7 @@ vals AS (
     CAST(mailed_tot - oneyr_pri_certified_tot AS DOUBLE) / nullif(CAST(oneyr_pri_certified_tot AS DOUBLE), 0) AS "Percent Change",
     mailed_tot > oneyr_pri_certified_tot * 1.2 AS "Large Increase"
   FROM hist WHERE year = '{MAIL_YEAR}')
-SELECT r2."Permanent Index Number", r2."Owner Name", r2."Class" AS "Class x", r2.source_file, vals."Class" AS "Class y",
+SELECT r2."Permanent Index Number", r2."Owner Name", r2."class" AS "class x", r2.source_file, vals."Class" AS "Class y",
   vals."{MAIL_YEAR - 2} BoR Certified AV", vals."{MAIL_YEAR - 1} BoR Certified AV", vals."{MAIL_YEAR} Mailed AV",
   vals."Percent Change", vals."Large Increase"
 FROM r2 LEFT JOIN vals USING (pin)
@@ -531,12 +539,56 @@ OUTPUT_COUNTS = REVIEW.replace("SELECT * FROM sheet\n", """SELECT "Triad", "Town
 """)
 
 INTAKE = _with(BASE, MODELS) + f"""
-SELECT {_clean('d."PIN"')} AS pin, d."Desk Review Value" AS desk_review_value,
-  CASE WHEN pb.triad_name IN ('AFRICA', 'ASIA') THEN 'desk, ' || lower(pb.triad_name) END AS reviewer,
-  CASE WHEN pb.triad_name NOT IN ('AFRICA', 'ASIA') THEN 'x' END AS note
-FROM desk d JOIN pb ON d."PIN" = pb.pin
+, intake AS (SELECT d.*, pb.c_custkey AS k, pb.triad_name AS t, pb.triad_name IN ('AFRICA', 'ASIA') AS one FROM desk d JOIN pb ON d."PIN" = pb.pin)
+SELECT {_clean('"PIN"')} AS pin, "Desk Review Value" AS desk_review_value,
+  CASE WHEN one THEN 'desk, ' || lower(t) END AS reviewer, CASE WHEN NOT one THEN 'x' END AS note,
+  CASE WHEN one THEN CASE k % 3 WHEN 0 THEN 'said "high",' || chr(10) || 'then' || chr(10) || CAST(k AS VARCHAR) WHEN 1 THEN 'one line' END END AS comment,
+  CASE WHEN one THEN CAST(k % 7 AS VARCHAR) END AS pin_2, CASE WHEN NOT one THEN CAST(k % 5 AS VARCHAR) END AS note_1,
+  CASE WHEN NOT one THEN CAST(k % 11 AS VARCHAR) END AS note_3, CASE WHEN NOT one THEN CAST(k % 13 AS VARCHAR) END AS note_2
+FROM intake
+"""
+
+#: What a spreadsheet reader makes of a column, cell by cell.
+SHEET_TYPES = _with(BASE, MODELS) + """
+, cells AS (
+  SELECT d.source_file, unnest([
+    {'column': 'PIN', 'cell': 'id'}, {'column': 'Desk Review Value', 'cell': CAST("Desk Review Value" AS VARCHAR)},
+    {'column': 'Reviewed On', 'cell': CASE WHEN k % 4 <> 0 THEN CAST(DATE '2000-01-01' + CAST(k % 400 AS INTEGER) AS VARCHAR) END},
+    {'column': 'Checked', 'cell': CASE k % 2 WHEN 0 THEN 'TRUE' ELSE 'false' END},
+    {'column': 'Mixed', 'cell': CASE k % 97 WHEN 0 THEN 'n/a' ELSE CAST(k % 9 AS VARCHAR) END},
+    {'column': 'Code', 'cell': lpad(CAST(k % 50 AS VARCHAR), 5, '0')}, {'column': 'Empty', 'cell': CAST(NULL AS VARCHAR)},
+    {'column': 'Power', 'cell': CAST(k % 90 AS VARCHAR) || 'e2'}]) AS c
+  FROM (SELECT desk.*, pb.c_custkey AS k FROM desk JOIN pb ON desk."PIN" = pb.pin) d),
+kinds AS (
+  SELECT source_file, c.column AS col, CASE
+    WHEN lower(c.cell) IN ('true', 'false') THEN 'boolean'
+    WHEN TRY_CAST(c.cell AS DOUBLE) IS NOT NULL AND NOT regexp_matches(c.cell, '^[+-]?0[0-9]|^[+-]?[0-9]{16}') THEN 'number'
+    WHEN TRY_CAST(c.cell AS DATE) IS NOT NULL THEN 'date' ELSE 'text' END AS kind
+  FROM cells WHERE c.cell IS NOT NULL)
+SELECT a.source_file, a.col AS "column",
+  CASE WHEN min(kind) = max(kind) THEN min(kind) WHEN min(kind) IS NULL THEN 'blank' ELSE 'text' END AS "type"
+FROM (SELECT DISTINCT source_file, c.column AS col FROM cells) a LEFT JOIN kinds k ON a.source_file = k.source_file AND a.col = k.col
+GROUP BY a.source_file, a.col
 """
 
+SHEET_OUTPUTS = _with(BASE, HIST, REQ) + f"""
+, named AS (SELECT r.*, pb.c_custkey AS k, pb.pin AS pin FROM req r JOIN pb ON r."Owner Name" = pb.c_name),
+placed AS (
+  SELECT *, 'requests ' || lpad(CAST(k // 1000 AS VARCHAR), 6, '0') || '.csv' AS sheet,
+    row_number() OVER (PARTITION BY k // 1000 ORDER BY k * 7919 % 1009, encode("Permanent Index Number")) AS position FROM named)
+SELECT sheet AS source_file, position, placed.pin AS pin, 'line' || chr(10) || "Owner Name" AS sent_by, hist.mailed_tot AS mailed,
+  'Permanent Index Number|Sent By|Class|{MAIL_YEAR - 2} BoR Certified AV|{MAIL_YEAR - 1} BoR Certified AV|{MAIL_YEAR} Mailed AV|Percent Change|Large Increase' AS columns
+FROM placed LEFT JOIN hist ON placed.pin = hist.pin AND hist.year = '{MAIL_YEAR}'
+"""
+
+REVIEW_COLUMNS = REVIEW.replace("SELECT * FROM sheet\n", """SELECT workbook, "Township", CAST(position AS INTEGER) AS position, names[position + 1] AS "column" FROM (
+  SELECT DISTINCT replace(lower("Triad"), ' ', '_') || '_condo_review_2025' AS workbook, "Township" FROM sheet),
+  (SELECT ['QC Flag', 'PIN10', 'PIN', 'Address', 'Unit', 'Total Number Of Units In Building', 'Building SF', 'New Building SF',
+    'Unit SF', 'New Unit SF', 'Bedrooms', 'New Bedrooms', 'Full Baths', 'New Full Baths', 'Half Baths', 'New Half Baths',
+    'Neighborhood Code', 'Permits', 'Sales', 'Parking PIN', 'Is Parking Space', 'Parking Space Flag Reason', 'Is Common Area'] AS names),
+  (SELECT unnest(range(0, 23)) AS position)
+""")
+
 WORKBOOK = REVIEW.replace("SELECT * FROM sheet\n", """SELECT replace(lower("Triad"), ' ', '_') || '_condo_review_2025' AS workbook, "Township", "PIN",
   row_number() OVER (PARTITION BY "Triad", "Township" ORDER BY "PIN") AS position
 FROM sheet WHERE "Township" <> (SELECT min("Township") FROM sheet)
@@ -586,6 +638,9 @@ ORACLES: dict[str, str] = {
     "partitioned_output_counts": OUTPUT_COUNTS,
     "sheet_intake_roundtrip": INTAKE,
     "review_workbook_rows": WORKBOOK,
+    "sheet_column_types": SHEET_TYPES,
+    "request_sheet_outputs": SHEET_OUTPUTS,
+    "review_sheet_columns": REVIEW_COLUMNS,
     "ratio_decile_sheet_rows": DECILE_SHEET,
     "parameterised_query": PARAMETERISED,
     "township_list": TOWNSHIPS,

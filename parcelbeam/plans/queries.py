@@ -12,6 +12,7 @@ import os
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +29,8 @@ from parcelbeam.plans import jobs
 from parcelbeam.session import ensure_checkpoint_dir, stable
 from parcelbeam.sources import sinks
 from parcelbeam.sources import standins as S
-from parcelbeam.sources.ingest import read_sheets
+from parcelbeam.sources.ingest import folder_value, read_sheet_groups, read_sheets, sheet_types
+from parcelbeam.sources.templates import packaged_template
 
 # Job parameters used by the driver queries (the test mapping's counterparts
 # of the reference's mail year 2025 / oldest year 2022 / universe 2024-2025).
@@ -47,22 +49,22 @@ def _ratio_parcels(spark: SparkSession, d: str) -> DataFrame:
         S.final_model(spark, d), S.assessment_pin(spark, d), S.MODEL_YEAR, S.MODEL_TYPE, UNIVERSE_YEARS)
 
 
-def _study(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
-    return jobs.ratio_study_frame(_ratio_parcels(spark, d))
+def ratio_town_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Township statistics over the ranked layout (W4 by rank, medians by selection)."""
+    return R.town_stats(jobs.study_layout(_ratio_parcels(spark, d)).filter(F.col("township_name").isNotNull()))
 
 
-def ratio_town_stats(spark: SparkSession, d: str) -> DataFrame:
-    deciled, bound = _study(spark, d)
-    return R.town_stats(deciled, max_group_rows=bound)
+def _deciled(spark: SparkSession, d: str) -> DataFrame:
+    return R.add_price_deciles(jobs.study_base(_ratio_parcels(spark, d)))
 
 
 def ratio_deciles(spark: SparkSession, d: str) -> DataFrame:
-    deciled, bound = _study(spark, d)
-    return R.ratio_deciles(deciled, max_group_rows=bound)
+    """Decile cuts and medians both by histogram selection: no row is ranked."""
+    return R.ratio_deciles(_deciled(spark, d))
 
 
 def ratio_all_parcels(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.all_parcels_sheet(_study(spark, d)[0])
+    return jobs.all_parcels_sheet(_deciled(spark, d))
 
 
 def ratio_curve_long(spark: SparkSession, d: str) -> DataFrame:
@@ -74,8 +76,7 @@ def ratio_curve_axis(spark: SparkSession, d: str) -> DataFrame:
 
 
 def neighborhood_medians_long(spark: SparkSession, d: str) -> DataFrame:
-    study, bound = jobs.study_base(_ratio_parcels(spark, d))
-    return R.neighborhood_medians(study, max_group_rows=bound)
+    return R.neighborhood_medians(jobs.study_base(_ratio_parcels(spark, d)))
 
 
 def neighborhood_map_frame_q(spark: SparkSession, d: str) -> DataFrame:
@@ -84,8 +85,7 @@ def neighborhood_map_frame_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def strict_vs_lenient_median(spark: SparkSession, d: str) -> DataFrame:
-    study, bound = jobs.study_base(_ratio_parcels(spark, d))
-    return R.strict_and_lenient(study, max_group_rows=bound)
+    return R.strict_and_lenient(jobs.study_base(_ratio_parcels(spark, d)))
 
 
 def newest_row_per_key(spark: SparkSession, d: str) -> DataFrame:
@@ -145,8 +145,8 @@ def condo_join_chain(spark: SparkSession, d: str) -> DataFrame:
         S.pin_address(spark, d), ["pin", "year"], "left")
     permits = jobs.permit_documents(S.pin_permit(spark, d), MIN_YEAR).select("pin", "n_permits")
     sales = jobs.sale_documents(S.pin_sale(spark, d), MIN_YEAR).select("pin", "n_sales")
-    chained = left_join_where(units, permits, "pin")
-    chained = left_join_where(chained, sales, "pin")
+    chained = left_join_where(units, permits, "pin", F.col("n_permits") > 0)
+    chained = left_join_where(chained, sales, "pin", F.col("n_sales") > 0)
     return chained.select(
         "pin", "year", "triad_name", "township_name", "building_sf", "is_parking_space",
         "prop_address_full", F.coalesce("n_permits", F.lit(0)).alias("n_permits"),
@@ -187,12 +187,12 @@ def documents_per_unit(spark: SparkSession, d: str) -> DataFrame:
 
 def first_row_per_unit(spark: SparkSession, d: str) -> DataFrame:
     """One row per unit: its newest (pin, year) row of universe x characteristics."""
-    units = newest_per_key(_units_all_triads(spark, d), "pin", [F.col("year").desc()])
+    units = newest_per_key(_units_all_triads(spark, d), "pin", "year")
     return units.select("pin", "year", "triad_name", "township_name", "building_sf", "unit_sf", "bedrooms")
 
 
 def address_and_links(spark: SparkSession, d: str) -> DataFrame:
-    uni = newest_per_key(S.pin_universe(spark, d), "pin", [F.col("year").desc()])
+    uni = newest_per_key(S.pin_universe(spark, d), "pin", "year")
     j = uni.join(S.pin_address(spark, d), ["pin", "year"], "left")
     raw = address_line("prop_address_full", "prop_address_city_name", "prop_address_zipcode_1")
     return j.select(
@@ -246,8 +246,8 @@ def partitioned_output_counts(spark: SparkSession, d: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark)
     path = os.path.join(root, "review-sheets", uuid.uuid4().hex)
     sheet = unit_review_sheet(spark, d)
-    written = sinks.write_review_sheets(sheet, path)
-    back = spark.read.parquet(written)
+    sinks.write_review_sheets(sheet, path)
+    back = sinks.read_review_sheets(spark, path)
     return back.groupBy("Triad", "Township").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -255,20 +255,90 @@ def _shared(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name, uuid.uuid4().hex)
 
 
+def _write_layout(sheets: DataFrame, header: str, path: str) -> None:
+    """CSV records under one header line at the top of every file, as spreadsheets export them."""
+    def with_header(batches):
+        yield pa.record_batch([pa.array([header])], names=["value"])
+        yield from batches
+    quoted = {"quote": '"', "escape": '"', "escapeQuotes": "true"}
+    lines = sheets.select(F.to_csv(F.struct("*"), quoted).alias("value"))
+    lines.mapInArrow(with_header, "value string").write.mode("append").text(path)
+
+
 def sheet_intake_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Desk-review sheets written as CSV files in two layouts (other columns, other order) and read
-    back by column name (S1, S2, S4, R1, R5)."""
+    back by column name: cells with line breaks and quotes, names that differ in case only, and
+    repeated names (S1, S2, S4, R1, R5)."""
     path = _shared(spark, "sheets")
-    triads = S.parcel_base(spark, d).select(F.col("pin").alias("PIN"), "triad_name")
+    triads = S.parcel_base(spark, d).select(F.col("pin").alias("PIN"), "triad_name", "c_custkey")
     sheets = S.desk_review_sheets(spark, d).join(triads, "PIN")
     reviewed = F.col("triad_name").isin("AFRICA", "ASIA")
-    one = sheets.filter(reviewed).select("PIN", "Desk Review Value", F.concat(F.lit("desk, "), F.lower("triad_name")).alias("Reviewer"))
-    two = sheets.filter(~reviewed).select("Desk Review Value", F.lit("x").alias("source_file"), "PIN")
-    for part in (one, two):
-        part.write.mode("append").option("header", "true").csv(path)
+    k = F.col("c_custkey")
+    comment = (F.when(k % 3 == 0, F.concat(F.lit('said "high",\nthen\n'), k)).when(k % 3 == 1, F.lit("one line")))
+    _write_layout(sheets.filter(reviewed).select(
+        "PIN", "Desk Review Value", F.concat(F.lit("desk, "), F.lower("triad_name")).alias("a"), comment.alias("b"), (k % 7).alias("c")),
+        "PIN,Desk Review Value,Reviewer,Comment,pin", path)
+    _write_layout(sheets.filter(~reviewed).select(
+        "Desk Review Value", F.lit("x").alias("a"), "PIN", (k % 5).alias("b"), (k % 11).alias("c"), (k % 13).alias("e")),
+        "Desk Review Value,source_file,PIN,Note,Note,Note_2", path)
     back = read_sheets(spark, path, ["PIN", "Desk Review Value"])
     return back.select(clean_pin("PIN").alias("pin"), F.col("`Desk Review Value`").try_cast("double").alias("desk_review_value"),
-                        F.col("Reviewer").alias("reviewer"), F.col("source_file_2").alias("note"))
+                       F.col("Reviewer").alias("reviewer"), F.col("source_file_2").alias("note"), F.col("Comment").alias("comment"),
+                       F.col("pin_2"), F.col("Note").alias("note_1"), F.col("Note_3").alias("note_3"), F.col("Note_2").alias("note_2"))
+
+
+def sheet_column_types(spark: SparkSession, d: str) -> DataFrame:
+    """Types of the columns of each desk-review sheet, from its cells: values and reviews as numbers
+    and dates, mixed cells and ids as text (S2)."""
+    k = F.col("c_custkey")
+    keys = S.parcel_base(spark, d).select(F.col("pin").alias("PIN"), "c_custkey")
+    sheets = S.desk_review_sheets(spark, d).join(keys, "PIN").select(
+        "PIN", F.col("Desk Review Value").cast("string").alias("Desk Review Value"),
+        F.when(k % 4 != 0, F.date_add(F.lit("2000-01-01").cast("date"), (k % 400).cast("int")).cast("string")).alias("Reviewed On"),
+        F.when(k % 2 == 0, F.lit("TRUE")).otherwise(F.lit("false ")).alias("Checked"),
+        F.when(k % 97 == 0, F.lit("n/a")).otherwise((k % 9).cast("string")).alias("Mixed"),
+        F.lpad((k % 50).cast("string"), 5, "0").alias("Code"), F.lit(" ").alias("Empty"),
+        F.concat((k % 90).cast("string"), F.lit("e2")).alias("Power"), "source_file")
+    return sheet_types(sheets, as_text=["PIN"])
+
+
+def _requests_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """The request rows dealt to sheets of at most a thousand parcels, with their place there:
+    neither by id nor by name."""
+    r = S.value_requests(spark, d).join(
+        S.parcel_base(spark, d).select(F.col("c_name").alias("Owner Name"), "c_custkey"), "Owner Name")
+    k = F.col("c_custkey")
+    block = F.lpad(F.floor(k / 1000).cast("string"), 6, "0")
+    return r.withColumn("sheet", F.concat(F.lit("requests "), block, F.lit(".csv"))).withColumn("place", k * 7919 % 1009)
+
+
+def request_sheet_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """Request sheets through the value-change job to one output per sheet, read back with file name,
+    columns and the sheet's own row order (S10, R5, P4, P7)."""
+    path, out = _shared(spark, "requests"), _shared(spark, "values")
+    rows = _requests_in_order(spark, d).select(
+        "sheet", "place", "Permanent Index Number", F.concat(F.lit("line\n"), "Owner Name").alias("Sent.By"))
+    # a sheet is one file: its rows, a thousand at most, go to one task
+    (rows.repartition("sheet").sortWithinPartitions("sheet", "place", "Permanent Index Number").drop("place")
+     .write.option("header", "true").option("escape", '"').partitionBy("sheet").csv(path))
+    groups = read_sheet_groups(spark, path, ["Permanent Index Number"], name=folder_value)
+    history = S.pin_history(spark, d)
+    sinks.write_value_change([jobs.value_change_job(g, history, MAIL_YEAR) for g in groups], out)
+    back = sinks.read_value_change(spark, out, places=True)
+    names = [c for c in back.columns if c not in ("source_file", "_file", "_row")]
+    return back.select("source_file", F.lit("|".join(names)).alias("columns"), clean_pin(F.col("`Permanent Index Number`")).alias("pin"),
+                       F.col("`Sent By`").alias("sent_by"), F.col(f"`{MAIL_YEAR} Mailed AV`").alias("mailed"),
+                       _position(["source_file"]).alias("position"))
+
+
+def review_sheet_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The columns of each delivered review tab in their order."""
+    path = _shared(spark, "workbooks")
+    sinks.write_review_sheets(unit_review_sheet(spark, d), path, 2025)
+    back = sinks.read_review_sheets(spark, path)
+    names = [c for c in back.columns if c not in ("workbook", "Township", "Triad")]
+    return back.select("workbook", "Township").distinct().select(
+        "workbook", "Township", F.posexplode(F.array(*map(F.lit, names))).alias("position", "column"))
 
 
 def _position(keys: list[str]) -> Column:
@@ -284,8 +354,7 @@ def review_workbook_rows(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_review_sheets(sheet, path, 2025)
     gone = sheet.agg(F.min("Township")).first()[0]
     sinks.write_review_sheets(sheet.filter(F.col("Township") != gone), path, 2025)
-    back = spark.read.parquet(path).select(
-        "workbook", "Township", "PIN", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    back = sinks.read_review_sheets(spark, path, places=True)
     return back.select("workbook", "Township", "PIN", _position(["workbook", "Township"]).alias("position"))
 
 
@@ -300,16 +369,10 @@ def ratio_decile_sheet_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parameterised_query(spark: SparkSession, d: str) -> DataFrame:
-    """Parameter markers bound by name, tables passed as DataFrames -- no text
-    pasting of values (S5-S8, P3, P15)."""
-    sql = """
-        SELECT s.pin, s.doc_no, s.sale_price AS price
-        FROM {sales} AS s
-        LEFT SEMI JOIN {flags} AS q ON substr(s.pin, 1, 10) = substr(q.pin, 1, 10)
-        WHERE s.year >= :min_year AND s.sv_is_outlier AND s.sale_price IS NOT NULL
-    """
-    return spark.sql(sql, args={"min_year": MIN_YEAR}, sales=S.pin_sale(spark, d),
-                     flags=jobs.flagged_units(S.qc_flags(spark, d)))
+    """A packaged SQL template: typed values bound by name, tables passed as DataFrames (S5-S8, P3,
+    P15)."""
+    return packaged_template("flagged_sales.sql").run(
+        spark, {"sales": S.pin_sale(spark, d), "flags": jobs.flagged_units(S.qc_flags(spark, d))}, min_year=MIN_YEAR)
 
 
 def township_list(spark: SparkSession, d: str) -> DataFrame:
@@ -346,6 +409,9 @@ QUERIES: dict[str, Query] = {
     "partitioned_output_counts": partitioned_output_counts,
     "sheet_intake_roundtrip": sheet_intake_roundtrip,
     "review_workbook_rows": review_workbook_rows,
+    "sheet_column_types": sheet_column_types,
+    "request_sheet_outputs": request_sheet_outputs,
+    "review_sheet_columns": review_sheet_columns,
     "ratio_decile_sheet_rows": ratio_decile_sheet_rows,
     "parameterised_query": parameterised_query,
     "township_list": township_list,

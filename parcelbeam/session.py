@@ -7,7 +7,9 @@ arithmetic) and are applied only when the caller has not set them.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -88,3 +90,29 @@ def stable(df: DataFrame) -> DataFrame:
         return kept.checkpoint(eager=True)
     finally:
         kept.unpersist()
+
+
+_written: dict[str, list[str]] = {}
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a Parquet table in the shared checkpoint folder.  Unlike a
+    checkpoint it is read by column, so frames that are scanned several times go
+    through it; like one it outlives its executors."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through Spark's file systems; a missing one is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release_written(spark: SparkSession) -> None:
+    """Delete the tables that ``written`` made in this application, once every result is delivered."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)

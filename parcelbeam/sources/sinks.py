@@ -8,58 +8,15 @@ deliverable in one job and files never pass through the driver.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.text import file_label
-
-
-def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
-                      sort_cols: list[str] | None = None, fmt: str = "parquet") -> str:
-    """Overwrite the partitions present in ``df`` (dynamic overwrite) and leave the
-    others; rows whose partition key is NULL are not written (a NULL township
-    has no tab).
-
-    No partition value is written by a single task: rows are range-partitioned on
-    (partition keys, sort keys) -- all other columns when no sort keys are given --
-    so a township holding a third of the rows spreads over many tasks, each writing
-    one contiguous, sorted slice."""
-    keep = df
-    for c in partition_cols:
-        keep = keep.filter(F.col(f"`{c}`").isNotNull())
-    rest = [f.name for f in df.schema.fields if f.name not in partition_cols and f.dataType.typeName() not in ("map", "variant")]
-    keys = [F.col(f"`{c}`") for c in partition_cols + (sort_cols or rest)]
-    keep = keep.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).format(fmt).save(path))
-    return path
-
-
-def _tabs(spark: SparkSession, path: str) -> dict[tuple[str, str], frozenset[str]]:
-    """The files of each (workbook, tab) folder below ``path``: names only, through Spark's file system."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return {}
-    folders = lambda p: [s for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName()]
-    return {(book.getPath().getName(), tab.getPath().getName()): frozenset(f.getPath().getName() for f in fs.listStatus(tab.getPath()))
-            for book in folders(root) for tab in folders(book.getPath())}
-
-
-def drop_stale_tabs(spark: SparkSession, path: str, before: dict[tuple[str, str], frozenset[str]]) -> None:
-    """After a dynamic overwrite: remove the tabs that a rewritten workbook no longer has.
-
-    Rewritten folders hold new files; a folder whose files are as before, in a workbook of which
-    others are new, is left from an earlier run.  Workbooks that this run did not write stay."""
-    after = _tabs(spark, path)
-    written = {book for (book, tab), files in after.items() if before.get((book, tab)) != files}
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for (book, tab), files in before.items():
-        if book in written and after.get((book, tab)) == files:
-            stale = jvm.org.apache.hadoop.fs.Path(f"{path}/{book}/{tab}")
-            stale.getFileSystem(conf).delete(stale, True)
+from parcelbeam.sources import versions
+from parcelbeam.sources.ingest import SHEET_ROW, SOURCE
+from parcelbeam.sources.partitions import write_partitioned
 
 
 def workbook_name(triad: Column, year: int | None = None, suffix: str = "condo_review") -> Column:
@@ -69,23 +26,50 @@ def workbook_name(triad: Column, year: int | None = None, suffix: str = "condo_r
     return F.concat(F.lower(file_label(triad)), F.lit(f"_{suffix}_"), yr)
 
 
-def write_review_sheets(sheet: DataFrame, path: str, year: int | None = None) -> str:
+def write_review_sheets(sheet: DataFrame, path: str, year: int | None = None,
+                        triads: Sequence[str] | None = None) -> str:
     """Unit review sheets: one folder per workbook (triad + year) and township
-    tab, rows by PIN -- every triad in one write (S11, S13).  A workbook is
-    replaced as a whole: tabs of an earlier run that this one lacks go (S14)."""
+    tab, rows by PIN -- every triad in one write (S11, S13).  Workbooks are
+    replaced as a whole by a manifest that is switched last (S14): readers
+    (``read_review_sheets``) see the old ones until then, and the workbook of a
+    reviewed triad (all of the year when ``triads`` is None) that has no rows
+    any more goes."""
     spark = sheet.sparkSession
-    before = _tabs(spark, path)
     named = sheet.withColumn("workbook", workbook_name(F.col("Triad"), year))
-    write_partitioned(named, path, ["workbook", "Township"], ["PIN"])
-    drop_stale_tabs(spark, path, before)
+    names = spark.createDataFrame([(t,) for t in triads or [""]], "t string").select(
+        workbook_name(F.col("t"), year).alias("name")).collect()
+    own = {r.name for r in names}
+    if triads is None:
+        ending = names[0].name
+        return versions.replace(named, path, "workbook", ["Township"], ["PIN"], covers=lambda n: n.endswith(ending))
+    return versions.replace(named, path, "workbook", ["Township"], ["PIN"], covers=own.__contains__)
+
+
+def read_review_sheets(spark: SparkSession, path: str, places: bool = False) -> DataFrame:
+    """The rows of all current workbooks, with their workbook and Township."""
+    return versions.read(spark, path, "workbook", places)
+
+
+def write_value_change(groups: DataFrame | Sequence[DataFrame], path: str) -> str:
+    """Value-change output: one deliverable per request file under the same file
+    name, with the sheet's own columns and in its own row order (S10, R5).
+
+    One frame per header layout; all of them are switched to by one manifest,
+    so readers (``read_value_change``) see a file as it was or as it is."""
+    frames = [groups] if isinstance(groups, DataFrame) else list(groups)
+    if not frames:
+        return path
+    staged = []
+    for df in frames:
+        order = [SHEET_ROW] if SHEET_ROW in df.columns else None
+        staged.append(versions.stage(df, path, SOURCE, sort_cols=order, hidden=order or ()))
+    versions.commit(frames[0].sparkSession, path, staged)
     return path
 
 
-def write_value_change(df: DataFrame, path: str, key_col: str = "Permanent Index Number") -> str:
-    """Value-change output: one folder per request file, same file name, rows
-    by request id when the id column is present."""
-    sort = [key_col] if key_col in df.columns else None
-    return write_partitioned(df, path, ["source_file"], sort)
+def read_value_change(spark: SparkSession, path: str, places: bool = False) -> DataFrame:
+    """The rows of all current request files."""
+    return versions.read(spark, path, SOURCE, places)
 
 
 # Row order of each ratio-study table within a township (O2).

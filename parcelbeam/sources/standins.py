@@ -29,6 +29,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelbeam.functions import wkb
 from parcelbeam.functions.keys import pin_from_number, pretty_pin, strip_dashes
 from parcelbeam.functions.text import number_text
 
@@ -105,7 +106,7 @@ def pin_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat = F.lit(Decimal("41.60")) + _mod("c_custkey", 499) * F.lit(Decimal("0.00100000321"))
     return b.select(
         "pin", F.substring("pin", 1, 10).alias("pin10"), F.explode(years).alias("year"),
-        F.when(~no_coords, lon.cast("double")).alias("lon"),
+        F.when(F.col("c_custkey") % 331 == 3, F.lit(float("nan"))).when(~no_coords, lon.cast("double")).alias("lon"),
         F.when(~no_coords, lat.cast("double")).alias("lat"),
         "township_name", "nbhd_code", "triad_name")
 
@@ -218,7 +219,7 @@ def value_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(
         dressed.alias("Permanent Index Number"),
         F.col("c_name").alias("Owner Name"),
-        F.substring("c_mktsegment", 1, 3).alias("Class"),
+        F.substring("c_mktsegment", 1, 3).alias("class"),
         F.concat(F.lit("requests_"), F.lower("c_mktsegment"), F.lit(".csv")).alias("source_file"))
 
 
@@ -233,9 +234,8 @@ def _study_sale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest order per customer (ties by order key)."""
     from parcelbeam.operators.attach import newest_per_key
 
-    o = table(spark, sf_dir, "orders")
-    return newest_per_key(o, "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]).select(
-        "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return newest_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"])
 
 
 def final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,14 +301,13 @@ def desk_review_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighborhood_polygons(parcels: DataFrame) -> DataFrame:
-    """Neighborhood outlines as WKT bounding boxes of the parcel coordinates,
-    keyed by township and dash-free neighborhood number (SRID 4326)."""
-    box = parcels.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull()).groupBy(
+    """Neighborhood outlines as bounding boxes of the parcel coordinates, keyed by
+    township and dash-free neighborhood number: WKB and WKT, with their SRID (4326)."""
+    box = parcels.filter(F.col("lon").isNotNull() & ~F.isnan("lon") & F.col("lat").isNotNull()).groupBy(
         "township_name", strip_dashes("nbhd_code").alias("town_nbhd")).agg(
         F.min("lon").alias("x0"), F.min("lat").alias("y0"), F.max("lon").alias("x1"), F.max("lat").alias("y1"))
-    x0, y0, x1, y1 = (number_text(c) for c in ("x0", "y0", "x1", "y1"))
-    ring = F.concat(x0, F.lit(" "), y0, F.lit(", "), x1, F.lit(" "), y0, F.lit(", "),
-                    x1, F.lit(" "), y1, F.lit(", "), x0, F.lit(" "), y1, F.lit(", "), x0, F.lit(" "), y0)
-    return box.select("township_name", "town_nbhd",
-                      F.concat(F.lit("POLYGON(("), ring, F.lit("))")).alias("geometry_wkt"),
+    ring = wkb.box(*map(F.col, ("x0", "y0", "x1", "y1")))
+    points = [F.concat(number_text(x), F.lit(" "), number_text(y)) for x, y in ring]
+    return box.select("township_name", "town_nbhd", wkb.polygon_wkb(ring).alias("geometry"),
+                      F.concat(F.lit("POLYGON(("), F.concat_ws(", ", *points), F.lit("))")).alias("geometry_wkt"),
                       F.lit(4326).alias("srid"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelbeam.plans import cli
 from parcelbeam.sources import standins as S
+from parcelbeam.sources.sinks import read_review_sheets, read_value_change
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,7 +38,7 @@ def test_value_change_cli(spark, tmpdir_path):
     req = _sheets(S.value_requests(spark, SF).withColumnRenamed("source_file", "sheet"), tmpdir_path, "req", "sheet")
     out = os.path.join(tmpdir_path, "out")
     cli.main(["value-change", "--requests", req, "--history", hist, "--mail-year", "2000", "--out", out], spark)
-    back = spark.read.parquet(out)
+    back = read_value_change(spark, out)
     assert back.count() == S.value_requests(spark, SF).count()
     assert "2000 Mailed AV" in back.columns and "source_file" in back.columns
 
@@ -52,7 +53,7 @@ def test_unit_review_cli(spark, tmpdir_path):
     for n, p in paths.items():
         args += [f"--{n}", p]
     cli.main(args, spark)
-    back = spark.read.parquet(out)
+    back = read_review_sheets(spark, out)
     assert back.count() > 0
     assert {"Triad", "Township", "QC Flag", "PIN"} <= set(back.columns)
 

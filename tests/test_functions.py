@@ -70,3 +70,16 @@ def test_relocate(spark):
     df = spark.createDataFrame([(1, 2, 3, 4, 5)], "a int, b int, c int, d int, e int")
     out = N.relocate(df, first=["e"], after={"b": ["d"]})
     assert out.columns == ["e", "a", "b", "d", "c"]
+
+
+def test_numbers_that_are_none_print_na(spark):
+    from parcelbeam.functions.text import number_text
+    df = spark.createDataFrame([(v,) for v in (float("nan"), float("inf"), None, -87.95, 41.0)], "v double")
+    assert [r.t for r in df.select(number_text("v").alias("t")).collect()] == ["NA", "NA", "NA", "-87.95", "41"]
+
+
+def test_range_rules_trim_all_white_space(spark):
+    from parcelbeam.operators.rules import range_violations
+    df = spark.createDataFrame([("a", "\t12\u00a0"), ("b", "\u00a0"), ("c", "\u200912.5"), ("d", "\t99")], "pin string, new_bedrooms string")
+    got = {(r["pin"], r["reason"]) for r in range_violations(df, rules={"new_bedrooms": (0, 15)}).collect()}
+    assert got == {("c", "not whole"), ("d", "out of range")}

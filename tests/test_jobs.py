@@ -59,7 +59,7 @@ def test_documents_rolled_up_before_join(spark):
 
 def test_newest_year_and_coverage(spark):
     df = spark.createDataFrame([("a", "2024"), ("a", "2025"), ("b", "2024")], "pin string, year string")
-    got = {r["pin"]: r["year"] for r in newest_per_key(df, "pin", [F.col("year").desc()]).collect()}
+    got = {r["pin"]: r["year"] for r in newest_per_key(df, "pin", "year").collect()}
     assert got == {"a": "2025", "b": "2024"}
     runs = spark.createDataFrame([("r1", ["1", "2"]), ("r2", []), ("r3", None)], "run_id string, cov array<string>")
     assert sorted(r["t"] for r in explode_coverage(runs, "cov", "t").collect()) == ["1", "2"]

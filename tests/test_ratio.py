@@ -12,7 +12,7 @@ SCHEMA = "pin string, township_name string, neighborhood_number string, sale_pri
 
 def _study(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    return R.add_price_deciles(R.add_ratios(df))
+    return R.rank_by_price(R.add_ratios(df))
 
 
 def _golden(spark):
@@ -151,27 +151,15 @@ def test_zero_and_nan_prices(spark):
     assert row["model_mki"] is not None and row["number_of_sales"] == 6
 
 
-@pytest.mark.parametrize("limit", ["0", "2000000"])
-def test_null_neighborhoods_are_a_group_on_both_rank_paths(spark, limit):
-    from parcelbeam.operators.ranking import WINDOW_MAX_GROUP_ROWS_CONF
+def test_null_neighborhoods_are_a_group(spark):
     rows = [(str(i), "T", None if i % 3 == 0 else f"N{i % 2}", 100.0, 80.0 + i, 90.0 + i) for i in range(30)]
-    spark.conf.set(WINDOW_MAX_GROUP_ROWS_CONF, limit)
-    try:
-        got = {(r["neighborhood_number"], r["stage"]): r["median_sale_ratio"]
-               for r in R.neighborhood_medians(R.add_ratios(spark.createDataFrame(rows, SCHEMA))).collect()}
-    finally:
-        spark.conf.unset(WINDOW_MAX_GROUP_ROWS_CONF)
+    got = {(r["neighborhood_number"], r["stage"]): r["median_sale_ratio"]
+           for r in R.neighborhood_medians(R.add_ratios(spark.createDataFrame(rows, SCHEMA))).collect()}
     assert len(got) == 6 and got[None, "Model"] == pytest.approx(0.935)
 
 
-@pytest.mark.parametrize("limit", ["0", "2000000"])
-def test_a_parcel_on_two_sheets_gives_the_same_under_any_input_order(spark, limit):
-    from parcelbeam.operators.ranking import WINDOW_MAX_GROUP_ROWS_CONF
+def test_a_parcel_on_two_sheets_gives_the_same_under_any_input_order(spark):
     rows = [("1", "T", "N", 100.0, 90.0, 50.0), ("1", "T", "N", 100.0, 90.0, 150.0), ("2", "T", "N", 100.0, 80.0, 90.0),
             ("3", "T", "N", 200.0, 190.0, 210.0), ("4", "T", "N", 300.0, 330.0, 290.0)]
-    spark.conf.set(WINDOW_MAX_GROUP_ROWS_CONF, limit)
-    try:
-        one, two = (R.town_stats(_study(spark, r)).collect() for r in (rows, rows[::-1]))
-    finally:
-        spark.conf.unset(WINDOW_MAX_GROUP_ROWS_CONF)
+    one, two = (R.town_stats(_study(spark, r)).collect() for r in (rows, rows[::-1]))
     assert one == two

@@ -1,14 +1,14 @@
-"""A township holding most parcels, ranked on the range path (forced), against a
+"""A township holding most parcels, by the ranked layout and by selection, against a
 brute-force pandas/numpy computation of the same statistics."""
 
 import random
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pytest
 
 from parcelbeam.operators import ratio as R
-from parcelbeam.operators.ranking import WINDOW_MAX_GROUP_ROWS_CONF
 
 SCHEMA = ("pin string, township_name string, neighborhood_number string, sale_price double, "
           "model_value double, desk_review_value double")
@@ -51,16 +51,14 @@ def _brute(rows):
     return out
 
 
-@pytest.mark.parametrize("limit", ["0", "1000000000"])
-def test_hot_township_matches_brute_force(spark, limit):
+@pytest.mark.parametrize("most", [10_000, 50])
+def test_hot_township_matches_brute_force(spark, monkeypatch, most):
     rows = _rows()
-    spark.conf.set(WINDOW_MAX_GROUP_ROWS_CONF, limit)
-    try:
-        study = R.add_price_deciles(R.add_ratios(spark.createDataFrame(rows, SCHEMA)))
-        got = {r["township_name"]: r for r in R.town_stats(study).collect()}
-        deciles = study.filter("sale_price is not null").groupBy("township_name", "price_decile").count().collect()
-    finally:
-        spark.conf.unset(WINDOW_MAX_GROUP_ROWS_CONF)
+    monkeypatch.setattr(R, "select_ranks", partial(R.select_ranks, most=most, buckets=16))
+    base = R.add_ratios(spark.createDataFrame(rows, SCHEMA))
+    got = {r["township_name"]: r for r in R.town_stats(R.rank_by_price(base)).collect()}
+    study = R.add_price_deciles(base)
+    deciles = study.filter("sale_price is not null").groupBy("township_name", "price_decile").count().collect()
     want = _brute(rows)
     assert set(got) == set(want)
     for town, exp in want.items():
