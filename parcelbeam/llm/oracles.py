@@ -28,15 +28,15 @@ FROM documents d JOIN m USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN k US
 """
 
 TOP_K = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS ask, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.ask, q.vec_id AS query_id, c.vec_id,
     CAST(list_sum(list_transform(list_zip(q.v, c.v, true), lambda x: x[1] * x[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
-k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY ask ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
 """
 

@@ -120,25 +120,27 @@ def top_k(vectors: DataFrame, queries: Column, k: int, scale: int = 256) -> Data
     n, asked = whole.agg(F.count("*"), F.count_if("asks")).first()
     blocks, chunks = max(1, -(-n // BLOCK)), max(1, -(-asked // CHUNK))
     # rows of the written table keep their numbers on a retry, and no id decides a block
-    row = F.xxhash64(F.monotonically_increasing_id())
+    deal = lambda count: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count)).cast("int")
+    # both sides number cells in the same type: hashes of an int and of a long differ
     cells = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    candidates = whole.withColumn("block", F.pmod(row, F.lit(blocks))).select(
+    candidates = whole.withColumn("block", deal(blocks)).select(
         "vec_id", "v", "block", cells(chunks).alias("chunk"))
-    asking = whole.withColumn("chunk", F.pmod(row, F.lit(chunks))).filter("asks").select(
-        "vec_id", "v", "chunk", cells(blocks).alias("block"))
+    asking = whole.withColumn("ask", F.monotonically_increasing_id()).withColumn("chunk", deal(chunks)).filter(
+        "asks").select("vec_id", "v", "ask", "chunk", cells(blocks).alias("block"))
 
     def run(block: pd.DataFrame, chunk: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(block) and len(chunk):
             width = max(block["v"].map(len).max(), chunk["v"].map(len).max())
             index = ImpactIndex(block["vec_id"].to_numpy(), _matrix(block["v"], width))
-            for query_id, q in zip(chunk["vec_id"], _matrix(chunk["v"], width)):
-                out += [(query_id, vec_id, score) for score, vec_id in index.search(q, query_id, k)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+            for ask, query_id, q in zip(chunk["ask"], chunk["vec_id"], _matrix(chunk["v"], width)):
+                out += [(ask, query_id, vec_id, score) for score, vec_id in index.search(q, query_id, k)]
+        return pd.DataFrame(out, columns=["ask", "query_id", "vec_id", "score"])
 
     ship_package(vectors.sparkSession)
-    found = candidates.groupBy("block", "chunk").cogroup(asking.groupBy("block", "chunk")).applyInPandas(
-        run, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # cells are work, not bytes: their number is given, so that small ones are not put together
+    dealt = [side.repartition(blocks * chunks, "block", "chunk").groupBy("block", "chunk") for side in (candidates, asking)]
+    found = dealt[0].cogroup(dealt[1]).applyInPandas(run, "ask long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -36,6 +36,19 @@ def test_equals_brute_force(spark, monkeypatch, block, chunk):
     assert run(spark, rows) == brute(rows)
 
 
+def test_many_partitions(spark, monkeypatch):
+    """Both sides of a cell meet however many partitions there are."""
+    monkeypatch.setattr(vector_search, "BLOCK", 60)
+    monkeypatch.setattr(vector_search, "CHUNK", 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rng = np.random.default_rng(4)
+        rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
+        assert run(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, -0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, []), (5, [None, 1.0]), (6, [nan, 1.0]), (7, [inf, 1.0]),
@@ -45,6 +58,13 @@ def test_edges(spark):
     assert [r[2] for r in got if r[0] == 0][:1] == [8]
 
 
+def test_repeated_query_ids_are_ranked_apart(spark):
+    rows = [(50, [1.0]), (50, [1.0]), (0, [-1.0]), (50, [2.0])] + [(i, [i / 256]) for i in range(1, 10)]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    assert [r[3] // 256 for r in got if r[0] == 50 and r[1] == 1] == [9, 9, 18]
+
+
 def test_few_candidates_large_values_and_empty(spark):
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, []) == []
