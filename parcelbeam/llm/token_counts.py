@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -56,8 +55,10 @@ class MergeCounter:
         self.pieces = regex.compile(split["pattern"]["Regex"])
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
+        from tokenizers import normalizers
         steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
-        self.compose, self.lower = "NFC" in steps, "Lowercase" in steps
+        self.lower = "Lowercase" in steps
+        self.steps = [kind() for name, kind in (("NFC", normalizers.NFC), ("Lowercase", normalizers.Lowercase)) if name in steps]
         self.memo: dict[bytes, int] = {}
 
     def piece_tokens(self, piece: str) -> int:
@@ -87,10 +88,11 @@ class MergeCounter:
         return count
 
     def plain_tokens(self, text: str) -> int:
-        if self.compose:
-            text = unicodedata.normalize("NFC", text)
-        if self.lower:  # character by character: no rule looks at the neighbours
-            text = "".join(map(str.lower, text))
+        if text.isascii():
+            text = text.lower() if self.lower else text
+        else:  # the library's own tables: Python's may be of another Unicode version
+            for step in self.steps:
+                text = step.normalize_str(text)
         return sum(self.piece_tokens(p) for p in self.pieces.findall(text))
 
     def chunk_tokens(self, chunk: bytes) -> int:

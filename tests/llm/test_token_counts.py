@@ -19,6 +19,15 @@ def test_equals_the_library_on_odd_texts():
         assert own.count(text.encode()) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
 
 
+def test_equals_the_library_on_every_code_point():
+    library, own = Tokenizer.from_file(PATH), token_counts.MergeCounter(PATH)
+    texts = [f"a{chr(c)} {chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x20000 or c % 97 == 0)]
+    for at in range(0, len(texts), 1000):
+        part = " ".join(texts[at:at + 1000])
+        want = [len(e.ids) for e in library.encode_batch(texts[at:at + 1000], add_special_tokens=False)]
+        assert own.count(part.encode()) == sum(want) or [own.count(t.encode()) for t in texts[at:at + 1000]] == want, hex(at)
+
+
 def test_merge_order_is_by_rank_then_place(tmp_path):
     own = token_counts.MergeCounter(PATH)
     own.ranks, own.suffix = {("a", "b"): 0, ("b", "a"): 1, ("ab", "ab"): 2}, ""
