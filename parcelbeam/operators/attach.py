@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelbeam.functions.keys import pin10
-from parcelbeam.session import ensure_checkpoint_dir
+from parcelbeam.session import written
 
 MAX_BROADCAST_ROWS_CONF = "parcelbeam.broadcast.maxRows"
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -45,14 +45,13 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner",
-               max_rows: int | None = None, null_safe: bool = False) -> DataFrame:
-    """Join a derived table that is usually small (model runs, rank offsets) onto
-    ``big``.  It is broadcast only after it has been counted -- the count is
-    the proof of its size (see ``sized``).  ``small`` is written to the
-    checkpoint folder first, so the count and the join read one
-    materialisation that outlives its executors."""
-    ensure_checkpoint_dir(small.sparkSession)
-    small = small.checkpoint()
+               max_rows: int | None = None, null_safe: bool = False, materialised: bool = False) -> DataFrame:
+    """Join a derived table that is usually small (medians per group, rank
+    offsets) onto ``big``.  It is broadcast only after it has been counted --
+    the count is the proof of its size (see ``sized``).  ``small`` is written to
+    the shared folder first, unless it is ``materialised`` already, so the count
+    and the join read one table that outlives its executors."""
+    small = small if materialised else written(small, "small")
     side = sized(small, small.count(), max_rows)
     if not null_safe:
         return big.join(side, on=on, how=how)

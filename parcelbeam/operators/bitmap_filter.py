@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelbeam.operators.attach import broadcast_limit, sized
-from parcelbeam.session import ensure_checkpoint_dir
+from parcelbeam.session import written
 
 #: Bits of one bucket of Spark's bitmap aggregates.
 BUCKET_BITS = 32768
@@ -60,9 +60,8 @@ def keep_possibly_wanted(df: DataFrame, wanted: DataFrame, key: str) -> DataFram
     n = wanted.count()
     if n <= broadcast_limit(df.sparkSession):
         return df.join(sized(wanted, n), key, "left_semi")
-    ensure_checkpoint_dir(df.sparkSession)
     buckets = bucket_count(n)
-    return possibly_wanted(df, key, key_bitmap(wanted, key, buckets).checkpoint(), buckets)
+    return possibly_wanted(df, key, written(key_bitmap(wanted, key, buckets), "bitmap"), buckets)
 
 
 def keep_wanted(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:

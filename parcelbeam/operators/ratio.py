@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from parcelbeam.functions.text import price_range
 from parcelbeam.operators.attach import join_null_safe, join_small, sized
-from parcelbeam.operators.ranking import ntile_from_rank, range_row_number, ranked_layout, total_order
+from parcelbeam.operators.ranking import group_row_number, ntile_from_rank, ranked_layout, total_order
 from parcelbeam.operators.selection import cut_ranks, mean_pick, median_ranks, select_ranks
 
 # The two stages compared in the study, their value columns,
@@ -91,21 +91,22 @@ def add_price_deciles(df: DataFrame, group_cols: Sequence[str] = ("township_name
     The last rank of each bucket is found by histogram selection; a row's bucket
     is then one more than the number of cuts below it.  Only rows whose price
     equals a cut that falls between equal prices need their place among those:
-    they alone are ranked, by the range-sorted path.  ``df`` is scanned several
+    they alone are ranked (``group_row_number``).  ``df`` is scanned several
     times, so it should be materialised."""
     keys = list(group_cols)
     cuts = select_ranks(df, keys, price, cut_ranks(buckets)).select(
         *keys, F.col("n_values").alias("_priced"), F.col("picks").alias("_cuts"))
     within = lambda c: c["rank"] - c["below"]  # noqa: E731 -- place of the cut among equal prices
-    groups, torn = cuts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(F.filter(
-        F.coalesce("_cuts", F.array()), lambda c: within(c) < c["ties"]))), F.lit(0))).first()
+    # equal prices on both sides of a cut, at most
+    torn_ties = F.transform("_cuts", lambda c: F.when(within(c) < c["ties"], c["ties"]).otherwise(F.lit(0)))
+    groups, torn = cuts.agg(F.count(F.lit(1)), F.coalesce(F.max(F.array_max(torn_ties)), F.lit(0))).first()
     rows = join_null_safe(df, sized(cuts, groups), keys, "left")
     p, place = F.col(price).cast("double"), "_place"
     if torn:
         here = F.exists("_cuts", lambda c: (p == c["value"]) & (within(c) < c["ties"]))
         tied = rows.filter(here)
         order = total_order(df.drop(*keys, price), [tiebreak])
-        ranked = range_row_number(tied, [*keys, price], order, place, "_tied").drop("_tied")
+        ranked = group_row_number(tied, [*keys, price], order, place, "_tied", known_max_group_rows=torn).drop("_tied")
         rows = rows.filter(~F.coalesce(here, F.lit(False))).withColumn(place, F.lit(None).cast("long")).unionByName(ranked)
     else:
         rows = rows.withColumn(place, F.lit(None).cast("long"))
@@ -154,7 +155,7 @@ def median_stats(long: DataFrame, group_cols: Sequence[str], value: str = "ratio
     aggregate over the rows, the medians joined to them after a size check."""
     keys = list(group_cols)
     found = medians(long, keys, value, strict, price)
-    beside = join_small(long.select(*keys, value), found.select(*keys, "median"), keys, null_safe=True)
+    beside = join_small(long.select(*keys, value), found.select(*keys, "median"), keys, null_safe=True, materialised=True)
     apart = beside.groupBy(*keys).agg(mean_deviation(value=value).alias("_apart"))
     out = join_null_safe(found, apart, keys, "left")
     return out.withColumn("cod", dispersion(F.col("_apart"), F.col("median"))).drop("_apart")
@@ -163,13 +164,13 @@ def median_stats(long: DataFrame, group_cols: Sequence[str], value: str = "ratio
 def vertical_equity(long: DataFrame, medians: DataFrame, group_cols: Sequence[str],
                     price: str = "sale_price", rank_col: str = "price_rank") -> DataFrame:
     """COD, PRD, PRB and MKI per group (strict), carrying the columns of
-    ``medians`` through.  It has one row per group (stages x townships) and is
-    joined to the rows by ``join_small``, broadcast after a size check, so all
+    ``medians`` (a materialised table) through.  It has one row per group (stages x
+    townships) and is joined to the rows by ``join_small``, broadcast after a size check, so all
     four come from one partial aggregate."""
     group_cols = list(group_cols)
     carried = [c for c in medians.columns if c not in group_cols]
     m_tab = medians.withColumn("_m", F.col("median"))
-    j = join_small(long, m_tab, group_cols, null_safe=True)
+    j = join_small(long, m_tab, group_cols, null_safe=True, materialised=True)
     a, p, r, m, i = F.col("assessed"), F.col(price).cast("double"), F.col("ratio"), F.col("_m"), F.col(rank_col)
     y = F.try_divide(r - m, m)
     x = F.log2(F.lit(0.5) * (F.try_divide(a, m) + p))

@@ -7,9 +7,10 @@ that holds it, narrowed to the smallest and largest value there.  Both ends of a
 into different parts, so every round shrinks it.  Once a range holds at most ``most`` values, these
 are gathered, sorted and picked from; a range whose ends are equal is done without that.
 
-What travels between rounds is one row per group and wanted rank, written to the checkpoint folder.
-Rows are only scanned, so a group that holds a third of them is spread like any other, and there is
-no bound beyond which another way is taken: a group of few values simply needs no round.
+What travels between rounds is one row per group and wanted rank, written to the shared folder.
+Rows are only scanned, so a group that holds a third of them is spread like any other, and no group
+is too large for it.  Where no group has more than ``most`` values there is nothing to narrow, and
+one pass gathers and picks.
 
 NULL and NaN count as missing.  Infinite values are ordinary ones at the ends.  NULL group keys form
 a group.
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelbeam.operators.attach import join_null_safe, nan_to_null, sized
-from parcelbeam.session import ensure_checkpoint_dir
+from parcelbeam.session import written
 
 MOST = 10_000
 BUCKETS = 2048
@@ -64,15 +65,18 @@ def select_ranks(df: DataFrame, group_cols: Sequence[str], value: str, ranks: Ca
     of (rank, value, below, ties) by rank: the value at each rank of ``ranks(n_values)`` (an array
     of 1-based ranks), how many values are smaller, and how many are equal.
 
-    ``df`` is scanned once for the bounds, once per round and once for the picks."""
-    ensure_checkpoint_dir(df.sparkSession)
+    ``df`` is scanned once for the sizes, once for the bounds if a group is larger than ``most``,
+    once per round and once for the picks."""
     keys = list(group_cols)
     rows = df.withColumn("_v", nan_to_null(F.col(value)).cast("double"))
     v = F.col("_v")
-    summary = rows.groupBy(*keys).agg(
+    largest = rows.groupBy(*keys).agg(F.count("_v").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= most:  # every range is gathered as it is: one pass
+        return written(_gathered(rows, keys, ranks, extra), "picks")
+    summary = written(rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("_v").alias("n_values"), *extra,
         F.min("_v").alias("_low"), F.max("_v").alias("_high"),
-        F.min(_finite(v)).alias("_from"), F.max(_finite(v)).alias("_to")).checkpoint()
+        F.min(_finite(v)).alias("_from"), F.max(_finite(v)).alias("_to")), "ranges")
     wanted = summary.filter("n_values > 0").select(
         *keys, F.explode(ranks(F.col("n_values"))).alias("_rank"), F.lit(0).cast("long").alias("_before"),
         F.col("n_values").alias("_size"), "_low", "_high", "_from", "_to")
@@ -82,10 +86,24 @@ def select_ranks(df: DataFrame, group_cols: Sequence[str], value: str, ranks: Ca
         n, going = wanted.agg(F.count(F.lit(1)), F.count_if(open_range)).first()
         if not going:
             break
-        wanted = _narrowed(wanted, open_range, n, values, keys, buckets).checkpoint()
+        wanted = written(_narrowed(wanted, open_range, n, values, keys, buckets), "ranges")
     picks = _picked(wanted, n, values, keys)
     kept = summary.drop("_low", "_high", "_from", "_to")
-    return join_null_safe(kept, picks, keys, "left").checkpoint()
+    return written(join_null_safe(kept, picks, keys, "left"), "picks")
+
+
+def _gathered(rows: DataFrame, keys: Sequence[str], ranks: Callable[[Column], Column], extra: Sequence[Column]) -> DataFrame:
+    """The result where no group has more values than may be gathered."""
+    sorted_ = F.col("_sorted")
+
+    def pick(rank: Column) -> Column:
+        at = F.get(sorted_, (rank - 1).cast("int"))
+        return F.struct(rank.cast("long").alias("rank"), at.alias("value"), (F.array_position(sorted_, at) - 1).alias("below"),
+                        F.size(F.filter(sorted_, lambda x: x == at)).cast("long").alias("ties"))
+    found = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.count("_v").alias("n_values"), *extra,
+                                    F.sort_array(F.collect_list("_v")).alias("_sorted"))
+    picks = F.transform(F.when(F.col("n_values") > 0, ranks(F.col("n_values"))), pick)
+    return found.withColumn("picks", F.when(F.size(picks) > 0, picks)).drop("_sorted")
 
 
 def _inside(values: DataFrame, ranges: DataFrame, rows: int, keys: Sequence[str]) -> DataFrame:

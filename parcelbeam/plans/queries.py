@@ -26,7 +26,7 @@ from parcelbeam.operators.attach import (
 from parcelbeam.operators.reshape import curve_axis, curve_long, neighborhood_map_frame
 from parcelbeam.operators.rollup import building_unit_counts, joined_row_counts
 from parcelbeam.plans import jobs
-from parcelbeam.session import ensure_checkpoint_dir, stable
+from parcelbeam.session import ensure_checkpoint_dir, stable, written
 from parcelbeam.sources import sinks
 from parcelbeam.sources import standins as S
 from parcelbeam.sources.ingest import folder_value, read_sheet_groups, read_sheets, sheet_types
@@ -59,8 +59,9 @@ def _deciled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ratio_deciles(spark: SparkSession, d: str) -> DataFrame:
-    """Decile cuts and medians both by histogram selection: no row is ranked."""
-    return R.ratio_deciles(_deciled(spark, d))
+    """Decile cuts and medians both by histogram selection: no row is ranked.  The deciled rows are
+    scanned three times, so they are written once."""
+    return R.ratio_deciles(written(_deciled(spark, d), "deciled"))
 
 
 def ratio_all_parcels(spark: SparkSession, d: str) -> DataFrame:

@@ -97,13 +97,14 @@ _written: dict[str, list[str]] = {}
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a Parquet table in the shared checkpoint folder.  Unlike a
-    checkpoint it is read by column, so frames that are scanned several times go
-    through it; like one it outlives its executors."""
+    checkpoint it is computed once and read by column, so frames that are read several
+    times go through it; like one it outlives its executors."""
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    # with the schema given, no job reads file footers
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

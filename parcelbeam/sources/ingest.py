@@ -77,8 +77,8 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
 
     def blocks(df: DataFrame, of: Column, name: str) -> DataFrame:
         """Per block: the sum of ``of`` over the blocks of its file before it."""
-        small = df.groupBy("path", "block").agg(F.sum(of).alias("own")).select(
-            "path", "block", F.coalesce(F.sum("own").over(before_block), F.lit(0)).alias(name)).checkpoint()
+        small = written(df.groupBy("path", "block").agg(F.sum(of).alias("own")).select(
+            "path", "block", F.coalesce(F.sum("own").over(before_block), F.lit(0)).alias(name)), "blocks")
         return sized(small, small.count())
 
     placed = lines.join(blocks(lines, F.col("quotes"), "open"), ["path", "block"])
