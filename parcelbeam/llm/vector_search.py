@@ -44,11 +44,26 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()  # [dimension, rank] -> row
-        values = np.take_along_axis(vectors, self.order.T, axis=0).T
-        level = values // QUANTUM
-        # bounds of a posting's impact for positive and for negative query components
-        self.high = (level * QUANTUM + (QUANTUM - 1)).astype(np.float64)
-        self.low = (level * QUANTUM).astype(np.float64)
+        # a posting's impact is at least that of the low value, at most that of low + QUANTUM - 1
+        low = np.take_along_axis(vectors, self.order.T, axis=0).T // QUANTUM * QUANTUM
+        self.low = low.astype(np.float64)
+        self.least, self.most = low.min(initial=0), low.max(initial=0)
+        self.span = int(self.most) - int(self.least) + 3
+        # the low values of all dimensions in one order, where they fit in a long
+        self.whole = self.span * len(low) < 2 ** 62
+        self.gains = np.empty(low.shape)  # room for those of one search
+        self.places = (low - self.least + 1 + self.span * np.arange(len(low))[:, None]).ravel() if self.whole else None
+
+    def ends(self, query: np.ndarray, least: np.ndarray, floors: np.ndarray) -> np.ndarray:
+        """For each floor and dimension the number of postings whose gain reaches the floor."""
+        n, dims = len(self.ids), np.arange(len(query))
+        up, q = query > 0, np.where(query == 0, 1, query)
+        need = floors[:, None] + least
+        # the least low value for a positive component; the first one too high for a negative one
+        edge = np.where(up, -(-need // q) - (QUANTUM - 1), need // q + 1)
+        edge = np.clip(edge, self.least, self.most + 1) - self.least + 1
+        at = np.searchsorted(self.places, edge + self.span * dims) - n * dims
+        return np.where(query == 0, 0, np.where(up, n - at, at))
 
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """The k best (score, id), by score and then smaller id."""
@@ -56,10 +71,11 @@ class ImpactIndex:
         up = query >= 0
         q = query.astype(np.float64)
         # the gain of a posting: its impact above the least that its dimension can add
-        least = np.where(up, q * self.low[:, 0], q * self.high[:, -1])
-        most = np.where(up, q * self.high[:, -1], q * self.low[:, 0])
+        lowest, highest = q * self.low[:, 0], q * (self.low[:, -1] + (QUANTUM - 1))
+        least, most = np.where(up, lowest, highest), np.where(up, highest, lowest)
         gain_max = most - least
         top = gain_max.max(initial=0.0)
+        largest = max(top, np.abs(least).max(initial=0.0), np.abs(most).max(initial=0.0))
         done = np.zeros(len(q), dtype=np.int64)
         sums = np.zeros(n)  # gains so far, plus SEEN for each dimension met
         alive = self.ids != own
@@ -67,29 +83,23 @@ class ImpactIndex:
             return []
         possible = np.flatnonzero(alive)
         # beyond this the sums would not be whole in a double: everything is then scored exactly
-        for share in LEVELS if top * len(q) < SEEN else ():
-            floor = share * top
-            rows, gains = [], []
-            for d in np.flatnonzero((gain_max >= floor) & (q != 0)):
-                edge = (floor + least[d]) / q[d]  # value at which the gain falls below the floor
-                if floor == 0:
-                    end = n
-                elif up[d]:
-                    end = n - np.searchsorted(self.high[d], edge, "left")
-                else:
-                    end = np.searchsorted(self.low[d], edge, "right")
-                if end <= done[d]:
-                    continue
-                part = slice(n - end, n - done[d]) if up[d] else slice(done[d], end)
-                rows.append(self.order[d, part])
-                gains.append((q[d] * (self.high if up[d] else self.low)[d, part]) - least[d] + SEEN)
-                done[d] = end
-            if rows:
-                sums += np.bincount(np.concatenate(rows), np.concatenate(gains), n)
+        if largest * len(q) < SEEN and self.whole:
+            floors = np.ceil(np.array(LEVELS) * top)
+            ends = self.ends(query, least.astype(np.int64), floors.astype(np.int64))
+            gains = np.multiply(self.low, q[:, None], out=self.gains)
+            gains += (np.where(up, q * (QUANTUM - 1), 0) - least + SEEN)[:, None]
+        else:
+            floors = ends = ()
+        for floor, end in zip(floors, ends):
+            begin = np.where(up, n - end, done)
+            for d in np.flatnonzero(end > done):
+                part = slice(begin[d], begin[d] + end[d] - done[d])
+                np.add.at(sums, self.order[d, part], gains[d, part])
+            done = np.maximum(done, end)
             met = np.floor(sums / SEEN)
-            rest = np.minimum(gain_max, floor)
-            # an unmet dimension can add at most the floor, and never more than its own largest gain
-            bound = (sums - met * SEEN) + np.minimum((len(q) - met) * floor, rest.sum()) + least.sum()
+            # an unmet dimension can add at most the floor, and never more than its own largest gain,
+            # which is above the floor for those met
+            bound = (sums - met * SEEN) + (np.minimum(gain_max, floor).sum() - met * floor) + least.sum()
             bound[~alive] = -np.inf
             lead = np.argpartition(-bound, min(4 * k, n - 1))[: 4 * k]
             lead = lead[alive[lead]]

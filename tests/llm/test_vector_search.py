@@ -80,3 +80,31 @@ def test_search_stops_before_all_levels_and_is_exact():
         scores = vectors @ vectors[i]
         want = [(int(scores[j]), int(j)) for j in np.lexsort((np.arange(3000), -scores)) if j != i][:5]
         assert index.search(vectors[i], i, 5) == want
+
+
+def test_small_dimensions_are_bounded_by_their_own_gain(monkeypatch):
+    rng = np.random.default_rng(6)
+    vectors = np.floor(rng.normal(size=(3000, 32)) * 4000 * 0.5 ** np.arange(32)).astype(np.int64)
+    index = vector_search.ImpactIndex(np.arange(3000), vectors)
+    levels, partition = [], np.argpartition
+    monkeypatch.setattr(np, "argpartition", lambda *args: levels.append(1) or partition(*args))
+    for i in range(0, 3000, 300):
+        scores = vectors @ vectors[i]
+        want = [(int(scores[j]), int(j)) for j in np.lexsort((np.arange(3000), -scores)) if j != i][:5]
+        assert index.search(vectors[i], i, 5) == want
+    # of ten levels a query takes less than half: small dimensions cannot add a whole floor
+    assert len(levels) <= 10 * 5
+
+
+def test_postings_that_reach_a_floor():
+    rng = np.random.default_rng(7)
+    vectors = rng.integers(-90, 60, size=(200, 9))
+    vectors[:, 4] = 7
+    index = vector_search.ImpactIndex(np.arange(200), vectors)
+    query = np.array([5, -3, 0, 1, 2, -1, 40, -40, 9])
+    low = np.sort(vectors // 4 * 4, axis=0).T
+    gain = np.maximum(query[:, None] * low, query[:, None] * (low + 3))
+    least = np.minimum(query[:, None] * low, query[:, None] * (low + 3)).min(axis=1)
+    floors = np.array([4000, 900, 100, 7, 1, 0])
+    want = [[0 if query[d] == 0 else int((gain[d] - least[d] >= f).sum()) for d in range(9)] for f in floors]
+    assert index.ends(query, least, floors).tolist() == want
